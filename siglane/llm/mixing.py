@@ -12,7 +12,7 @@ WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 #: Each source's ranks are cut into so many intervals, of which only the one that holds the limit is sorted.
 INTERVALS = 4096
-#: Times that a source's remaining words are filled with documents not yet taken.
+#: Passes that fill a source's remaining words: all but the last with documents left out, the last with any.
 FILLS = 2
 
 
@@ -45,8 +45,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
     contains of all of the source, floor(target / source_size). What is left of the target is a sample without
     replacement: a document's inclusion probability p falls linearly with its size, to 0 where it alone would fill the
     rest, at a level that makes the expected words the rest; documents are ranked by U / (1 - U) over p / (1 - p), and
-    taken from the first on while their words fit. Up to FILLS further passes take, in the same order, documents that fit into what is
-    still missing. A target is so missed by less than the shortest document left out. Rows of one doc_id and source
+    taken from the first on while their words fit. FILLS further passes take, in the same order, documents that fit into what is still
+    missing: those left out first, then any that has fewer than ``most`` copies. A target so lacks few words. Rows of one doc_id and source
     share their random number; null doc_id counts as ''. An empty table gives an empty one.
 
     Every pass sums words by source and interval of rank; only rows of the interval in which a source's limit lies are
@@ -84,32 +84,38 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
     rows = rows.withColumn("rank", rank).withColumn("interval", F.floor(F.least(spread / (1 + spread) * INTERVALS, F.lit(INTERVALS - 1))).cast("int"))
     rows = store(rows.drop("s1", "s2").withColumn("extra", F.lit(0).cast("long")), "ranked")
     for k in range(1 + FILLS):
-        free = rows.filter((F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("copies") < most))
+        again = k == FILLS
+        free = rows.filter(_open(most, again))
         sums = free.groupBy("source", "interval").agg(F.sum("size").alias("words"))
         before = F.sum("words").over(Window.partitionBy("source").orderBy("interval")) - F.col("words")
         sums = sums.withColumn("before", before)
         # (source, interval) rows: INTERVALS for each source at most, of which one is the limit's.
-        rows = _fill(rows, sums, most, f"fill{k}")
+        rows = _fill(rows, sums, _open(most, again), f"fill{k}")
     taken = (F.col("copies") + F.col("extra")) * F.col("size")
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
 
 
-def _fill(rows: DataFrame, sums: DataFrame, most: int, name: str) -> DataFrame:
-    """rows with ``extra`` set for those that fit one after the other, and ``gap`` less what they hold."""
+def _open(most: int, again: bool) -> Column:
+    """Whether one more copy of a document may be taken."""
+    fits = (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("copies") + F.col("extra") < most)
+    return fits if again else fits & (F.col("extra") == 0)
+
+
+def _fill(rows: DataFrame, sums: DataFrame, open_: Column, name: str) -> DataFrame:
+    """rows with one more ``extra`` for those that fit one after the other, and ``gap`` less what they hold."""
     gaps = rows.select("source", "gap").distinct().withColumnRenamed("source", "__s")
     limits = sums.join(F.broadcast(gaps), sums["source"].eqNullSafe(gaps["__s"])).filter(F.col("before") + F.col("words") > F.col("gap"))
     limits = limits.groupBy("source").agg(F.min_by("interval", "interval").alias("limit"), F.min_by("before", "interval").alias("before")).withColumnRenamed("source", "__t")
     # The sources' limits, one row each.
-    open_ = (F.col("extra") == 0) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("copies") < most)
     joined = rows.join(F.broadcast(limits), rows["source"].eqNullSafe(limits["__t"]), "left").drop("__t")
     below = open_ & (F.col("limit").isNull() | (F.col("interval") < F.col("limit")))
     at = open_ & (F.col("interval") == F.col("limit"))
     sorted_ = Window.partitionBy("source", "interval").orderBy("rank", "doc_id", "size")
     inside = joined.filter(at).withColumn("sum", F.sum("size").over(sorted_.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = inside.withColumn("extra", F.when(F.col("before") + F.col("sum") <= F.col("gap"), F.lit(1).cast("long")).otherwise(F.col("extra"))).drop("sum")
-    outside = joined.filter(~F.coalesce(at, F.lit(False))).withColumn("extra", F.when(below, F.lit(1).cast("long")).otherwise(F.col("extra")))
+    inside = inside.withColumn("extra", F.when(F.col("before") + F.col("sum") <= F.col("gap"), F.col("extra") + 1).otherwise(F.col("extra"))).drop("sum")
+    outside = joined.filter(~F.coalesce(at, F.lit(False))).withColumn("extra", F.when(below, F.col("extra") + 1).otherwise(F.col("extra")))
     both = store(inside.unionByName(outside).drop("limit", "before"), name)
-    held = both.groupBy("source").agg(F.sum(F.when(F.col("extra") > 0, F.col("size")).otherwise(0)).alias("held")).withColumnRenamed("source", "__s")
+    held = both.groupBy("source").agg(F.sum(F.col("extra") * F.col("size")).alias("held")).withColumnRenamed("source", "__s")
     gap = F.col("target") - F.col("whole") * F.col("source_size") - F.col("held")
     return both.join(F.broadcast(held), both["source"].eqNullSafe(held["__s"])).drop("__s").withColumn("gap", gap).drop("held")
 

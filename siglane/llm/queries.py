@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglane.llm import chat, exact, mixing, pieces, sharding, tokens
+from siglane.llm import chat, exact, lm, media, mixing, neardup, pieces, sharding, tokens, toxicity
 from siglane.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_tokens(tokens.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op2_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.read_media(*media.write_media(table(spark, sf_dir, "documents")))
+
+
 def op3_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -34,10 +38,22 @@ def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+def op9_lm_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simple8b_tokens, op3_prefix_targets, op4_byte_shards, op5_exact_dedup, op6_pareto_mix, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_simple8b_tokens, op2_media_chunks, op3_prefix_targets, op4_byte_shards, op5_exact_dedup, op6_pareto_mix, op7_toxicity, op8_lsh_forest, op9_lm_bloom, op10_sentencepiece)}
 
 ORACLES: dict[str, str] = {}
