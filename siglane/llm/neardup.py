@@ -4,7 +4,8 @@ Documents with the same words are one class; only classes are compared. A class
 values each. For each tree all classes are sorted by signature. In sorted order, the documents that share the longest
 prefix with one are its neighbours, however dense its region is: where few documents share LEAST_DEPTH values these
 are all, where many do the order goes on by deeper values. Each class is paired with the NEAR next ones that share
-LEAST_DEPTH values at least. Pairs are confirmed on the whole shingle sets, of whole texts.
+LEAST_DEPTH values at least. Pairs are confirmed on the whole shingle sets, of whole texts. In regions of more than
+NEAR documents, whatever pairs lie farther apart are found exactly, by their rarest shingles.
 """
 
 from __future__ import annotations
@@ -86,15 +87,20 @@ def _signed(k: int):
 _PAIRS = "a binary, b binary, shared int, tree int, key binary, class binary"
 
 
-def _neighbours(tree: np.ndarray, key: np.ndarray, name: list[bytes], fresh: int) -> list[tuple[bytes, bytes, int]]:
-    """Pairs of sorted rows not more than NEAR apart, of which the later is at ``fresh`` or after."""
+def _neighbours(tree: np.ndarray, key: np.ndarray, name: list[bytes], fresh: int) -> list[tuple[bytes, bytes | None, int]]:
+    """Pairs of sorted rows not more than NEAR apart, of which the later is at ``fresh`` or after; and marks (class,
+    None, -1) of rows that share LEAST_DEPTH values with one farther away."""
     out = []
-    for step in range(1, NEAR + 1):
+    for step in range(1, NEAR + 2):
         low = max(0, fresh - step)
         x, y = slice(low, len(tree) - step), slice(low + step, len(tree))
         if len(tree) <= low + step:
             continue
         same = np.cumprod(key[x] == key[y], axis=1).sum(axis=1)
+        if step > NEAR:  # farther apart than pairs are made: both are only marked
+            for i in np.flatnonzero((tree[x] == tree[y]) & (same >= LEAST_DEPTH)).tolist():
+                out += [(name[low + i], None, -1), (name[low + i + step], None, -1)]
+            continue
         for i in np.flatnonzero((tree[x] == tree[y]) & (same >= LEAST_DEPTH)).tolist():
             a, b = name[low + i], name[low + i + step]
             if a != b:
@@ -115,14 +121,14 @@ def _walk(ends: bool):
             if not n:
                 continue
             rows = list(zip(t.tolist(), keys, n, strict=True))
-            kept += rows[: max(0, NEAR - seen)]
-            last = (last + rows[-NEAR:])[-NEAR:]
+            kept += rows[: max(0, NEAR + 1 - seen)]
+            last = (last + rows[-NEAR - 1 :])[-NEAR - 1 :]
             seen += len(rows)
             fresh = len(name)
             tree, name = np.concatenate([tree, t]), name + n
             key = np.concatenate([key, np.frombuffer(b"".join(keys), dtype=np.uint32).reshape(-1, DEPTH)])
             found = _neighbours(tree, key, name, fresh)
-            tree, key, name = tree[-NEAR:], key[-NEAR:], name[-NEAR:]
+            tree, key, name = tree[-NEAR - 1 :], key[-NEAR - 1 :], name[-NEAR - 1 :]
             none = [None] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.binary(), pa.binary(), pa.int32()))] + [pa.array(none, kind) for kind in (pa.int32(), pa.binary(), pa.binary())], names=["a", "b", "shared", "tree", "key", "class"])
         if ends and seen:
@@ -133,8 +139,9 @@ def _walk(ends: bool):
     return run
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """a, b, votes: pairs of classes, and the prefix values that they share over all trees where they are neighbours.
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, votes: pairs of classes, and the prefix values that they share over all trees where they are neighbours;
+    class: those of regions where some lie too far apart to be paired).
 
     The sorted orders are dealt by range, so a dense region is split like any other; the few rows at the ends of the
     partitions are walked once more together, which gives the pairs across them.
@@ -146,7 +153,47 @@ def candidates(classes: DataFrame) -> DataFrame:
     walked = store(trees.mapInArrow(_walk(True), _PAIRS), "neighbours")
     ends = walked.filter("tree is not null").select("tree", "key", "class").coalesce(1).sortWithinPartitions("tree", "key", "class").mapInArrow(_walk(False), _PAIRS)
     pairs = walked.filter("a is not null").select("a", "b", "shared").unionByName(ends.select("a", "b", "shared"))
-    return store(pairs.groupBy("a", "b").agg(F.sum("shared").alias("votes")), "candidates")
+    pairs = store(pairs, "walked")
+    votes = pairs.filter("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("votes"))
+    return store(votes, "candidates"), store(pairs.filter("b is null").select(F.col("a").alias("class")).distinct(), "dense")
+
+
+def _far_pairs(dense: DataFrame, texts: DataFrame, label: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b: all pairs of dense classes in different components that may reach percent/100, by prefix filtering.
+
+    Of two sets of n and m that do, each has one of the other's shingles among its first n - ceil(percent n / 100) + 1 in any
+    common order. Rarest first, a shingle that only one set has counts towards these and pairs nothing, and what many
+    texts share comes last. Only shingles that stand first in sets of different components are joined.
+    """
+
+    def run(batches):
+        press = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                names, packed = (c.to_pylist() for c in batch.slice(at, 200).columns)
+                plain = utf8(pa.array([press.decompress(t).decode() for t in packed], pa.large_string()))
+                for start, stop in slices(plain):
+                    sets = [s for _, s in _classes(plain.slice(start, stop - start), k)]
+                    sizes = [len(s) for s in sets]
+                    own = [n for n, z in zip(names[start:stop], sizes, strict=True) for _ in range(z)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(own, pa.binary()), pa.array(np.repeat(sizes, sizes), pa.int64())], names=["shingle", "class", "n"])
+
+    own = texts.join(dense, "class").select("class", "text").mapInArrow(run, "shingle long, class binary, n long")
+    own = store(own, "dense-shingles")
+    often = own.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1")
+    shared = own.join(often, "shingle")
+    by_class = Window.partitionBy("class")
+    alone = F.col("n") - F.count("*").over(by_class)
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    shared = shared.withColumns({"alone": alone, "place": F.row_number().over(by_class.orderBy("f", "shingle"))}).filter(F.col("place") + F.col("alone") <= first)
+    shared = shared.join(label.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    shared = store(shared.select("shingle", "class", "n", "component"), "dense-first")
+    mixed = shared.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("shingle")
+    shared = shared.join(mixed, "shingle")
+    x = shared.select("shingle", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = shared.select("shingle", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    close = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return x.join(y, "shingle").filter(close).select("a", "b").distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -191,15 +238,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     table gives an empty one; other columns are left out.
 
     Candidates are confirmed in two steps: first each class's FIRST best pairs, then all pairs of classes that these
-    have not connected. No link between components can be missed by that, as each candidate pair of theirs is
-    confirmed.
+    have not connected; then those pairs of dense regions that the order has put too far apart. No link between
+    components can be missed by that, as each candidate pair of theirs is confirmed.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = store(docs.mapInArrow(_signed(k), "doc_id long, class binary, n_shingles long, signature binary"), "signed", compression="none")
     full = rows.filter("class is not null")
     classes = store(full.groupBy("class").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("signature").alias("signature")), "classes", compression="none")
-    pairs = candidates(classes)
+    pairs, dense = candidates(classes)
     nodes = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     nodes = store(nodes.join(classes.select("class", "rep"), "class"), "nodes")
 
@@ -240,7 +287,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     more = store(_confirmed(rest, texts, k, percent), "links")
     # Components so far are stars, so the rest's links only have to join these.
     stars = so_far.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    label = components(stars.unionByName(more)) if more.limit(1).count() else so_far
+    stars = stars.unionByName(more)
+    label = store(components(stars), "components") if more.limit(1).count() else so_far
+    if dense.limit(1).count():
+        far = _far_pairs(dense, texts, label, k, percent).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+        far = store(_confirmed(far, texts, k, percent), "links")
+        if far.limit(1).count():
+            label = components(stars.unionByName(far))
     label = store(label.join(classes.select(F.col("class").alias("node"), "rep"), "node"), "labels")
     named = label.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))
     by_class = lookup(label.select("node", "component"), named, "component", "n", label.count()).select(F.col("node").alias("class"), "component_id")
