@@ -56,4 +56,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_simple8b_tokens, op2_media_chunks, op3_prefix_targets, op4_byte_shards, op5_exact_dedup, op6_pareto_mix, op7_toxicity, op8_lsh_forest, op9_lm_bloom, op10_sentencepiece)}
 
-ORACLES: dict[str, str] = {}
+_ESCAPED = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
+
+ORACLES: dict[str, str] = {
+    "op3_prefix_targets": rf"""
+WITH rows_ AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+sized AS (SELECT *, 24 + length(replace({_ESCAPED.format("role")}, chr(10), '<' || chr(92) || 'n')) + length({_ESCAPED.format("text")}) AS size, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM rows_ WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+prefixes AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY k) AS prefix FROM sized)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256, CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256, CAST(sum(prefix) FILTER (role = 'assistant' OR k = n) AS BIGINT) AS formatted_chars FROM prefixes GROUP BY conv_id""",
+    "op5_exact_dedup": r"""
+WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS m FROM documents),
+k AS (SELECT doc_id, m, first_value(doc_id) OVER (PARTITION BY m ORDER BY length(t) DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY m) AS group_size FROM n)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(m) AS text_sha256 FROM k""",
+}
