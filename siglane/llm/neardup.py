@@ -163,7 +163,10 @@ def _far_pairs(dense: DataFrame, texts: DataFrame, label: DataFrame, k: int, per
 
     Of two sets of n and m that do, each has one of the other's shingles among its first n - ceil(percent n / 100) + 1 in any
     common order. Rarest first, a shingle that only one set has counts towards these and pairs nothing, and what many
-    texts share comes last. Only shingles that stand first in sets of different components are joined.
+    texts share comes last. Only shingles that stand first in sets of different components are joined. At the first
+    shingle that two sets have in common, place i of n and j of m, at most 1 + min(n - i, m - j) shingles are left to
+    share; pairs for which that can't be percent/100 of the union are left out, which every pair asked for survives at
+    that shingle.
     """
 
     def run(batches):
@@ -185,14 +188,15 @@ def _far_pairs(dense: DataFrame, texts: DataFrame, label: DataFrame, k: int, per
     by_class = Window.partitionBy("class")
     alone = F.col("n") - F.count("*").over(by_class)
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    shared = shared.withColumns({"alone": alone, "place": F.row_number().over(by_class.orderBy("f", "shingle"))}).filter(F.col("place") + F.col("alone") <= first)
+    shared = shared.withColumns({"alone": alone, "place": F.row_number().over(by_class.orderBy("f", "shingle"))}).withColumn("place", F.col("place") + F.col("alone")).filter(F.col("place") <= first)
     shared = shared.join(label.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    shared = store(shared.select("shingle", "class", "n", "component"), "dense-first")
+    shared = store(shared.select("shingle", "class", "n", "place", "component"), "dense-first")
     mixed = shared.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("shingle")
     shared = shared.join(mixed, "shingle")
-    x = shared.select("shingle", F.col("class").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = shared.select("shingle", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    x = shared.select("shingle", F.col("class").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca"))
+    y = shared.select("shingle", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
     close = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    close &= (100 + percent) * (1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))) >= percent * (F.col("na") + F.col("nb"))
     return x.join(y, "shingle").filter(close).select("a", "b").distinct()
 
 

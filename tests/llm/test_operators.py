@@ -303,14 +303,17 @@ def test_op8(spark, odd, docs):
     assert left.columns == odd.columns and {r.doc_id for r in left.collect()} == {r.doc_id for r in rows if r.kept and r.doc_id is not None}
 
 
-def test_op8_dense_region(spark):
-    gen = random.Random(3)
+@pytest.mark.parametrize("seed", [3, 4])
+def test_op8_dense_region(spark, seed):
+    gen = random.Random(seed)
     base = [f"b{k}" for k in range(200)]
     source = []
     for d in range(150):
         w = list(base)
         for _ in range(gen.randrange(0, 9)):
             w[gen.randrange(len(w))] = f"n{gen.random()}"
+        if seed == 4:  # sets of unequal sizes
+            w = w[: len(w) - gen.randrange(0, 40)]
         source.append((d, " ".join(w)))
     found = neardup.near_duplicates(spark.createDataFrame(source, "doc_id long, text string")).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute_components(source, 5)
