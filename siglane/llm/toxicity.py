@@ -25,6 +25,8 @@ MOST_LABELLED = 1500
 #: Buckets of fewer labelled texts than this keep a zero vector.
 LEAST_TEXTS = 4
 WARM_STEPS, STEPS, RATE = 20, 100, 1.0
+#: So many distinct words are cut into n-grams at a time; beyond that, the fit holds 4 bytes of each n-gram.
+BLOCK = 1 << 13
 
 
 def grams(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,8 +71,10 @@ class Model:
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         distinct, codes, bounds = words(texts)
-        bucket, owner = grams(distinct)
-        value = np.bincount(owner, weights=self.weights[bucket], minlength=len(distinct)) / np.maximum(np.bincount(owner, minlength=len(distinct)), 1)
+        value = np.zeros(len(distinct))
+        for a in range(0, len(distinct), BLOCK):
+            bucket, owner = grams(distinct.slice(a, BLOCK))
+            value[a : a + BLOCK] = np.bincount(owner, weights=self.weights[bucket]) / np.bincount(owner)
         starts, text = passages(bounds)
         out = np.full(len(texts), self.bias)
         if len(starts):
@@ -88,22 +92,41 @@ def passages(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bounds[:-1][text] + nth * PASSAGE, text
 
 
-def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.0, 1.0)) -> Model:
+def blocks(distinct: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, in the order of the words; where each word's begin) for every BLOCK words."""
+    out = []
+    for a in range(0, len(distinct), BLOCK):
+        bucket, owner = grams(distinct.slice(a, BLOCK))
+        order = np.argsort(owner, kind="stable")
+        # Every word has one bucket at least: itself.
+        out.append((bucket[order].astype(np.int32), np.flatnonzero(np.diff(owner[order], prepend=-1))))
+    return out
+
+
+def train(texts: list[str] | pa.Array, labels: list[int], shares: tuple[float, float] = (1.0, 1.0)) -> Model:
     """Fits vectors and softmax; shares are the labelled rows that one row of class 0 and of class 1 stands for."""
-    if not texts or len(set(labels)) < 2:
+    if not len(texts) or len(set(labels)) < 2:
         constant = 60.0 if labels and labels[0] else -60.0
         return Model(np.zeros(BUCKETS), constant)
-    distinct, codes, bounds = words(utf8(pa.array(texts)))
-    bucket, owner = grams(distinct)
-    order = np.argsort(owner, kind="stable")
-    bucket, owner = bucket[order], owner[order]
-    firsts = np.flatnonzero(np.diff(owner, prepend=-1))  # every word has one at least: itself
-    parts = np.diff(np.append(firsts, len(owner)))
+    distinct, codes, bounds = words(texts if isinstance(texts, pa.Array) else utf8(pa.array(texts)))
+    parted = blocks(distinct)
+    parts = np.concatenate([np.diff(np.append(firsts, len(bucket))) for bucket, firsts in parted] or [np.zeros(0, dtype=np.int64)])
+
+    def by_words(of_bucket: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.add.reduceat(of_bucket[bucket], firsts) for bucket, firsts in parted] or [np.zeros(0)])
+
+    def by_buckets(of_word: np.ndarray) -> np.ndarray:
+        out, at = np.zeros(BUCKETS), 0
+        for bucket, firsts in parted:
+            n = len(firsts)
+            out += np.bincount(bucket, weights=np.repeat(of_word[at : at + n], parts[at : at + n]), minlength=BUCKETS)
+            at += n
+        return out
+
     # Texts that each bucket occurs in, at most: the texts of its words, added up.
-    of_text = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    pairs = np.unique(of_text * max(1, len(distinct)) + codes)
-    by_word = np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct))
-    trained = np.bincount(bucket, weights=by_word[owner], minlength=BUCKETS) >= LEAST_TEXTS
+    pairs = np.unique(np.repeat(np.arange(len(texts)), np.diff(bounds)) * max(1, len(distinct)) + codes)
+    trained = by_buckets(np.bincount(pairs % max(1, len(distinct)), minlength=len(distinct))) >= LEAST_TEXTS
+    del pairs
     wanted = np.array(labels, dtype=np.float64)
     weight = np.where(wanted > 0, shares[1], shares[0])
     weight /= weight.sum()
@@ -116,7 +139,7 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.
     state = [[np.zeros_like(x), 0.0] for x in (vectors, rows, bias)]
     for step in range(1, WARM_STEPS + STEPS + 1):
         across = rows[1] - rows[0]
-        value = np.add.reduceat((vectors @ across)[bucket], firsts) / parts if len(firsts) else np.zeros(0)
+        value = by_words(vectors @ across) / parts
         warm = step <= WARM_STEPS
         begins, of = (bounds[:-1][whole], whole) if warm else (starts, text)
         n = np.diff(np.append(begins, len(codes)))
@@ -132,7 +155,7 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.
         error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - wanted) * weight
         at = np.repeat(begins - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         slopes = np.bincount(codes[at], weights=np.repeat(error[of] / n, n), minlength=len(distinct)) / parts
-        by_bucket = np.bincount(bucket, weights=slopes[owner], minlength=BUCKETS) * trained
+        by_bucket = by_buckets(slopes) * trained
         slope = by_bucket @ vectors
         pulls = [np.outer(by_bucket, across), np.stack([-slope, slope]), np.array([-error.sum(), error.sum()])]
         # One step length for each array: a vector moves by the evidence there is for it, not by as much as any other.
@@ -157,10 +180,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         own = known.filter(F.col("toxic") == c).orderBy(place, "doc_id").limit(MOST_LABELLED)
         chosen = own if chosen is None else chosen.unionByName(own)
     # MOST_LABELLED ids of each class: a proven bound for the broadcast.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").toPandas()
-    used = sample["toxic"].value_counts()
-    shares = tuple(counts.get(c, 0) / max(1, int(used.get(c, 0))) for c in (0, 1))
-    return train(sample["text"].fillna("").tolist(), sample["toxic"].tolist(), shares)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").toArrow()
+    toxic = sample.column("toxic").to_pylist()
+    shares = tuple(counts.get(c, 0) / max(1, toxic.count(c)) for c in (0, 1))
+    return train(utf8(sample.column("text")), toxic, shares)
 
 
 def _scored(docs: DataFrame, model: Model, keep: bool) -> DataFrame:
