@@ -56,7 +56,8 @@ def _fields(data: bytes):
 class PieceEncoder:
     """ids of texts by the vocabulary at ``path``; begin and end ids are put around each text's."""
 
-    MOST = 1_000_000
+    #: Cuts that are remembered: a worker keeps them from task to task, so they are few enough for all workers of an executor.
+    MOST = 1 << 18
 
     def __init__(self, path: str):
         import sentencepiece
