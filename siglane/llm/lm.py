@@ -2,11 +2,12 @@
 
 The filter knows, of each unigram and bigram of the training texts, the level 1 + floor(log(count) / log(BASE)): it
 holds (n-gram, 1) to (n-gram, level), so repeated probes find the level, and never less than it. It is built in pieces
-by the keys' first bits, sized by what each piece holds, and no larger in all than MOST_BITS: beyond that it errs more
-often, upwards, but forgets nothing. Scoring broadcasts it; probabilities interpolate bigrams with unigrams.
+by the keys' first bits, each of BITS_EACH bits for every entry that it holds, at any size of the corpus. No machine
+holds the whole: the n-grams of the texts, in slices, are sent to the pieces, and what these say is sent back to the
+slices. Probabilities interpolate bigrams with unigrams.
 
-Exact unigram counts, for the base score, are broadcast for the most frequent tokens, HEAD at most; all others of a
-text are joined with their counts by key.
+Exact unigram counts, for the base score, and levels are broadcast for the most frequent tokens, HEAD at most; those
+of all others come from the pieces.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +26,13 @@ from siglane.llm.common import fold_of, hashes, mix, partitions, prepare, slices
 
 FOLDS, HELD_OUT = 7, 2
 BASE = 1.5
-PROBES, BITS_EACH, MOST_BITS = 3, 8, 1 << 29
+PROBES, BITS_EACH = 3, 8
 PREFIX = 10
 HEAD = 1 << 21
 #: n-grams that a task gathers before it sends them on.
 GATHER = 6_000_000
+#: n-grams that a task holds against a piece at a time.
+ASK = 1 << 18
 #: What a bigram's unigram probability weighs against its context's count.
 PRIOR = 8.0
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end "))
@@ -167,8 +171,6 @@ def gather(docs: DataFrame) -> DataFrame:
                     size = 0
         yield from flush()
 
-    most = MOST_BITS >> PREFIX
-
     def merged(batches):
         now, held = None, {1: ([], []), 2: ([], [])}
 
@@ -180,7 +182,7 @@ def gather(docs: DataFrame) -> DataFrame:
                 counts.clear()
             keys = np.concatenate([found[1][0], found[2][0]])
             level = levels(np.concatenate([found[1][1], found[2][1]]))
-            size = max(8, min(most, int(level.sum()) * BITS_EACH) // 8)
+            size = max(8, int(level.sum()) * BITS_EACH // 8)
             piece = np.zeros(size, dtype=np.uint8)
             for step in range(1, int(level.max()) + 1):
                 for p in places(keys[level >= step], step, np.uint64(size * 8)):
@@ -208,6 +210,81 @@ def gather(docs: DataFrame) -> DataFrame:
     return store(dealt.mapInArrow(merged, _PIECE), "ngrams")
 
 
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    """Where each bucket begins among sorted keys, and their number."""
+    return np.searchsorted((keys >> np.uint64(64 - PREFIX)).astype(np.int64), np.arange((1 << PREFIX) + 1))
+
+
+def _blobs(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values that end at these bytes of data."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+
+
+def _found(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of keys in sorted ``known``, whether they are there)."""
+    if not len(known):
+        return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return at, known[at] == keys
+
+
+def _opened(sizes: bytes, one: bytes, which: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct tokens, each token as an index into them, first token of each text and the total) of a slice."""
+    bounds = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, dtype="<i4"), dtype=np.int64)])
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(which), dtype=np.uint8).reshape(4, -1)
+    return np.frombuffer(one, dtype="<u8"), np.ascontiguousarray(planes.T).view("<i4").ravel(), bounds
+
+
+def _sliced(batches):
+    """One row for each slice of texts: its ids, their tokens' numbers, its distinct tokens, the tokens as indices.
+
+    The indices are packed as first bytes, second bytes and so on, of which the last are nearly all zero.
+    """
+    number, press = TaskContext.get().partitionId() << 40, zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = utf8(batch.column(1))
+        for a, b in slices(texts):
+            tokens, bounds = tokens_of(texts.slice(a, b - a))
+            one, which = np.unique(tokens, return_inverse=True)
+            row = (number, batch.column(0).slice(a, b - a).to_pylist(), np.diff(bounds).astype("<i4").tobytes(), one.astype("<u8").tobytes(), press.compress(which.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()))
+            number += 1
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=["slice", "ids", "sizes", "one", "which"])
+
+
+def _answered(batches):
+    """What a bucket's piece says of the n-grams of each slice: levels, and the exact counts of unigrams."""
+    own, keys, counts = LogFilter({}), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    now, asked, size = None, [], 0
+
+    def done():
+        ones, twos = [np.frombuffer(one, dtype="<u8") for _, one, _ in asked], [_unpacked(two, 2) for _, _, two in asked]
+        one, two = np.concatenate(ones), np.concatenate(twos)
+        at, there = _found(keys, one)
+        c = np.where(there, counts[at], 0) if len(keys) else np.zeros(len(one), dtype=np.int64)
+        ends1, ends2 = np.cumsum([len(x) for x in ones]), np.cumsum([len(x) for x in twos])
+        columns = [pa.array([n for n, _, _ in asked], pa.int64()), pa.array([now] * len(asked), pa.int32()), _blobs(own.level(one).astype("u1"), ends1), _blobs(c.astype("<i8"), ends1 * 8), _blobs(own.level(two).astype("u1"), ends2)]
+        asked.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["slice", "bucket", "levels1", "counts1", "levels2"])
+
+    for batch in batches:
+        for first in range(0, batch.num_rows, 256):
+            for number, bucket, one, two, bits, its_keys, its_counts in zip(*(c.to_pylist() for c in batch.slice(first, 256).columns), strict=True):
+                if asked and (bucket != now or size > ASK):
+                    yield done()
+                    size = 0
+                if bucket != now:
+                    now, own, keys, counts = bucket, LogFilter({}), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+                if bits is not None:
+                    own, keys, counts = LogFilter({bucket: bits}), np.frombuffer(its_keys, dtype="<u8"), np.frombuffer(its_counts, dtype="<i8")
+                    continue
+                asked.append((number, one, two))
+                size += len(one) // 8 + len(two) // 6
+    if asked:
+        yield done()
+
+
 def score_documents(docs: DataFrame, prior: float = PRIOR) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs`` (doc_id, text).
 
@@ -219,82 +296,89 @@ def score_documents(docs: DataFrame, prior: float = PRIOR) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held_out = fold_of(F.col("doc_id"), FOLDS) == HELD_OUT
     learned = gather(docs.filter(~held_out))
-    # MOST_BITS and 1 << PREFIX rows at most.
-    pieces = learned.select("bucket", "bits", "total", "distinct_", "at_least").collect()
+    # 1 << PREFIX rows at most, of 48 numbers.
+    pieces = learned.select("total", "distinct_", "at_least").collect()
     total, distinct = sum(r["total"] for r in pieces), sum(r["distinct_"] for r in pieces)
     above = np.sum([r["at_least"] for r in pieces], axis=0) if pieces else np.zeros(48, dtype=np.int64)
     threshold = 1 << int(np.flatnonzero(above <= HEAD)[0])
-    filter_ = LogFilter({r["bucket"]: bytes(r["bits"]) for r in pieces})
-    del pieces
-
-    def unigrams(frequent: bool):
-        def run(batches):
-            for batch in batches:
-                for keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    k, n = np.frombuffer(keys, dtype="<i8"), np.frombuffer(counts, dtype="<i8")
-                    keep = (n >= threshold) == frequent
-                    yield pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array(n[keep])], names=["key", "c"])
 
-        return learned.select("keys", "counts").mapInArrow(run, "key long, c long")
-
-    head = unigrams(True).toArrow()
-    keys, counts = (np.asarray(c.combine_chunks()) if c.num_chunks else np.zeros(0, dtype=np.int64) for c in head.columns)
+    def frequent(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bucket, bits, keys, counts = (c[i].as_py() for c in batch.columns)
+                k, n = np.frombuffer(keys, dtype="<i8"), np.frombuffer(counts, dtype="<i8")
+                k, n = k[n >= threshold], n[n >= threshold]
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n), pa.array(LogFilter({bucket: bits}).level(k.view(np.uint64)))], names=["key", "c", "level"])
+
+    head = learned.select("bucket", "bits", "keys", "counts").mapInArrow(frequent, "key long, c long, level long").toArrow()
+    keys, counts, level = (np.asarray(c.combine_chunks()) if c.num_chunks else np.zeros(0, dtype=np.int64) for c in head.columns)
     keys = keys.view(np.uint64)
     order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((filter_, keys[order], counts[order]))
+    shared = spark.sparkContext.broadcast((keys[order], counts[order], level[order].astype(np.uint8)))
     mass = total + distinct + 1
 
-    def scored(batches):
-        own, known_keys, known_counts = shared.value
-        row = TaskContext.get().partitionId() << 40
+    def asked(batches):
+        known = shared.value[0]
         for batch in batches:
-            texts = utf8(batch.column(1))
-            for a, b in slices(texts):
-                tokens, bounds = tokens_of(texts.slice(a, b - a))
-                starts, n = bounds[:-1], np.diff(bounds)
-                one, which = np.unique(tokens, return_inverse=True)
-                at = np.minimum(np.searchsorted(known_keys, one), max(0, len(known_keys) - 1))
-                there = known_keys[at] == one if len(known_keys) else np.zeros(len(one), dtype=bool)
-                c = np.where(there, known_counts[at], 0) if len(known_keys) else np.zeros(len(one), dtype=np.int64)
-                base = np.where(there, np.log10((c + 1.0) / mass), 0.0)
-                about = VALUES[own.level(one)]
-                p1 = (about + 1) / mass
-                keys2, second = bigrams(tokens, bounds)
-                two, pair = np.unique(keys2, return_inverse=True)
-                context = about[which[second - 1]]
-                both = np.minimum(VALUES[own.level(two)][pair], context)
-                p = p1[which].copy()
-                p[second] = (both + prior * p[second]) / (context + prior)
-                of = np.repeat(np.arange(len(n)), n)
-                rare = np.flatnonzero(~there[which])
-                pairs, times = np.unique(of[rare] * len(one) + which[rare], return_counts=True)
-                splits = np.searchsorted(pairs // max(1, len(one)), np.arange(len(n) + 1))
-                rare_keys, times = one[pairs % max(1, len(one))].astype("<u8"), times.astype("<i4")
-                columns = [
-                    pa.array(row + np.arange(len(n))),
-                    batch.column(0).slice(a, b - a),
-                    pa.array(n.astype(np.int64)),
-                    pa.array(np.add.reduceat(there[which].astype(np.int64), starts)),
-                    pa.array(np.add.reduceat(base[which], starts)),
-                    pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)),
-                    pa.array([rare_keys[x:y].tobytes() for x, y in zip(splits[:-1], splits[1:], strict=True)], pa.binary()),
-                    pa.array([times[x:y].tobytes() for x, y in zip(splits[:-1], splits[1:], strict=True)], pa.binary()),
-                ]
-                row += len(n)
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_tokens", "known", "base", "score", "rare", "times"])
-
-    rows = store(docs.mapInArrow(scored, "row long, doc_id long, n_tokens long, known long, base double, score double, rare binary, times binary"), "scores")
-
-    def exploded(batches):
+            for i in range(batch.num_rows):
+                one, which, bounds = _opened(*(batch.column(k)[i].as_py() for k in (1, 2, 3)))
+                two = np.unique(bigrams(one[which], bounds)[0])
+                one = one[~_found(known, one)[1]]
+                cuts1, cuts2 = _buckets(one), _buckets(two)
+                some = np.flatnonzero(np.diff(cuts1) + np.diff(cuts2))
+                columns = [pa.array(np.full(len(some), batch.column(0)[i].as_py(), dtype=np.int64)), pa.array(some.astype(np.int32)), _blobs(one.astype("<u8"), cuts1[some + 1] * 8), _blobs(two.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6], cuts2[some + 1] * 6)]
+                yield pa.RecordBatch.from_arrays(columns, names=["slice", "bucket", "one", "two"])
+
+    def scored(batches):
+        known, known_counts, known_levels = shared.value
+        now, said = None, []
+
+        def done():
+            ids, *state = now
+            one, which, bounds = _opened(*state)
+            starts, n = bounds[:-1], np.diff(bounds)
+            levels1, counts1, levels2 = (np.frombuffer(b"".join(s[k] for s in said), dtype=t) for k, t in enumerate(("u1", "<i8", "u1")))
+            at, there = _found(known, one)
+            level, c = np.zeros(len(one), dtype=np.int64), np.zeros(len(one), dtype=np.int64)
+            level[there], c[there] = known_levels[at[there]], known_counts[at[there]]
+            level[~there], c[~there] = levels1, counts1
+            base = np.log10((c + 1.0) / mass)
+            about = VALUES[level]
+            keys2, second = bigrams(one[which], bounds)
+            pair = np.unique(keys2, return_inverse=True)[1]
+            context = about[which[second - 1]]
+            both = np.minimum(VALUES[levels2][pair], context)
+            p = ((about + 1) / mass)[which]
+            p[second] = (both + prior * p[second]) / (context + prior)
+            columns = [
+                pa.array(ids, pa.int64()),
+                pa.array(n.astype(np.int64)),
+                pa.array(np.add.reduceat((c > 0)[which].astype(np.int64), starts)),
+                pa.array(np.add.reduceat(base[which], starts)),
+                pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
         for batch in batches:
-            for row, rare, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                k = np.frombuffer(rare, dtype="<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), row)), pa.array(k), pa.array(np.frombuffer(times, dtype="<i4"))], names=["row", "key", "times"])
-
-    rare = rows.filter(F.octet_length("rare") > 0).select("row", "rare", "times").mapInArrow(exploded, "row long, key long, times int")
-    c = F.coalesce("c", F.lit(0))
-    terms = rare.join(unigrams(False), "key", "left").select("row", (F.log10((c + 1) / F.lit(float(mass))) * F.col("times")).alias("base2"), F.when(c > 0, F.col("times")).otherwise(0).alias("known2"))
-    sums = terms.groupBy("row").agg(F.sum("base2").alias("base2"), F.sum("known2").alias("known2"))
-    out = rows.select("row", "doc_id", "n_tokens", "known", "base", "score").join(sums, "row", "left")
-    zero = F.lit(0)
-    return out.select("doc_id", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("known2", zero)).cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("base2", F.lit(0.0))).alias("base_score"), "score")
+            for first in range(0, batch.num_rows, 256):
+                for ids, sizes, one, which, levels1, counts1, levels2 in zip(*(c.to_pylist() for c in batch.slice(first, 256).columns[2:]), strict=True):
+                    if sizes is None:
+                        said.append((levels1, counts1, levels2))
+                        continue
+                    if now is not None:
+                        yield done()
+                    now, said = (ids, sizes, one, which), []
+        if now is not None:
+            yield done()
+
+    parts = store(docs.mapInArrow(_sliced, "slice long, ids array<long>, sizes binary, one binary, which binary"), "slices", compression="none")
+    sent = parts.select("slice", "sizes", "one", "which").mapInArrow(asked, "slice long, bucket int, one binary, two binary")
+    # A bucket's piece comes first, then the slices that ask it.
+    sent = learned.select(F.lit(-1).cast("long").alias("slice"), "bucket", "bits", "keys", "counts").unionByName(sent, allowMissingColumns=True)
+    n = partitions(spark)
+    dealt = sent.withColumn("__to", F.expr(f"cast((bucket * {n}) div {1 << PREFIX} as int)")).repartitionById(n, "__to").sortWithinPartitions("bucket", "slice")
+    said = dealt.select("slice", "bucket", "one", "two", "bits", "keys", "counts").mapInArrow(_answered, "slice long, bucket int, levels1 binary, counts1 binary, levels2 binary")
+    # A slice comes first, then what the pieces say, in the order of its keys.
+    back = parts.withColumn("bucket", F.lit(-1)).unionByName(said, allowMissingColumns=True).repartition(n, "slice").sortWithinPartitions("slice", "bucket")
+    rows = back.select("slice", "bucket", "ids", "sizes", "one", "which", "levels1", "counts1", "levels2").mapInArrow(scored, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return rows.select("doc_id", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")

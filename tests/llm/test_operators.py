@@ -1,5 +1,6 @@
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -355,6 +356,36 @@ def test_op9(spark, odd, docs, monkeypatch):
     assert lm.score_documents(odd.limit(0)).count() == 0
 
 
+def test_op9_filter_grows_with_the_corpus(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda own, x, put=type(spark.sparkContext).broadcast: sent.append(len(pickle.dumps(x))) or put(own, x))
+    monkeypatch.setattr(lm, "MOST_BITS", 1 << 16, raising=False)  # a bound on the filter, as there was, would be passed by far
+    monkeypatch.setattr(lm, "HEAD", 20)
+    gen = random.Random(9)
+    source = [(k, " ".join(f"w{int(gen.paretovariate(0.4)) % 5000}" for _ in range(200))) for k in range(300)]
+    rows = rows_of(lm.score_documents(spark.createDataFrame(source, "doc_id long, text string")))
+    one, two = Counter(), Counter()
+    for d, t in source:
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            w = [*split(t), None]
+            one.update(w)
+            two.update(zip(w[:-1], w[1:], strict=True))
+    value = lambda n: lm.VALUES[int(lm.levels(np.array([n]))[0])] if n else 0.0
+    mass = sum(one.values()) + len(one) + 1
+    far = []
+    for d, t in source:
+        w = [*split(t), None]
+        want, before = 0.0, None
+        for k, x in enumerate(w):
+            p = (value(one[x]) + 1) / mass
+            if k:
+                p = (min(value(two[before, x]), value(one[before])) + lm.PRIOR * p) / (value(one[before]) + lm.PRIOR)
+            want, before = want + math.log10(min(p, 1.0)), x
+        far.append(abs(rows[d].score - want) / len(w))
+    assert len(two) > 10_000 and max(far) < 0.1
+    assert max(sent) < 2000  # no more than the most frequent tokens
+
+
 def test_log_filter_never_forgets():
     gen = np.random.default_rng(5)
     keys = np.unique(gen.integers(0, 2**63, 20_000, dtype=np.uint64))
