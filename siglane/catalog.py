@@ -290,15 +290,22 @@ def similarity_pairs(spark, d):
 _NDC = """SELECT printf('%06d-%03d', p_partkey, p_size) AS ndc, lower(p_name) AS brand, lower(p_type) AS generic, lower(p_brand) AS ingredient FROM part"""
 
 
-def _ndc_queries(spark, d):
-    p = views.table(spark, d, "part")
-    return p.filter("p_partkey <= 20").select(F.explode(F.array(F.upper("p_name"), F.col("p_type"), F.col("p_brand"))).alias("query")).distinct()
+def _ndc_queries(spark, d, some: str = "true"):
+    p = views.table(spark, d, "part").filter(some)
+    return p.select(F.explode(F.array(F.upper("p_name"), F.col("p_type"), F.col("p_brand"))).alias("query")).distinct()
 
 
 @query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT unnest([upper(p_name), p_type, p_brand]) AS query FROM part WHERE p_partkey <= 20), k AS (SELECT query, lower(regexp_replace(query, '[^A-Za-z0-9 ]', '', 'g')) AS name FROM q),
 hits AS (SELECT query, ndc, 1 AS place FROM k JOIN p ON name = brand UNION ALL SELECT query, ndc, 2 FROM k JOIN p ON name = generic UNION ALL SELECT query, ndc, 3 FROM k JOIN p ON name = ingredient)
 SELECT query, ndc AS product_ndc, ['ExactBrand', 'ExactGeneric', 'ExactIngredient'][place] AS match_type, CASE place WHEN 3 THEN 0.95 ELSE 1.0 END::DOUBLE AS confidence FROM (SELECT query, ndc, min(place) AS place FROM hits GROUP BY query, ndc)""", with_views=False)
 def ndc_exact(spark, d):
+    return ndc.lookup(_ndc_queries(spark, d, "p_partkey <= 20"), ndc.directory(views.products(spark, d), "ord"))
+
+
+@query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT unnest([upper(p_name), p_type, p_brand]) AS query FROM part), k AS (SELECT query, lower(regexp_replace(query, '[^A-Za-z0-9 ]', '', 'g')) AS name FROM q),
+hits AS (SELECT query, ndc, 1 AS place FROM k JOIN p ON name = brand UNION ALL SELECT query, ndc, 2 FROM k JOIN p ON name = generic UNION ALL SELECT query, ndc, 3 FROM k JOIN p ON name = ingredient)
+SELECT query, ndc AS product_ndc, ['ExactBrand', 'ExactGeneric', 'ExactIngredient'][place] AS match_type, CASE place WHEN 3 THEN 0.95 ELSE 1.0 END::DOUBLE AS confidence FROM (SELECT query, ndc, min(place) AS place FROM hits GROUP BY query, ndc)""", with_views=False)
+def ndc_exact_all(spark, d):
     return ndc.lookup(_ndc_queries(spark, d), ndc.directory(views.products(spark, d), "ord"))
 
 
@@ -308,12 +315,23 @@ def ndc_by_code(spark, d):
     return ndc.lookup(products.select(F.col("product_ndc").alias("query")), products)
 
 
+def _fuzzy(spark, d, some: str = "true"):
+    p = views.table(spark, d, "part").filter(some).select(F.expr("substring(p_name, 2)").alias("query"))
+    return rounded(ndc.lookup(p, ndc.directory(views.products(spark, d), "ord"), fuzzy=True).filter("match_type = 'Fuzzy'"))
+
+
 @query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT substr(p_name, 2) AS query FROM part WHERE p_partkey <= 20), k AS (SELECT query, lower(query) AS name FROM q WHERE lower(query) NOT IN (SELECT brand FROM p) AND lower(query) NOT IN (SELECT generic FROM p)),
 hits AS (SELECT query, ndc, levenshtein(name, brand) AS d, greatest(length(name), length(brand)) AS m, 4 AS place FROM k, p UNION ALL SELECT query, ndc, levenshtein(name, generic), greatest(length(name), length(generic)), 5 FROM k, p)
 SELECT query, ndc AS product_ndc, 'Fuzzy' AS match_type, round(1.0 - d / m, 6) + 0.0 AS confidence FROM hits WHERE d <= 3 QUALIFY row_number() OVER (PARTITION BY query, ndc ORDER BY place) = 1""", with_views=False)
 def ndc_fuzzy(spark, d):
-    p = views.table(spark, d, "part").filter("p_partkey <= 20").select(F.substring("p_name", 2, 100).alias("query"))
-    return rounded(ndc.lookup(p, ndc.directory(views.products(spark, d), "ord"), fuzzy=True).filter("match_type = 'Fuzzy'"))
+    return _fuzzy(spark, d, "p_partkey <= 20")
+
+
+@query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT substr(p_name, 2) AS query FROM part), k AS (SELECT query, lower(query) AS name FROM q WHERE lower(query) NOT IN (SELECT brand FROM p) AND lower(query) NOT IN (SELECT generic FROM p)),
+hits AS (SELECT query, ndc, levenshtein(name, brand) AS d, greatest(length(name), length(brand)) AS m, 4 AS place FROM k, p UNION ALL SELECT query, ndc, levenshtein(name, generic), greatest(length(name), length(generic)), 5 FROM k, p)
+SELECT query, ndc AS product_ndc, 'Fuzzy' AS match_type, round(1.0 - d / m, 6) + 0.0 AS confidence FROM hits WHERE d <= 3 QUALIFY row_number() OVER (PARTITION BY query, ndc ORDER BY place) = 1""", with_views=False)
+def ndc_fuzzy_all(spark, d):
+    return _fuzzy(spark, d)
 
 
 @query(f"WITH p AS ({_NDC}) SELECT count(DISTINCT ndc) AS codes, count(DISTINCT brand) AS brand_names, count(DISTINCT generic) AS generic_names FROM p", with_views=False)

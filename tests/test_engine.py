@@ -122,6 +122,20 @@ def test_ndc(spark):
     assert find("Liptor", fuzzy=True) == [("Fuzzy", "0069-0150-01", 0.857143)] and find("Liptor") == []
 
 
+def test_ndc_queries_look_up_all_parts(spark, tmp_path):
+    part = [(k, f"{chr(97 + k % 26)}name{k}" + " long" * (25 * (k in (3, 30))), f"TYPE{k}", f"Brand#{k}", k % 50) for k in range(1, 41)]
+    spark.createDataFrame(part, "p_partkey long, p_name string, p_type string, p_brand string, p_size int").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
+    for name in ("ndc_exact", "ndc_exact_all", "ndc_fuzzy", "ndc_fuzzy_all"):
+        ours = catalog.QUERIES[name](spark, str(tmp_path)).toPandas()
+        assert _rows(ours) == _rows(con.sql(catalog.ORACLES[name]).df())
+        if name == "ndc_exact_all":
+            assert {n.upper() for _, n, *_ in part} <= set(ours["query"])
+        if name == "ndc_fuzzy_all":
+            assert {n[1:] for _, n, *_ in part} == set(ours["query"])
+
+
 def test_openfda(spark):
     report = {"safetyreportid": "1", "serious": "1", "receiptdate": "20240105", "patient": {"drug": [{"drugcharacterization": "1", "medicinalproduct": "asp", "openfda": {"brand_name": ["Asp"]}}, {"drugcharacterization": "2", "medicinalproduct": "b"}], "reaction": [{"reactionmeddrapt": "ha"}, {"reactionmeddrapt": "ha"}]}}
     calls = []
