@@ -287,6 +287,12 @@ def similarity_pairs(spark, d):
     return rounded(dedup.neighbours(views.reports(spark, d), "ord", block="event_month"))
 
 
+@query("""SELECT a, b, round(dist, 6) + 0.0 AS distance FROM (SELECT x.ord AS a, y.ord AS b, CASE WHEN x.mfr = y.mfr THEN 0.0 ELSE 1.0 - ((x.age = y.age)::INT + (x.sex = y.sex)::INT + (x.country = y.country)::INT + 2 * (x.month = y.month)::INT + 3 * (x.drug = y.drug)::INT + 2) / 10.0 END::DOUBLE AS dist
+FROM reports x JOIN reports y ON x.ord < y.ord) WHERE dist <= 0.15""")
+def similarity_pairs_all(spark, d):
+    return rounded(dedup.neighbours(views.reports(spark, d), "ord"))
+
+
 _NDC = """SELECT printf('%06d-%03d', p_partkey, p_size) AS ndc, lower(p_name) AS brand, lower(p_type) AS generic, lower(p_brand) AS ingredient FROM part"""
 
 

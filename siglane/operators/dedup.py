@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,10 +71,33 @@ def dedup_summary(clustered: DataFrame) -> DataFrame:
     return clustered.agg(F.count("*").alias("input_count"), F.count_if("is_primary").alias("unique_count"), F.count_if(~F.col("is_primary")).alias("removed_count"))
 
 
-def neighbours(reports: DataFrame, key: str, radius: float = RADIUS, block: str = "fp_drug", config: DedupConfig = DedupConfig()) -> DataFrame:
-    """Pairs of reports of one ``block`` whose distance, 1 - similarity, is ``radius`` at most."""
+def _may_differ(radius: float) -> list[set[str]]:
+    """The largest sets of fields in which two reports within ``radius`` may differ: no more than its share of all weights."""
+    most = radius * sum(WEIGHTS.values()) + 1e-9
+    fits = [set(c) for n in range(len(WEIGHTS) + 1) for c in combinations(WEIGHTS, n) if sum(WEIGHTS[f] for f in c) <= most]
+    return [c for c in fits if not any(c < other for other in fits)]
+
+
+def neighbours(reports: DataFrame, key: str, radius: float = RADIUS, block: str | None = None, config: DedupConfig = DedupConfig()) -> DataFrame:
+    """a, b, distance: all pairs of reports whose distance, 1 - similarity, is ``radius`` at most; with ``block``, a
+    fingerprint column, only those that are equal in it.
+
+    Pairs meet by equal manufacturer numbers, and by all fields but those that may differ within the radius, null
+    equal to null. A pair counts where it meets first.
+    """
     fp = fingerprint(reports, config).select(key, *WEIGHTS, "fp_mfr")
     x = fp.select([F.col(c).alias("x_" + c) for c in fp.columns])
     y = fp.select([F.col(c).alias("y_" + c) for c in fp.columns])
-    pairs = x.join(y, (F.col("x_" + block) == F.col("y_" + block)) & (F.col("x_" + key) < F.col("y_" + key)))
+    equal = lambda names: reduce(lambda p, c: p & F.col("x_" + c).eqNullSafe(F.col("y_" + c)), names, F.lit(True))
+    wanted = equal([block] if block else []) & (F.col("x_" + key) < F.col("y_" + key))
+    ways = [(F.col("x_fp_mfr") == F.col("y_fp_mfr")) & (F.col("x_fp_mfr") != "")]
+    ways += [equal([c for c in WEIGHTS if c not in differ]) for differ in _may_differ(radius)] if radius >= 0 else []
+    pairs, met = [], F.lit(False)
+    for k, way in enumerate(ways):
+        left = x
+        if k and radius < 1:  # two reports without any field have similarity 0
+            left = x.filter(F.coalesce(*(F.col("x_" + c).cast("string") for c in WEIGHTS)).isNotNull())
+        pairs.append(left.join(y, way & wanted).filter(~met))
+        met = met | F.coalesce(way, F.lit(False))
+    pairs = reduce(DataFrame.unionByName, pairs)
     return pairs.withColumn("distance", 1.0 - similarity("x_", "y_")).filter(F.col("distance") <= radius).select(F.col("x_" + key).alias("a"), F.col("y_" + key).alias("b"), "distance")

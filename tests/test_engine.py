@@ -1,5 +1,6 @@
 import json
 import math
+import random
 
 import duckdb
 import numpy as np
@@ -112,6 +113,26 @@ def test_dedup(spark):
     assert dedup.dedup_summary(out).first()[:] == (7, 5, 2)
 
 
+@pytest.mark.parametrize("radius", [0.0, dedup.STRICT_RADIUS, dedup.RADIUS, dedup.LENIENT_RADIUS, 1.0])
+def test_neighbours_lose_no_pair(spark, radius):
+    gen = random.Random(7)
+    some = lambda *of: gen.choice([None, *of])
+    rows = [(k, some(40, 60), some("1", "2"), some("US", "JP"), some("20240105", "20240210"), some("asp", "ASP", "met"), some("ha", "nausea"), some(None, "", "m1", " M1", "m2")) for k in range(60)]
+    rows += [(100, 40, "1", "US", "20240105", "asp", "ha", "x9"), (101, 60, "2", "JP", "20240210", "met", "nausea", "X9 "), (102, 40, "1", "US", None, "asp", "ha", None), (103, 60, "1", "US", None, "asp", "ha", None), (104, *[None] * 7), (105, *[None] * 7)]
+    prints = {k: ((None if age is None else age // 5 * 5, sex, country, d and d[:6], drug and drug.upper(), reaction and reaction.upper()), mfr and mfr.strip().upper()) for k, age, sex, country, d, drug, reaction, mfr in rows}
+
+    def distance(x, y):
+        if x[1] and x[1] == y[1]:
+            return 0.0
+        there = [(w, a == b) for w, a, b in zip((1, 1, 1, 2, 3, 2), x[0], y[0], strict=True) if a is not None or b is not None]
+        return 1.0 - (sum(w for w, same in there if same) / sum(w for w, _ in there) if there else 0.0)
+
+    want = sorted((a, b, round(d, 6)) for a in prints for b in prints if a < b and (d := distance(prints[a], prints[b])) <= radius)
+    df = spark.createDataFrame(rows, "ord int, patient_age int, patient_sex string, occur_country string, event_date string, primary_drug string, primary_reaction string, mfr_num string")
+    assert sorted((r.a, r.b, round(r.distance, 6)) for r in dedup.neighbours(df, "ord", radius).collect()) == want
+    assert radius == 1.0 or (100, 101, 0.0) in want
+
+
 def test_ndc(spark):
     products = spark.createDataFrame([("0069-0150-01", "Lipitor", "Atorvastatin Calcium", ["x"], 1), ("0378-0127-01", "Atorvastatin Calcium Tablets", "Atorvastatin Calcium", ["x"], 2)], "product_ndc string, brand_name string, generic_name string, active_ingredients array<string>, ord int")
     d = ndc.directory(products, "ord")
