@@ -18,6 +18,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from siglane.llm import bloom
 from siglane.llm.common import hashes, lookup, mix, partitions, prepare, slices, store, utf8, words
@@ -59,13 +60,17 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _digests(hashed: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
+    """The class of each text's words, None where there are none."""
+    return [hashlib.blake2b(hashed[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+
 def _classes(texts: pa.Array, k: int):
     """(class or None, shingle set) of each text."""
     distinct, codes, bounds = words(texts)
     hashed = hashes(distinct)[codes]
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        own = hashed[a:b]
-        yield (hashlib.blake2b(own.tobytes(), digest_size=16).digest() if b > a else None), shingles(own, k)
+    for name, a, b in zip(_digests(hashed, bounds), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        yield name, shingles(hashed[a:b], k)
 
 
 def _signed(k: int):
@@ -232,19 +237,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
-
-    Words are lower-cased (A-Z) runs without white space; a text's set holds its distinct runs of k words, or all its
-    words as one where there are fewer. Documents are linked when their sets have percent/100 of their union in
-    common; a component is all that links reach, named by its smallest doc_id. Texts without words, and null, have an
-    empty set and are alone. Repeated rows are linked to each other; null doc_id is named after all others. An empty
-    table gives an empty one; other columns are left out.
-
-    Candidates are confirmed in two steps: first each class's FIRST best pairs, then all pairs of classes that these
-    have not connected; then those pairs of dense regions that the order has put too far apart. No link between
-    components can be missed by that, as each candidate pair of theirs is confirmed.
-    """
+def _components(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, class, n_shingles, signature of each row; class, rep, copies, component, component_id of each class)."""
     spark = prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = store(docs.mapInArrow(_signed(k), "doc_id long, class binary, n_shingles long, signature binary"), "signed", compression="none")
@@ -300,10 +294,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
             label = components(stars.unionByName(far))
     label = store(label.join(classes.select(F.col("class").alias("node"), "rep"), "node"), "labels")
     named = label.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))
-    by_class = lookup(label.select("node", "component"), named, "component", "n", label.count()).select(F.col("node").alias("class"), "component_id")
-    by_class = classes.select("class", "rep", "copies").join(by_class, "class", "left").select("class", "copies", F.coalesce("component_id", "rep").alias("component_id"))
-    by_class = store(by_class, "class-components")
-    of = lookup(full.select("doc_id", "n_shingles", "class"), by_class, "class", "copies", rows.count())
+    by_class = lookup(label.select("node", "component"), named, "component", "n", label.count()).select(F.col("node").alias("class"), "component", "component_id")
+    by_class = classes.select("class", "rep", "copies").join(by_class, "class", "left").select("class", "rep", "copies", F.coalesce("component", "class").alias("component"), F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("component_id")).alias("component_id"))
+    return rows, store(by_class, "class-components")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+
+    Rows of different texts without doc_id, or under one repeated doc_id, are of one component only where links
+    connect them, though the names of their components are equal.
+
+    Words are lower-cased (A-Z) runs without white space; a text's set holds its distinct runs of k words, or all its
+    words as one where there are fewer. Documents are linked when their sets have percent/100 of their union in
+    common; a component is all that links reach, named by its smallest doc_id. Texts without words, and null, have an
+    empty set and are alone. Repeated rows are linked to each other; null doc_id is named after all others. An empty
+    table gives an empty one; other columns are left out.
+
+    Candidates are confirmed in two steps: first each class's FIRST best pairs, then all pairs of classes that these
+    have not connected; then those pairs of dense regions that the order has put too far apart. No link between
+    components can be missed by that, as each candidate pair of theirs is confirmed.
+    """
+    rows, by_class = _components(docs, k, percent)
+    full = rows.filter("class is not null")
+    of = lookup(full.select("doc_id", "n_shingles", "class"), by_class.select("class", "copies", "component_id"), "class", "copies", rows.count())
     alone = rows.filter("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = of.select("doc_id", "n_shingles", "component_id").unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -311,7 +325,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component of ``docs``: the smallest doc_id's, in its own columns. Texts without words stay."""
-    kept = near_duplicates(docs, k, percent).filter("kept").select(F.col("doc_id").alias("__keep"), (F.col("n_shingles") > 0).alias("__full")).distinct()
-    own = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__keep"]))
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("__full")))
-    return own.withColumn("__n", first).filter("__n = 1 or not __full").select(*docs.columns)
+    _, by_class = _components(docs, k, percent)
+    least = by_class.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "class")).alias("x"))
+    kept = least.select(F.col("x.class").alias("__kept"), F.col("x.rep").alias("__rep"))
+    place = docs.columns.index("text")
+
+    def named(batches):
+        for batch in batches:
+            texts, names = utf8(batch.column(place)), []
+            for a, b in slices(texts):
+                distinct, codes, bounds = words(texts.slice(a, b - a))
+                names += _digests(hashes(distinct)[codes], bounds)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.binary())], names=[*batch.schema.names, "__class"])
+
+    own = docs.mapInArrow(named, StructType([*docs.schema.fields, StructField("__class", BinaryType())]))
+    full = own.join(kept, (F.col("__class") == F.col("__kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__rep")))
+    first = F.row_number().over(Window.partitionBy("__class", "__rep").orderBy("__rep"))
+    return full.withColumn("__n", first).filter("__n = 1").select(*docs.columns).unionByName(own.filter("__class is null").select(*docs.columns))

@@ -304,6 +304,30 @@ def test_op8(spark, odd, docs):
     assert left.columns == odd.columns and {r.doc_id for r in left.collect()} == {r.doc_id for r in rows if r.kept and r.doc_id is not None}
 
 
+def test_op8_keeps_each_text_without_or_under_a_repeated_id(spark, odd):
+    other = [(None, "some other text here without any id"), (None, "Some other text HERE without any id"), (None, ""), (5, "a second text under the id five"), (5, "a second text under the id five"), (None, "a b c d e f g h i j k l m n o p q r s t"), (None, "a b c d e f g h i j k l m n o p q r s u"), (7, "a b c d e f g h i j k l m n o p q r s v")]
+    docs = odd.unionByName(spark.createDataFrame(other, "doc_id long, text string"), allowMissingColumns=True)
+    source = [(r.doc_id, r.text) for r in docs.collect()]
+    left = neardup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    alone = [(n, t) for n, t in source if not split(t)]
+    least = {}
+    # Each text's component under ids of its own: no two of them have equal names.
+    ids = {k: n for k, (n, _) in enumerate(source)}
+    named = [(k, t) for k, (_, t) in enumerate(source)]
+    for k, (_, component) in zip(ids, sorted((d, c) for (d, _, c) in brute_components(named, 5)), strict=True):
+        if split(source[k][1]):
+            least.setdefault(component, []).append(k)
+    want = Counter()
+    for own in least.values():
+        want[min((ids[k] is None, ids[k] or 0) for k in own)] += 1
+    for n, _ in alone:
+        want[n is None, n or 0] += 1
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == want
+    texts = {r.text for r in left.collect()}
+    assert {"no id", "a second text under the id five"} <= texts and len({lower(t) for t in texts if t and "without any id" in lower(t)}) == 1
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_op8_dense_region(spark, seed):
     gen = random.Random(seed)
@@ -462,3 +486,12 @@ def test_stages_take_odd_and_empty_tables(spark, odd):
             stage(spark, docs, SF).write.parquet(path)
             docs = spark.read.parquet(path)
             assert docs.columns == before or "ids_sha256" in docs.columns
+
+
+def test_stages_take_odd_tables_whole(spark, odd):
+    docs = odd
+    for _, stage in corpus_pipeline.STAGES:
+        path = f"{corpus_pipeline.shared_dir(spark)}/odd-{random.random()}"
+        stage(spark, docs, SF).write.parquet(path)
+        docs, before = spark.read.parquet(path), docs
+        assert docs.columns == before.columns or "ids_sha256" in docs.columns
