@@ -75,21 +75,29 @@ class Model:
         for a in range(0, len(distinct), BLOCK):
             bucket, owner = grams(distinct.slice(a, BLOCK))
             value[a : a + BLOCK] = np.bincount(owner, weights=self.weights[bucket]) / np.bincount(owner)
-        starts, text = passages(bounds)
         out = np.full(len(texts), self.bias)
-        if len(starts):
-            size = np.diff(np.append(starts, len(codes)))
-            logit = np.add.reduceat(value[codes], starts) / size + self.bias
-            out[np.unique(text)] = np.maximum.reduceat(logit, np.flatnonzero(np.diff(text, prepend=-1)))
+        full = np.flatnonzero(np.diff(bounds))
+        if len(full):
+            out[full] += np.maximum.reduceat(passages(value[codes], bounds), bounds[:-1][full])
         return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
-def passages(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, text) of each passage of PASSAGE words; the last of a text may be shorter."""
-    count = -(-np.diff(bounds) // PASSAGE)
-    text = np.repeat(np.arange(len(count)), count)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    return bounds[:-1][text] + nth * PASSAGE, text
+def passages(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The mean of each passage of PASSAGE words, by its first word; -inf where the text ends before it does.
+
+    A shorter text is one passage. Sums are made in the order of the words, so that equal passages have equal means.
+    """
+    out = value.copy()
+    for j in range(1, PASSAGE):
+        out[: max(0, len(out) - j)] += value[j:]
+    out /= PASSAGE
+    n = np.diff(bounds)
+    for j in range(1, PASSAGE):
+        out[bounds[1:][n >= j] - j] = -np.inf
+    for size in range(1, PASSAGE):
+        first = bounds[:-1][n == size]
+        out[first] = sum(value[first + j] for j in range(size)) / size
+    return out
 
 
 def blocks(distinct: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -130,7 +138,6 @@ def train(texts: list[str] | pa.Array, labels: list[int], shares: tuple[float, f
     wanted = np.array(labels, dtype=np.float64)
     weight = np.where(wanted > 0, shares[1], shares[0])
     weight /= weight.sum()
-    starts, text = passages(bounds)
     whole = np.flatnonzero(np.diff(bounds))
     random = np.random.default_rng(0)
     vectors = random.uniform(-0.1, 0.1, (BUCKETS, WIDTH)) * trained[:, None]
@@ -140,16 +147,16 @@ def train(texts: list[str] | pa.Array, labels: list[int], shares: tuple[float, f
     for step in range(1, WARM_STEPS + STEPS + 1):
         across = rows[1] - rows[0]
         value = by_words(vectors @ across) / parts
-        warm = step <= WARM_STEPS
-        begins, of = (bounds[:-1][whole], whole) if warm else (starts, text)
+        begins, of = bounds[:-1][whole], whole
         n = np.diff(np.append(begins, len(codes)))
-        mean = np.add.reduceat(value[codes], begins) / n if len(begins) else np.zeros(0)
-        if not warm and len(of):
-            heads = np.flatnonzero(np.diff(of, prepend=-1))
-            top = np.repeat(np.maximum.reduceat(mean, heads), np.diff(np.append(heads, len(of))))
-            best = np.flatnonzero(mean == top)
-            best = best[np.diff(of[best], prepend=-1) > 0]
-            begins, of, n, mean = begins[best], of[best], n[best], mean[best]
+        if step <= WARM_STEPS:
+            mean = np.add.reduceat(value[codes], begins) / n if len(begins) else np.zeros(0)
+        else:
+            mean = passages(value[codes], bounds)
+            if len(of):
+                best = np.flatnonzero(mean == np.repeat(np.maximum.reduceat(mean, begins), n))
+                begins, n = best[np.searchsorted(best, begins)], np.minimum(n, PASSAGE)
+                mean = mean[begins]
         logit = np.full(len(texts), bias[1] - bias[0])
         logit[of] += mean
         error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - wanted) * weight

@@ -261,6 +261,22 @@ def test_op7_learns_subwords():
     assert toxicity.train([], []).scores(utf8(pa.array(["x", None]))).max() < 0.5
 
 
+def test_op7_scores_every_passage_of_three_words():
+    gen = random.Random(3)
+    model = toxicity.Model(np.random.default_rng(1).normal(size=toxicity.BUCKETS), -0.5)
+    texts = [" ".join(gen.choice("abcdefgh") * gen.randrange(1, 4) for _ in range(n)) for n in (0, 1, 2, 3, 4, 5, 6, 7, 50, 0, 2, 1)]
+    one = {w: math.log(p / (1 - p)) + 0.5 for w in {w for t in texts for w in t.split()} for p in model.scores(utf8(pa.array([w])))}
+    want = []
+    for t in texts:
+        v = [one[w] for w in t.split()]
+        worst = max(sum(v[i : i + 3]) / len(v[i : i + 3]) for i in range(max(1, len(v) - 2))) if v else 0.0
+        want.append(1 / (1 + math.exp(0.5 - worst)))
+    assert np.allclose(model.scores(utf8(pa.array(texts))), want)
+    # One word in front can't lower a text's score.
+    for t in texts[4:9]:
+        assert model.scores(utf8(pa.array(["z " + t])))[0] >= model.scores(utf8(pa.array([t])))[0]
+
+
 def test_op7(spark, odd, labels):
     rows = toxicity.score_toxicity(odd, labels).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.held_out == (zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 0) for r in rows)
