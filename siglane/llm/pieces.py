@@ -3,8 +3,10 @@
 A text is normalised by the library, cut before each blank sign that a non-blank precedes (no piece of the vocabulary
 may run across such a place, which is checked), and each distinct cut is merged once: the agenda holds all adjacent
 symbol pairs that form a piece, the best score first and of equal scores the leftmost. What no piece covers falls back
-to bytes. The library encodes every distinct cut of a batch too, and one text of WHOLE_SHARE as a whole; where it
-disagrees its ids are taken, and the row says so.
+to bytes. The library encodes every distinct cut of a batch too; where it disagrees its ids are taken, and the row says
+so. It also encodes one text of WHOLE_SHARE as a whole, and each with a cut that doesn't begin with a blank sign, which
+the library can't encode alone. If a whole text ever differs from its cuts put together, the work fails: the texts not
+held against the library could be wrong too.
 """
 
 from __future__ import annotations
@@ -133,7 +135,8 @@ class PieceEncoder:
         plain = texts.to_numpy(zero_copy_only=False).tolist()
         normal = [self.library.normalize(t) for t in plain]
         if not self.safe:
-            return [(self.begin + self.merge(t) + self.end, True) for t in normal]
+            whole = [np.array(self.library.encode(t), dtype="<u4").tobytes() for t in plain]
+            return [(self.begin + ids + self.end, self.merge(t) == ids) for t, ids in zip(normal, whole, strict=True)]
         parts = pc.split_pattern(pa.array(normal, pa.large_string()), BLANK)
         bounds = np.asarray(parts.offsets, dtype=np.int64)
         bounds = (bounds - bounds[0]).tolist()
@@ -148,18 +151,19 @@ class PieceEncoder:
         wrong = {k for k, p in enumerate(pieces) if disagreed and BLANK + p in disagreed}
         out = []
         for i, t in enumerate(normal):
-            own = codes[bounds[i] : bounds[i + 1]]
+            own, bare = codes[bounds[i] : bounds[i + 1]], False
             if t and (own[0] != empty or (own[1:] == empty).any()):  # no blank at first, or several in a row
+                bare = own[0] != empty
                 found = re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", t)
                 self.learn(list(dict.fromkeys(found)), disagreed)
                 ids, fine = b"".join([self.known[c] for c in found]), not disagreed.intersection(found)
             else:
                 own = own.tolist()
                 ids, fine = b"".join([table[c] for c in own]), not wrong.intersection(own) if wrong else True
-            if xxhash.xxh3_64_intdigest(t) % WHOLE_SHARE == 0:
+            if bare or xxhash.xxh3_64_intdigest(t) % WHOLE_SHARE == 0:
                 whole = np.array(self.library.encode(plain[i]), dtype="<u4").tobytes()
                 if whole != ids:
-                    ids, fine = whole, False
+                    raise ValueError("the library encodes a whole text otherwise than its cuts")
             out.append((self.begin + ids + self.end, fine))
         return out
 

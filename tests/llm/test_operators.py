@@ -469,6 +469,32 @@ def test_own_agenda_agrees_with_the_library():
                 assert own.merge(own.library.normalize(t)) == ids
 
 
+def test_op10_fails_where_whole_texts_differ_from_their_cuts(monkeypatch):
+    class Other:
+        """A library that encodes texts of several words otherwise than word by word, or knows no first blank."""
+
+        def __init__(self, tool, blank):
+            self.tool, self.blank = tool, blank
+
+        def encode(self, x, **options):
+            ids = self.tool.encode(x, **options)
+            return [*ids, 7] if isinstance(x, str) else ids
+
+        def normalize(self, x):
+            return self.tool.normalize(x)[0 if self.blank else 1 :]
+
+    texts = utf8(pa.array([f"some words {k}" for k in range(300)]))
+    own = pieces.PieceEncoder(PIECES)
+    assert all(fine for _, fine in own.batch(texts))
+    own.library = Other(own.library, True)
+    with pytest.raises(ValueError):
+        own.batch(texts)
+    own.library.blank = False
+    monkeypatch.setattr(pieces, "WHOLE_SHARE", 1 << 70)  # only for the cut without a blank sign
+    with pytest.raises(ValueError):
+        own.batch(texts)
+
+
 def test_pipeline(spark, docs):
     out = corpus_pipeline.run(spark, SF).collect()
     assert 0 < len({r.doc_id for r in out}) < len(docs)
