@@ -7,8 +7,18 @@ import os
 from pyspark.sql import SparkSession
 
 
+#: Bytes of a batch that Spark hands to a Python worker; by default 64 MB, of which a worker and Spark hold several.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, DEFAULT_BYTES = 4 << 20, 64 << 20
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package where it lies outside their path."""
+    """Lets Python workers import this package where it lies outside their path, and bounds what they are handed at once.
+
+    A size of batches that the session has been given is left as it is.
+    """
+    if spark.conf.get(BATCH).rstrip("b") == str(DEFAULT_BYTES):
+        spark.conf.set(BATCH, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
