@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 
@@ -20,7 +23,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: A key counts as hot when it holds more than this share of all rows, so there are at most HOT_SHARE of them.
 HOT_SHARE = 1024
 #: Texts of an Arrow batch are handled in slices of about so many bytes.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _FOLD = bytes(32 if chr(i) in SPACES else i + 32 if 65 <= i <= 90 else i for i in range(256))
 _scratch: list[tuple[SparkSession, str]] = []
@@ -57,6 +60,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -78,6 +92,29 @@ def lookup(rows: DataFrame, found: DataFrame, key: str, size: str, total: int) -
     return by_hot.unionByName(cold.join(found.filter(~hot), key))
 
 
+def _trim() -> None:
+    """Gives a worker's free memory back, as it stays idle beside others until its next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
+def trimmed(work):
+    """``work`` on Arrow batches, after which the worker gives back what it no longer needs."""
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            _trim()
+
+    return run
+
+
 def utf8(column: pa.Array) -> pa.Array:
     """A string column as large strings (offsets of 64 bits), null as ''."""
     if isinstance(column, pa.ChunkedArray):
@@ -102,7 +139,7 @@ def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     The last has one entry more than there are texts. Works on whole texts, in C++ and numpy only.
     """
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    whole = texts.buffers()[2].to_pybytes()[offsets[0] : offsets[-1]] if len(texts) and texts.buffers()[2] is not None else b""
+    whole = texts.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if len(texts) and texts.buffers()[2] is not None else b""
     folded = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(offsets - (offsets[0] if len(offsets) else 0))), pa.py_buffer(whole.translate(_FOLD))])
     parts = pc.split_pattern(folded, b" ")
     coded = parts.flatten().dictionary_encode()

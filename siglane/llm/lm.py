@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglane.llm.common import fold_of, hashes, mix, partitions, prepare, slices, store, utf8, words
+from siglane.llm.common import fold_of, hashes, mix, partitions, prepare, slices, store, trimmed, utf8, words
 
 FOLDS, HELD_OUT = 7, 2
 BASE = 1.5
@@ -149,6 +149,7 @@ def gather(docs: DataFrame) -> DataFrame:
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["kind", "bucket", "ones", "keys", "counts"])
 
+    @trimmed
     def local(batches):
         held: dict[int, list] = {1: [], 2: []}
         size = 0
@@ -171,6 +172,7 @@ def gather(docs: DataFrame) -> DataFrame:
                     size = 0
         yield from flush()
 
+    @trimmed
     def merged(batches):
         now, held = None, {1: ([], []), 2: ([], [])}
 
@@ -236,6 +238,7 @@ def _opened(sizes: bytes, one: bytes, which: bytes) -> tuple[np.ndarray, np.ndar
     return np.frombuffer(one, dtype="<u8"), np.ascontiguousarray(planes.T).view("<i4").ravel(), bounds
 
 
+@trimmed
 def _sliced(batches):
     """One row for each slice of texts: its ids, their tokens' numbers, its distinct tokens, the tokens as indices.
 
@@ -253,6 +256,7 @@ def _sliced(batches):
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=["slice", "ids", "sizes", "one", "which"])
 
 
+@trimmed
 def _answered(batches):
     """What a bucket's piece says of the n-grams of each slice: levels, and the exact counts of unigrams."""
     own, keys, counts = LogFilter({}), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
@@ -317,6 +321,7 @@ def score_documents(docs: DataFrame, prior: float = PRIOR) -> DataFrame:
     shared = spark.sparkContext.broadcast((keys[order], counts[order], level[order].astype(np.uint8)))
     mass = total + distinct + 1
 
+    @trimmed
     def asked(batches):
         known = shared.value[0]
         for batch in batches:
@@ -329,6 +334,7 @@ def score_documents(docs: DataFrame, prior: float = PRIOR) -> DataFrame:
                 columns = [pa.array(np.full(len(some), batch.column(0)[i].as_py(), dtype=np.int64)), pa.array(some.astype(np.int32)), _blobs(one.astype("<u8"), cuts1[some + 1] * 8), _blobs(two.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6], cuts2[some + 1] * 6)]
                 yield pa.RecordBatch.from_arrays(columns, names=["slice", "bucket", "one", "two"])
 
+    @trimmed
     def scored(batches):
         known, known_counts, known_levels = shared.value
         now, said = None, []

@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from siglane.llm import bloom
-from siglane.llm.common import hashes, lookup, mix, partitions, prepare, slices, store, utf8, words
+from siglane.llm.common import fresh, hashes, lookup, mix, partitions, prepare, slices, store, trimmed, utf8, words
 from siglane.llm.components import components
 
 TREES, DEPTH, LEAST_DEPTH, NEAR = 16, 8, 3, 4
 #: Pairs confirmed first: so many of each class, those with the longest prefixes over all trees.
 FIRST = 2
+#: Shingle sets that a task remembers between pairs, in bytes.
+KEPT_BYTES = 16 << 20
 _A = mix(np.arange(TREES * DEPTH, dtype=np.uint64), 11) | np.uint64(1)
 _B = mix(np.arange(TREES * DEPTH, dtype=np.uint64), 12)
 
@@ -74,6 +76,7 @@ def _classes(texts: pa.Array, k: int):
 
 
 def _signed(k: int):
+    @trimmed
     def run(batches):
         for batch in batches:
             texts = utf8(batch.column(1))
@@ -116,6 +119,7 @@ def _neighbours(tree: np.ndarray, key: np.ndarray, name: list[bytes], fresh: int
 def _walk(ends: bool):
     """Candidate pairs of sorted rows (tree, key, class); with ``ends`` also the partition's first and last rows."""
 
+    @trimmed
     def run(batches):
         tree, key, name = np.zeros(0, dtype=np.int64), np.zeros((0, DEPTH), dtype=np.uint32), []
         kept: list[tuple[int, bytes, bytes]] = []
@@ -174,11 +178,12 @@ def _far_pairs(dense: DataFrame, texts: DataFrame, label: DataFrame, k: int, per
     that shingle.
     """
 
+    @trimmed
     def run(batches):
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                names, packed = (c.to_pylist() for c in batch.slice(at, 200).columns)
+            for at in range(0, batch.num_rows, 100):
+                names, packed = (c.to_pylist() for c in batch.slice(at, 100).columns)
                 plain = utf8(pa.array([press.decompress(t).decode() for t in packed], pa.large_string()))
                 for start, stop in slices(plain):
                     sets = [s for _, s in _classes(plain.slice(start, stop - start), k)]
@@ -210,23 +215,28 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     x = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     y = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
 
+    @trimmed
     def run(batches):
-        press, kept = zstandard.ZstdDecompressor(), {}
+        press, kept, held = zstandard.ZstdDecompressor(), {}, 0
 
         def sets(names, packed):
+            nonlocal held
             new = {n: t for n, t in zip(names, packed, strict=True) if n not in kept}
             if new:
                 plain = utf8(pa.array([press.decompress(t).decode() for t in new.values()], pa.large_string()))
                 for start, stop in slices(plain):
                     part = list(new)[start:stop]
-                    kept.update(zip(part, (s for _, s in _classes(plain.slice(start, stop - start), k)), strict=True))
+                    for n, (_, s) in zip(part, _classes(plain.slice(start, stop - start), k), strict=True):
+                        kept[n] = s
+                        held += s.nbytes
             return [kept[n] for n in names]
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                a, b, s, t = (c.to_pylist() for c in batch.slice(at, 500).columns)
-                if len(kept) > 1000:
+            for at in range(0, batch.num_rows, 50):
+                a, b, s, t = (c.to_pylist() for c in batch.slice(at, 50).columns)
+                if held > KEPT_BYTES:
                     kept.clear()
+                    held = 0
                 out = []
                 for n, m, u, v in zip(a, b, sets(a, s), sets(b, t), strict=True):
                     both = len(np.intersect1d(u, v, assume_unique=True))
@@ -257,6 +267,7 @@ def _components(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
 
     known = spark.sparkContext.broadcast(bloom.build(nodes.select("class", "rep").mapInArrow(marks, "key long"), "key").bits)
 
+    @trimmed
     def members(batches):
         press, own = zstandard.ZstdCompressor(level=3), bloom.Filter({}, 1)
         own.bits = known.value
@@ -270,8 +281,8 @@ def _components(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
                 there = np.flatnonzero(own.has(np.array([mark(n, i) for n, i in zip(names, ids, strict=True)], dtype=np.int64).view(np.uint64))).tolist()
                 yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in there], pa.binary()), pa.array([ids[i] for i in there], pa.int64()), pa.array([press.compress(some[i].as_py().encode()) for i in there], pa.binary())], names=["class", "rep", "text"])
 
-    found = docs.mapInArrow(members, "class binary, rep long, text binary").withColumnRenamed("rep", "__rep")
-    found = found.join(nodes, "class").filter(F.col("rep").eqNullSafe(F.col("__rep"))).select("class", "text").dropDuplicates(["class"])
+    found = docs.mapInArrow(members, "class binary, rep long, text binary").withColumnRenamed("rep", "of")
+    found = found.join(nodes, "class").filter(F.col("rep").eqNullSafe(F.col("of"))).select("class", "text").dropDuplicates(["class"])
     texts = store(found, "texts", compression="none")
 
     ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "votes").unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other"), "votes"))
@@ -324,21 +335,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component of ``docs``: the smallest doc_id's, in its own columns. Texts without words stay."""
+    """One row of each component of ``docs``, in its own columns: the smallest doc_id's, null after all others.
+
+    Texts without words, and null, are in no component and all stay. Of different texts under one id each has its own
+    component, or the links that it has. Of repeated rows one stays, and of rows of one id and text with other values
+    the one whose columns hash highest, so reruns agree. An empty table gives an empty one; columns of any name pass
+    through.
+    """
+    name, kept_name, kept_rep, copies, best = fresh(docs, "class", "kept", "rep", "copies", "best")
     _, by_class = _components(docs, k, percent)
-    least = by_class.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "class")).alias("x"))
-    kept = least.select(F.col("x.class").alias("__kept"), F.col("x.rep").alias("__rep"))
+    least = by_class.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "class", "copies")).alias("x"))
+    kept = least.select(F.col("x.class").alias(kept_name), F.col("x.rep").alias(kept_rep), F.col("x.copies").alias(copies))
     place = docs.columns.index("text")
 
+    @trimmed
     def named(batches):
         for batch in batches:
             texts, names = utf8(batch.column(place)), []
             for a, b in slices(texts):
                 distinct, codes, bounds = words(texts.slice(a, b - a))
                 names += _digests(hashes(distinct)[codes], bounds)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.binary())], names=[*batch.schema.names, "__class"])
-
-    own = docs.mapInArrow(named, StructType([*docs.schema.fields, StructField("__class", BinaryType())]))
-    full = own.join(kept, (F.col("__class") == F.col("__kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__rep")))
-    first = F.row_number().over(Window.partitionBy("__class", "__rep").orderBy("__rep"))
-    return full.withColumn("__n", first).filter("__n = 1").select(*docs.columns).unionByName(own.filter("__class is null").select(*docs.columns))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.binary())], names=[*batch.schema.names, name])
+
+    own = docs.mapInArrow(named, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
+    full = own.join(kept, (F.col(name) == F.col(kept_name)) & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_rep)))
+    # Repeated rows of one text and id: one stays, summed up before they are dealt.
+    order = F.xxhash64(*(F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = full.filter(F.col(copies) > 1).groupBy(name).agg(F.max_by(F.struct(*columns), order).alias(best)).select(f"{best}.*")
+    return full.filter(F.col(copies) == 1).select(*columns).unionByName(one).unionByName(own.filter(F.col(name).isNull()).select(*columns))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglane.llm.common import fold_of, mix, prepare, slices, utf8, words
+from siglane.llm.common import fold_of, mix, prepare, slices, trimmed, utf8, words
 
 BUCKETS, WIDTH = 1 << 17, 8
 GRAMS = (3, 4, 5)
@@ -205,10 +205,12 @@ def _scored(docs: DataFrame, model: Model, keep: bool) -> DataFrame:
 
     place = docs.columns.index("text")
 
+    @trimmed
     def kept(batches):
         for batch in batches:
             yield batch.filter(pa.array(scores(batch.column(place)) < 0.5))
 
+    @trimmed
     def scored(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1)), pa.float64())], names=["doc_id", "score"])
@@ -230,5 +232,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, in their own columns."""
+    """The rows of ``docs`` that score below 0.5, in their own columns, whatever their names.
+
+    Null, empty and blank texts score by the softmax's bias alone, repeated rows alike; null ids are scored as others
+    and never learnt from. Without labels of both classes nothing is dropped, or, where all labels are toxic, all. An
+    empty table gives an empty one.
+    """
     return _scored(docs, fit(docs, labels), keep=True)
