@@ -7,85 +7,131 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglane.llm.common import SPACES, lookup, partitions, prepare, store
+from siglane.llm.common import SPACES, fresh, lookup, partitions, prepare, store, trimmed
 
 #: Bits of the digest that one round settles: a task merges the runs of 2 ** ROUND_BITS others.
 ROUND_BITS = 3
+#: Records that a row of a run holds, and that a task gathers before it merges them.
+ROW, GATHER = 1 << 13, 1 << 16
+#: A record of a run: a text's sha256, its md5 and length as a check, the best row's length and id, the rows it stands for.
+RECORD = np.dtype([("digest", "S32"), ("check", "S16"), ("n_normal", "<i4"), ("n_points", "<i4"), ("has_id", "u1"), ("doc_id", "<i8"), ("rows", "<i8")])
+_RUN = "dest int, first binary, records binary"
+_FOUND = "digest binary, keep_id long, group_size long"
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (sha256 of the text without white space), its length and the text's, in code points."""
+    """doc_id, digest and check (sha256 and md5 of the text without white space), its length and the text's."""
     text = F.coalesce("text", F.lit(""))
     normal = F.translate(text, SPACES, "")
-    return docs.select("doc_id", F.unhex(F.sha2(normal, 256)).alias("digest"), F.length(normal).alias("n_normal"), F.length(text).alias("n_points"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(normal, 256)).alias("digest"), F.unhex(F.md5(normal.cast("binary"))).alias("check"), F.length(normal).alias("n_normal"), F.length(text).alias("n_points"))
 
 
-_RUN = "digest binary, n_normal int, n_points int, doc_id long, has_id boolean, rows long, dest int"
+def merged(runs: list[np.ndarray]) -> np.ndarray:
+    """One sorted run of sorted runs, with one record for each digest.
 
-
-def _merge_round(runs: DataFrame, shift: int, width: int, bits: int) -> DataFrame:
-    """Merges the sorted rows of each partition to one row for each digest, and names the partition it goes to next.
-
-    Of equal digests the row with the most code points, then the smallest doc_id (null last) stays, and rows add up;
-    equal digests of texts of unequal length would be a collision, which stops the job. The next partition's number
-    is this one's with ``width`` bits from ``shift`` on replaced by the digest's.
+    Of equal digests the record with the most code points, then the smallest doc_id (null last) stays, and rows add up.
+    Equal digests of texts that differ in length or in their second digest would be a collision, which stops the job.
+    """
+    every = np.concatenate(runs) if runs else np.zeros(0, dtype=RECORD)
+    if len(every) < 2:
+        return every
+    every = every[np.lexsort((every["doc_id"], 1 - every["has_id"], -every["n_points"], every["digest"]))]
+    same = every["digest"][1:] == every["digest"][:-1]
+    if ((every["check"][1:] != every["check"][:-1]) | (every["n_normal"][1:] != every["n_normal"][:-1]))[same].any():
+        raise ValueError("different texts have the same sha256 digest")
+    starts = np.flatnonzero(np.concatenate([[True], ~same]))
+    rows = np.add.reduceat(every["rows"], starts)
+    every = every[starts]
+    every["rows"] = rows
+    return every
+
+
+def _fixed(column: pa.Array, width: int) -> np.ndarray:
+    """Binary values of one width."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=f"S{width}")
+
+
+def _opened(batch: pa.RecordBatch) -> np.ndarray:
+    """Records of a batch of rows (digest, check, n_normal, n_points, doc_id), each standing for itself."""
+    out = np.zeros(batch.num_rows, dtype=RECORD)
+    out["digest"], out["check"] = _fixed(batch.column(0), 32), _fixed(batch.column(1), 16)
+    out["n_normal"], out["n_points"], out["rows"] = np.asarray(batch.column(2)), np.asarray(batch.column(3)), 1
+    out["has_id"] = np.asarray(batch.column(4).is_valid())
+    out["doc_id"] = np.asarray(batch.column(4).fill_null(0))
+    return out
+
+
+def _sent(run: np.ndarray, shift: int, width: int, bits: int) -> pa.RecordBatch:
+    """Rows of a run, each with the partition that it goes to: this one's number, ``width`` bits of which from ``shift`` on are the digest's."""
+    mask = ((1 << width) - 1) << shift
+    head = np.frombuffer(run["digest"].astype("S4").tobytes(), dtype=">u4").astype(np.int64) >> (32 - bits)
+    dest = (TaskContext.get().partitionId() & ~mask) | (head & mask)
+    rows = []
+    for k in np.unique(dest).tolist():
+        own = run[dest == k]
+        for at in range(0, len(own), ROW):
+            part = own[at : at + ROW]
+            rows.append((k, part[:1].tobytes()[:32], part.tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["dest", "first", "records"])
+
+
+def _found(run: np.ndarray) -> pa.RecordBatch:
+    ids = pa.array(run["doc_id"], mask=run["has_id"] == 0)
+    digest = pa.FixedSizeBinaryArray.from_buffers(pa.binary(32), len(run), [None, pa.py_buffer(np.ascontiguousarray(run["digest"]).tobytes())])
+    return pa.RecordBatch.from_arrays([digest.cast(pa.binary()), ids, pa.array(run["rows"])], names=["digest", "keep_id", "group_size"])
+
+
+def _round(out, opened: bool):
+    """A task's part of a round: merges sorted input as it comes, and hands what is settled to ``out``.
+
+    Input rows come in the order of their first digests, so what is smaller than the latest first is settled: no more
+    is held than GATHER records and a row of each run.
     """
 
-    def merged(batches):
-        here = TaskContext.get().partitionId()
-        held = None
-
-        def out(t):
-            first = np.frombuffer(b"".join(x[:4] for x in t[0]), dtype=">u4").astype(np.int64) >> (32 - bits) if bits else np.zeros(len(t[0]), dtype=np.int64)
-            mask = ((1 << width) - 1) << shift
-            dest = (here & ~mask) | (first & mask)
-            return pa.RecordBatch.from_arrays([pa.array(t[0], pa.binary()), pa.array(t[1], pa.int32()), pa.array(t[2], pa.int32()), pa.array(t[3], pa.int64()), pa.array(t[4], pa.bool_()), pa.array(t[5], pa.int64()), pa.array(dest, pa.int32())], names=["digest", "n_normal", "n_points", "doc_id", "has_id", "rows", "dest"])
-
+    @trimmed
+    def run(batches):
+        held, size = [], 0
         for batch in batches:
-            t = [batch.column(k).to_pylist() for k in range(6)]
-            if not t[0]:
-                continue
-            if held:
-                t = [h + x for h, x in zip(held, t, strict=True)]
-            digest = t[0]
-            starts = [0] + [i for i in range(1, len(digest)) if digest[i] != digest[i - 1]]
-            for a, b in zip(starts, [*starts[1:], len(digest)], strict=True):
-                if b - a > 1 and len(set(t[1][a:b])) > 1:
-                    raise ValueError("texts of unequal length have the same sha256 digest")
-            rows = np.add.reduceat(np.array(t[5], dtype=np.int64), starts)
-            # Within a digest the best row comes first: the partition is sorted that way.
-            t = [[c[i] for i in starts] for c in t[:5]] + [rows.tolist()]
-            held = [c[-1:] for c in t]
-            if len(starts) > 1:
-                yield out([c[:-1] for c in t])
-        if held:
-            yield out(held)
-
-    ordered = runs.sortWithinPartitions("digest", F.desc("n_points"), F.desc("has_id"), "doc_id")
-    return ordered.select("digest", "n_normal", "n_points", "doc_id", "has_id", "rows").mapInArrow(merged, _RUN)
+            for part in [_opened(batch)] if opened else [np.frombuffer(x, dtype=RECORD) for x in batch.column(1).to_pylist()]:
+                if not len(part):
+                    continue
+                held.append(part)
+                size += len(part)
+                if size > GATHER:
+                    every = merged(held)
+                    cut = int(np.searchsorted(every["digest"], part["digest"][-1 if opened else 0]))
+                    if cut:
+                        yield out(every[:cut])
+                    held, size = [every[cut:]], 0
+        every = merged(held)
+        if len(every):
+            yield out(every)
+
+    return run
 
 
 def keepers(rows: DataFrame) -> DataFrame:
     """digest, keep_id, group_size for each digest of ``rows`` (digests()'s columns).
 
     Every partition sorts its rows into a run and merges equal digests. Then, round by round, groups of up to
-    2 ** ROUND_BITS partitions whose numbers differ in the round's bits only exchange runs, each taking the rows whose
-    digest has its own bits there, and merge them again. After the last round a partition holds all rows of its part
-    of the digests. What a partition sends of one digest is one row, however many copies there are, and no partition
-    holds more than its share of the distinct digests.
+    2 ** ROUND_BITS partitions whose numbers differ in the round's bits only exchange runs, each taking the records
+    whose digest has its own bits there, and merge the sorted runs. After the last round a partition holds all records
+    of its part of the digests. What a partition sends of one digest is one record, however many copies there are, and
+    no partition holds more than its share of the distinct digests.
     """
     spark = prepare(rows.sparkSession)
     bits = max(1, math.ceil(math.log2(partitions(spark))))
-    runs = rows.select("digest", "n_normal", "n_points", "doc_id", F.col("doc_id").isNotNull().alias("has_id"), F.lit(1).cast("long").alias("rows"))
+    runs = rows.select("digest", "check", "n_normal", "n_points", "doc_id")
     runs = runs.repartition(1 << bits) if runs.rdd.getNumPartitions() > 1 << bits else runs
+    runs, opened = runs.sortWithinPartitions("digest"), True
     for low in range(0, bits, ROUND_BITS):
         width = min(ROUND_BITS, bits - low)
-        runs = _merge_round(runs, low, width, bits).repartitionById(1 << bits, "dest")
-    last = _merge_round(runs, 0, 0, bits)
-    return last.select("digest", F.col("doc_id").alias("keep_id"), F.col("rows").alias("group_size"))
+        sent = runs.mapInArrow(_round(lambda run, low=low, width=width: _sent(run, low, width, bits), opened), _RUN)
+        runs, opened = sent.repartitionById(1 << bits, "dest").sortWithinPartitions("first").select("first", "records"), False
+    return runs.mapInArrow(_round(_found, opened), _FOUND)
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -104,10 +150,21 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, in their own columns; of repeated rows of the same document, one."""
-    found = exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha")).distinct()
-    own = docs.withColumn("__sha", F.sha2(F.translate(F.coalesce("text", F.lit("")), SPACES, ""), 256))
-    kept = own.join(found, own["doc_id"].eqNullSafe(found["__keep"]) & (own["__sha"] == found["__sha"])).drop(found["__sha"], "__keep")
-    points = F.length(F.coalesce("text", F.lit("")))
-    first = F.row_number().over(Window.partitionBy("doc_id", "__sha").orderBy(F.desc(points)))
-    return kept.withColumn("__n", first).filter("__n = 1").select(*docs.columns)
+    """The rows of ``docs`` that stay, in their own columns: one for each text, whatever its white space.
+
+    Which one stays is as in exact_duplicates(). Of repeated rows of the id that stays, those with the most code points
+    count, and of these the one whose columns hash highest, so reruns agree; repeated rows are summed up before they are
+    dealt, however many there are. Null texts and texts of white space are one group; an empty table gives an empty one;
+    columns of any name pass through.
+    """
+    sha, keep, points, best = fresh(docs, "sha", "keep", "points", "best")
+    digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), SPACES, ""), 256)
+    found = exact_duplicates(docs).filter("kept").groupBy(F.col("text_sha256").alias(sha)).agg(F.min("keep_id").alias(keep), F.first("group_size").alias(points))
+    own = docs.withColumn(sha, digest)
+    # Dealt by text and id, so that the copies of one text don't meet in one task.
+    kept = own.join(found.withColumnRenamed(sha, best), (F.col(sha) == F.col(best)) & F.col("doc_id").cast("long").eqNullSafe(F.col(keep))).drop(best)
+    # A text that occurs once needs no choice.
+    alone = kept.filter(F.col(points) == 1).select(*docs.columns)
+    order = F.struct(F.length(F.coalesce("text", F.lit(""))), F.xxhash64(*(c for c, t in docs.dtypes if "map<" not in t)))
+    chosen = kept.filter(F.col(points) > 1).groupBy(sha).agg(F.max_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), order).alias(best))
+    return alone.unionByName(chosen.select(f"{best}.*"))
