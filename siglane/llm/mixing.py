@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siglane.llm.common import WORD_PATTERN, prepare, store
+from siglane.llm.common import WORD_PATTERN, fresh, prepare, store
 
 #: Weights of the sources in their order, repeating; a source's words may be taken so many times at most.
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 #: Each source's ranks are cut into so many intervals, of which only the one that holds the limit is sorted.
 INTERVALS = 4096
-#: Passes that fill a source's remaining words: all but the last with documents left out, the last with any.
-FILLS = 2
+#: Passes fill what is missing of a target until no source lacks more than this part of it, or nothing fits.
+NEAR = 0.01
+#: So many sources are few enough for a broadcast of one row each.
+FEW = 1 << 16
 
 
 def targets(sizes: list[tuple[object, int]], weights: tuple[int, ...] = WEIGHTS, most: float = MOST_TIMES) -> dict:
@@ -38,40 +40,24 @@ def uniform(doc_id: Column, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES, seed: str = "mix:") -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, source.
-
-    Size is the number of words of the text (null: 0). Each document gets the whole copies that its source's target
-    contains of all of the source, floor(target / source_size). What is left of the target is a sample without
-    replacement: a document's inclusion probability p falls linearly with its size, to 0 where it alone would fill the
-    rest, at a level that makes the expected words the rest; documents are ranked by U / (1 - U) over p / (1 - p), and
-    taken from the first on while their words fit. FILLS further passes take, in the same order, documents that fit into what is still
-    missing: those left out first, then any that has fewer than ``most`` copies. A target so lacks few words. Rows of one doc_id and source
-    share their random number; null doc_id counts as ''. An empty table gives an empty one.
-
-    Every pass sums words by source and interval of rank; only rows of the interval in which a source's limit lies are
-    sorted. So no source is ever held by one task, however large.
-    """
+def _mixed(docs: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> DataFrame:
+    """mix() with two columns more: copies taken, and a hash of all columns of the row."""
     spark = prepare(docs.sparkSession)
-    count = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    rows = store(docs.select("doc_id", "source", count.alias("size")), "words")
+    rows = store(docs.select("doc_id", "source", words("text").alias("size"), row_hash(docs).alias("row")), "words")
     by_source = store(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     # One row for each source, as many as the mix has weights for: a list of names, not data.
     named = [(r["source"], r["source_size"]) for r in by_source.collect()]
     wanted = targets(named, weights, most) if named else {}
     sizes = dict(named)
     plan = spark.createDataFrame([(s, sizes[s], float(t), min(int(t // sizes[s]), most) if sizes[s] else 0) for s, t in wanted.items()], "source string, source_size long, target double, whole int")
+    few = len(named) <= FEW
 
-    def with_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-        right = right.withColumnRenamed("source", "__s")
-        return left.join(F.broadcast(right), left["source"].eqNullSafe(right["__s"]), how).drop("__s")
-
-    rows = with_source(rows, plan).withColumn("copies", F.col("whole").cast("long"))
+    rows = _with_source(rows, plan, few).withColumn("copies", F.col("whole").cast("long"))
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     rows = rows.withColumn("gap", rest)
     short = rows.filter((F.col("size") <= F.col("gap")) & (F.col("size") > 0))
     sums = short.groupBy("source").agg(F.sum("size").alias("s1"), F.sum(F.col("size") * F.col("size")).alias("s2"))
-    rows = with_source(rows, sums, "left")
+    rows = _with_source(rows, sums, few, "left")
     level = F.col("gap") / F.greatest(F.col("s1") - F.col("s2") / F.greatest("gap", F.lit(1.0)), F.lit(1.0))
     damped = 1 - F.col("size") / F.greatest("gap", F.lit(1.0))
     tiny = F.lit(1e-12)
@@ -83,16 +69,36 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
     spread = rank * (middle / (1 - middle))
     rows = rows.withColumn("rank", rank).withColumn("interval", F.floor(F.least(spread / (1 + spread) * INTERVALS, F.lit(INTERVALS - 1))).cast("int"))
     rows = store(rows.drop("s1", "s2").withColumn("extra", F.lit(0).cast("long")), "ranked")
-    for k in range(1 + FILLS):
-        again = k == FILLS
-        free = rows.filter(_open(most, again))
-        sums = free.groupBy("source", "interval").agg(F.sum("size").alias("words"))
+    done = 0
+    while True:
+        open_ = _open(most, done > 1)
+        sums = rows.filter(open_).groupBy("source", "interval").agg(F.sum("size").alias("words"))
         before = F.sum("words").over(Window.partitionBy("source").orderBy("interval")) - F.col("words")
-        sums = sums.withColumn("before", before)
         # (source, interval) rows: INTERVALS for each source at most, of which one is the limit's.
-        rows = _fill(rows, sums, _open(most, again), f"fill{k}")
-    taken = (F.col("copies") + F.col("extra")) * F.col("size")
-    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
+        rows = _fill(rows, sums.withColumn("before", before), open_, few, f"fill{done}")
+        done += 1
+        # Every pass takes the first row that fits, so this comes to an end.
+        if done > 2 and not rows.filter(_open(most, True) & (F.col("gap") > NEAR * F.col("target"))).limit(1).count():
+            break
+    copies = F.when(F.col("size") > 0, F.col("copies") + F.col("extra")).otherwise(0)
+    return rows.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("times"), "row")
+
+
+def words(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of a row, but maps. Spark's leaves nulls out, so where they stand is hashed too."""
+    own = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]
+    return F.xxhash64(*own, *(c.isNull() for c in own))
+
+
+def _with_source(left: DataFrame, right: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """left joined with one row for each source, which is broadcast where sources are few."""
+    (name,) = fresh(left, "of_source")
+    right = right.withColumnRenamed("source", name)
+    return left.join(F.broadcast(right) if few else right, F.col("source").eqNullSafe(F.col(name)), how).drop(name)
 
 
 def _open(most: int, again: bool) -> Column:
@@ -101,32 +107,55 @@ def _open(most: int, again: bool) -> Column:
     return fits if again else fits & (F.col("extra") == 0)
 
 
-def _fill(rows: DataFrame, sums: DataFrame, open_: Column, name: str) -> DataFrame:
+def _fill(rows: DataFrame, sums: DataFrame, open_: Column, few: bool, name: str) -> DataFrame:
     """rows with one more ``extra`` for those that fit one after the other, and ``gap`` less what they hold."""
-    gaps = rows.select("source", "gap").distinct().withColumnRenamed("source", "__s")
-    limits = sums.join(F.broadcast(gaps), sums["source"].eqNullSafe(gaps["__s"])).filter(F.col("before") + F.col("words") > F.col("gap"))
-    limits = limits.groupBy("source").agg(F.min_by("interval", "interval").alias("limit"), F.min_by("before", "interval").alias("before")).withColumnRenamed("source", "__t")
-    # The sources' limits, one row each.
-    joined = rows.join(F.broadcast(limits), rows["source"].eqNullSafe(limits["__t"]), "left").drop("__t")
+    gaps = rows.select("source", "gap").distinct()
+    limits = _with_source(sums, gaps, few).filter(F.col("before") + F.col("words") > F.col("gap"))
+    limits = limits.groupBy("source").agg(F.min("interval").alias("limit"), F.min_by("before", "interval").alias("before"))
+    joined = _with_source(rows, limits, few, "left")
     below = open_ & (F.col("limit").isNull() | (F.col("interval") < F.col("limit")))
     at = open_ & (F.col("interval") == F.col("limit"))
-    sorted_ = Window.partitionBy("source", "interval").orderBy("rank", "doc_id", "size")
+    sorted_ = Window.partitionBy("source", "interval").orderBy("rank", "doc_id", "size", "row")
     inside = joined.filter(at).withColumn("sum", F.sum("size").over(sorted_.rowsBetween(Window.unboundedPreceding, 0)))
     inside = inside.withColumn("extra", F.when(F.col("before") + F.col("sum") <= F.col("gap"), F.col("extra") + 1).otherwise(F.col("extra"))).drop("sum")
     outside = joined.filter(~F.coalesce(at, F.lit(False))).withColumn("extra", F.when(below, F.col("extra") + 1).otherwise(F.col("extra")))
     both = store(inside.unionByName(outside).drop("limit", "before"), name)
-    held = both.groupBy("source").agg(F.sum(F.col("extra") * F.col("size")).alias("held")).withColumnRenamed("source", "__s")
+    held = both.groupBy("source").agg(F.sum(F.col("extra") * F.col("size")).alias("held"))
     gap = F.col("target") - F.col("whole") * F.col("source_size") - F.col("held")
-    return both.join(F.broadcast(held), both["source"].eqNullSafe(held["__s"])).drop("__s").withColumn("gap", gap).drop("held")
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as mix() takes them, in their own columns; rows that it leaves out are gone."""
-    chosen = mix(docs, **options).filter("taken > 0").select(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__n"), (F.col("taken") / F.col("size")).cast("int").alias("__k"))
-    per = chosen.groupBy("__d", "__s", "__n").agg(F.collect_list("__k").alias("__ks"))
-    own = docs.withColumn("__n2", F.regexp_count("text", F.lit(WORD_PATTERN)).cast("long"))
-    row = F.row_number().over(Window.partitionBy("doc_id", "source", "__n2").orderBy("doc_id"))
-    own = own.withColumn("__row", row)
-    joined = own.join(per, own["doc_id"].eqNullSafe(per["__d"]) & own["source"].eqNullSafe(per["__s"]) & (own["__n2"] == per["__n"]))
-    times = F.expr("sequence(1, coalesce(get(__ks, __row - 1), 0))")
-    return joined.filter(F.expr("coalesce(get(__ks, __row - 1), 0) > 0")).withColumn("__copy", F.explode(times)).select(*docs.columns)
+    return _with_source(both, held, few).withColumn("gap", gap).drop("held")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES, seed: str = "mix:") -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, source.
+
+    Size is the number of words of the text (null: 0). Each document gets the whole copies that its source's target
+    contains of all of the source, floor(target / source_size). What is left of the target is a sample without
+    replacement: a document's inclusion probability p falls linearly with its size, to 0 where it alone would fill the
+    rest, at a level that makes the expected words the rest; documents are ranked by U / (1 - U) over p / (1 - p), and
+    taken from the first on while their words fit. Further passes take, in the same order, documents that fit into what
+    is still missing: first those left out, then, pass by pass, any that has fewer than ``most`` copies, until no source
+    lacks more than NEAR of its target or nothing fits. Rows of one doc_id and source share their random number; null
+    doc_id counts as ''. Texts without words, and null, are in no mix. Rows are told apart, where they tie, by a hash of
+    all their columns. An empty table gives an empty one; other columns are left out.
+
+    Every pass sums words by source and interval of rank; only rows of the interval in which a source's limit lies are
+    sorted. So no source is ever held by one task, however large.
+    """
+    return _mixed(docs, weights, most, seed).drop("times", "row")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES, seed: str = "mix:") -> DataFrame:
+    """The rows of ``docs`` as often as mix() takes them, in their own columns; rows that it leaves out are gone.
+
+    Rows with the same columns throughout are interchangeable: they are taken together, as often as mix() takes all of
+    them. Null ids, sources and texts are values like others (a null text is never taken). An empty table gives an
+    empty one; columns of any name pass through.
+    """
+    row, times, rows, hashed, first, copy = fresh(docs, "row", "times", "rows", "hashed", "first", "copy")
+    chosen = _mixed(docs, weights, most, seed).groupBy(F.col("row").alias(row)).agg(F.sum("times").alias(times), F.count("*").alias(rows))
+    own = docs.withColumn(hashed, row_hash(docs)).join(chosen.filter(F.col(times) > 0), F.col(hashed) == F.col(row))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    one = own.filter(F.col(rows) == 1).select(*columns, times)
+    # Equal rows are one row with all their copies, summed up before they are dealt.
+    same = own.filter(F.col(rows) > 1).groupBy(row).agg(F.first(F.struct(*columns)).alias(first), F.first(times).alias(times)).select(f"{first}.*", times)
+    return one.unionByName(same).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*columns)
