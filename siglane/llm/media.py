@@ -14,12 +14,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siglane.llm import bloom
-from siglane.llm.common import HOT_SHARE, lookup, mix, partitions, prepare, slices, store, utf8
+from siglane.llm.common import HOT_SHARE, lookup, mix, partitions, prepare, slices, store, trimmed, utf8
 
 UNIT = 64
 LEAST, CUT_BITS, MOST = 512, 11, 16384
@@ -75,16 +76,20 @@ def cuts(payloads: list[bytes]) -> list[list[int]]:
     return out
 
 
+#: Texts of about so many bytes are chunked at a time: hashing them takes some twenty times as much.
+TOGETHER = 1 << 20
+
+
 def _chunks(batches):
-    """(rows' doc_ids, for each row: unpadded bytes, payload, chunk digests, chunk bounds) of slices of Arrow batches."""
+    """(doc_ids, unpadded bytes, payloads, chunk digests, chunk bounds) of slices of Arrow batches."""
     for batch in batches:
         texts = utf8(batch.column(1))
-        for a, b in slices(texts):
-            raw = [t.encode() for t in texts.slice(a, b - a).to_numpy(zero_copy_only=False)]
-            full = [payload(x) for x in raw]
+        for a, b in slices(texts, TOGETHER):
+            own = texts.slice(a, b - a)
+            full = [payload(x) for x in own.cast(pa.large_binary()).to_pylist()]
             bounds = [[0, *c] for c in cuts(full)]
             digests = [[hashlib.sha256(memoryview(p)[x:y]).digest() for x, y in zip(c[:-1], c[1:], strict=True)] for p, c in zip(full, bounds, strict=True)]
-            yield batch.column(0).slice(a, b - a).cast(pa.int64()), [len(x) for x in raw], full, digests, bounds
+            yield batch.column(0).slice(a, b - a).cast(pa.int64()), pc.binary_length(own).cast(pa.int64()), full, digests, bounds
 
 
 def _key(digest: bytes) -> int:
@@ -92,20 +97,25 @@ def _key(digest: bytes) -> int:
 
 
 _MANIFEST = "doc_id long, media_sha binary, n_bytes long, head binary, lengths array<int>, digests binary, shared binary, own binary"
+_CHUNK = "digest binary, data binary"
+_BOTH = pa.schema([("doc_id", pa.int64()), ("media_sha", pa.binary()), ("n_bytes", pa.int64()), ("head", pa.binary()), ("lengths", pa.list_(pa.int32())), ("digests", pa.binary()), ("shared", pa.binary()), ("own", pa.binary()), ("digest", pa.binary()), ("data", pa.binary())])
 
 
 def write_media(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(manifest, chunk store) of the texts of ``docs`` (doc_id, text); null text counts as empty.
 
-    The manifest has a row for each row of docs. Its ``shared`` has a byte for each chunk, 1 where the chunk is in the
-    store, and ``own`` the compressed bytes of all others. A first pass counts chunk digests; those that occur more than
-    once go into a Bloom filter of a fixed size, by which the second and third pass tell them. A chunk that passes it
-    by chance is stored like a shared one, so the filter's errors cost room only.
+    The manifest has a row for each row of docs, repeated rows and those without doc_id too. Its ``shared`` has a byte
+    for each chunk, 1 where the chunk is in the store, and ``own`` the compressed bytes of all others. A first pass
+    counts chunk digests; those that occur more than once go into a Bloom filter of a fixed size, by which a second pass
+    tells them. A chunk that passes it by chance is stored like a shared one, so the filter's errors cost room only.
     The store has digest, data and uses, which is larger than 0 for the few digests with a large share of all uses.
+    An empty table gives an empty manifest and store; other columns are left out. A text must fit into a row of Arrow
+    data (2 GB), and a worker holds some twenty times the longest.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
 
+    @trimmed
     def keys(batches):
         for _, _, _, digests, _ in _chunks(batches):
             yield pa.RecordBatch.from_arrays([pa.array([_key(d) for own in digests for d in own], pa.int64())], names=["key"])
@@ -120,26 +130,38 @@ def write_media(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         flat = has.has(np.array([_key(d) for own in digests for d in own], dtype=np.int64).view(np.uint64))
         return np.split(flat, np.cumsum([len(own) for own in digests])[:-1])
 
-    def manifests(batches):
+    def both(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in _BOTH], schema=_BOTH)
+
+    @trimmed
+    def written(batches):
+        """Manifest rows, and each slice's shared chunks once."""
         press = zstandard.ZstdCompressor(level=6)
         for ids, sizes, full, digests, bounds in _chunks(batches):
             shared = is_shared(digests)
             heads = [wave_header(len(p)) for p in full]
             own = [press.compress(b"".join(p[x:y] for x, y, s in zip(c[:-1], c[1:], f.tolist(), strict=True) if not s)) for p, c, f in zip(full, bounds, shared, strict=True)]
-            columns = [ids, pa.array([hashlib.sha256(h + p).digest() for h, p in zip(heads, full, strict=True)], pa.binary()), pa.array(sizes, pa.int64()), pa.array(heads, pa.binary()), pa.array([np.diff(c).tolist() for c in bounds], pa.list_(pa.int32()))]
-            columns += [pa.array([b"".join(d) for d in digests], pa.binary()), pa.array([f.astype(np.uint8).tobytes() for f in shared], pa.binary()), pa.array(own, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "media_sha", "n_bytes", "head", "lengths", "digests", "shared", "own"])
-
-    def contents(batches):
-        press, seen = zstandard.ZstdCompressor(level=6), set()
-        for _, _, full, digests, bounds in _chunks(batches):
-            rows = []
-            for p, own, c, f in zip(full, digests, bounds, is_shared(digests), strict=True):
-                for d, x, y, s in zip(own, c[:-1], c[1:], f.tolist(), strict=True):
-                    if s and d not in seen:
-                        seen.add(d)
-                        rows.append((d, press.compress(p[x:y])))
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.binary()), pa.array([z for _, z in rows], pa.binary())], names=["digest", "data"])
+            sums = []
+            for h, p in zip(heads, full, strict=True):
+                whole = hashlib.sha256(h)
+                whole.update(p)
+                sums.append(whole.digest())
+            yield both(
+                {
+                    "doc_id": ids,
+                    "media_sha": pa.array(sums, pa.binary()),
+                    "n_bytes": sizes,
+                    "head": pa.array(heads, pa.binary()),
+                    "lengths": pa.array([np.diff(c).tolist() for c in bounds], pa.list_(pa.int32())),
+                    "digests": pa.array([b"".join(d) for d in digests], pa.binary()),
+                    "shared": pa.array([f.astype(np.uint8).tobytes() for f in shared], pa.binary()),
+                    "own": pa.array(own, pa.binary()),
+                },
+                len(full),
+            )
+            found = {d: p[x:y] for p, own_, c, f in zip(full, digests, bounds, shared, strict=True) if f.any() for d, x, y, s in zip(own_, c[:-1], c[1:], f.tolist(), strict=True) if s}
+            if found:
+                yield both({"digest": pa.array(list(found), pa.binary()), "data": pa.array([press.compress(x) for x in found.values()], pa.binary())}, len(found))
 
     def once(batches):
         last = None
@@ -151,10 +173,11 @@ def write_media(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                     last = d
             yield batch.take(pa.array(keep, pa.int64()))
 
-    manifest = store(docs.mapInArrow(manifests, _MANIFEST), "media", compression="none")
-    dealt = docs.mapInArrow(contents, "digest binary, data binary").repartition(partitions(spark), "digest").sortWithinPartitions("digest")
+    rows = store(docs.mapInArrow(written, f"{_MANIFEST}, {_CHUNK}"), "media", compression="none")
+    manifest = rows.filter("digest is null").drop("digest", "data")
+    dealt = rows.filter("digest is not null").select("digest", "data").repartition(partitions(spark), "digest").sortWithinPartitions("digest")
     hot = counts.filter(F.col("n") * HOT_SHARE > F.lit(total)).select(F.col("key").alias("hot"))
-    chunks = dealt.mapInArrow(once, "digest binary, data binary")
+    chunks = dealt.mapInArrow(trimmed(once), _CHUNK)
     key = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("long")
     chunks = chunks.join(F.broadcast(hot), key == F.col("hot"), "left").withColumn("uses", F.when(F.col("hot").isNotNull(), F.lit(total)).otherwise(0)).drop("hot")
     return manifest, store(chunks, "chunks", compression="none")
@@ -165,8 +188,9 @@ _FEATURES = "media_sha binary, payload_bytes long, payload_sha256 string, tail_c
 
 def feature(samples: np.ndarray, chunks: int) -> str:
     """Loudness, peak and zero crossings of 8-bit samples around their middle, in whole numbers."""
-    level = samples.astype(np.int64) - 128
-    return f"sum={int(level.sum())};energy={int((level * level).sum())};peak={int(np.abs(level).max())};crossings={int(np.count_nonzero((level[1:] < 0) != (level[:-1] < 0)))};chunks={chunks}"
+    counts, level = np.bincount(samples, minlength=256), np.arange(256) - 128
+    low = samples < 128
+    return f"sum={int((counts * level).sum())};energy={int((counts * level * level).sum())};peak={int(np.abs(level[counts > 0]).max())};crossings={int(np.count_nonzero(low[1:] != low[:-1]))};chunks={chunks}"
 
 
 def _verified(media_sha: bytes, head: bytes, digests: bytes, chunks: list[bytes]) -> tuple:
@@ -175,7 +199,9 @@ def _verified(media_sha: bytes, head: bytes, digests: bytes, chunks: list[bytes]
         if hashlib.sha256(c).digest() != digests[32 * k : 32 * k + 32]:
             raise ValueError("a chunk differs from its digest")
     samples = b"".join(chunks)
-    whole = hashlib.sha256(head + samples).digest()
+    digest = hashlib.sha256(head)
+    digest.update(samples)
+    whole = digest.digest()
     if whole != media_sha or head != wave_header(len(samples)):
         raise ValueError("a medium differs from its digest")
     return media_sha, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-UNIT:]), len(head) + len(samples), whole.hex(), feature(np.frombuffer(samples, dtype=np.uint8), len(chunks))
@@ -206,25 +232,35 @@ def read_media(manifest: DataFrame, chunks: DataFrame) -> DataFrame:
     names = ["media_sha", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     has_shared = F.instr(F.hex("shared"), "01") > 0
 
+    @trimmed
     def whole(batches):
         for batch in batches:
-            sha, head, lengths, digests, shared, own = (batch.column(k).to_pylist() for k in range(2, 8))
-            rows = [_verified(s, h, d, _split_own(n, f, o)) for s, h, n, d, f, o in zip(sha, head, lengths, digests, shared, own, strict=True)]
-            yield _record(rows, [batch.column(0), batch.column(1)], ["doc_id", "n_bytes"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sha, head, lengths, digests, shared, own = (part.column(k).to_pylist() for k in range(2, 8))
+                rows = [_verified(s, h, d, _split_own(n, f, o)) for s, h, n, d, f, o in zip(sha, head, lengths, digests, shared, own, strict=True)]
+                yield _record(rows, [part.column(0), part.column(1)], ["doc_id", "n_bytes"])
+
+    def listed(batches):
+        """(medium, place, digest) of each shared chunk."""
+        for batch in batches:
+            for sha, digests, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = np.flatnonzero(np.frombuffer(shared, dtype=np.uint8))
+                all_ = np.frombuffer(digests, dtype="V32")[at]
+                yield pa.RecordBatch.from_arrays([pa.array([sha] * len(at), pa.binary()), pa.array(at.astype(np.int32)), pa.array([x.tobytes() for x in all_], pa.binary())], names=["media_sha", "place", "digest"])
 
     alone = manifest.filter(~has_shared).select("doc_id", "n_bytes", "media_sha", "head", "lengths", "digests", "shared", "own").mapInArrow(whole, f"doc_id long, n_bytes long, {_FEATURES}")
     rest = manifest.filter(has_shared)
     copies = rest.groupBy("media_sha").agg(F.count("*").alias("copies"))
     media = rest.select("media_sha", "head", "lengths", "digests", "shared", "own").dropDuplicates(["media_sha"])
-    hexes = F.hex("digests")
-    listed = F.filter(F.transform(F.sequence(F.lit(0), F.size("lengths") - 1), lambda k: F.when(F.substr(F.hex("shared"), k * 2 + 1, F.lit(2)) == "01", F.struct(k.cast("int").alias("place"), F.unhex(F.substr(hexes, k * 64 + 1, F.lit(64))).alias("digest")))), lambda x: x.isNotNull())
-    wanted = rest.select("media_sha", F.explode(listed).alias("x")).select("media_sha", "x.place", "x.digest").distinct()
+    wanted = rest.select("media_sha", "digests", "shared").dropDuplicates(["media_sha"]).mapInArrow(trimmed(listed), "media_sha binary, place int, digest binary")
     total = rest.count()
     fetched = lookup(wanted, chunks, "digest", "uses", total)
     none = [F.lit(None).cast(t).alias(c) for c, t in (("head", "binary"), ("lengths", "array<int>"), ("digests", "binary"), ("shared", "binary"))]
     parts = media.select("media_sha", F.lit(-1).alias("place"), F.col("own").alias("data"), "head", "lengths", "digests", "shared").unionByName(fetched.select("media_sha", "place", "data", *none))
     parts = parts.repartition(partitions(spark), "media_sha").sortWithinPartitions("media_sha", "place")
 
+    @trimmed
     def assembled(batches):
         press = zstandard.ZstdDecompressor()
         now: tuple | None = None
