@@ -8,17 +8,19 @@ its own word, listed in the segment's offsets, so that blocks decode on their ow
 
 from __future__ import annotations
 
+import itertools
+import json
+import os
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglane.llm.common import partitions, prepare, slices, store, utf8
+from siglane.llm.common import partitions, prepare, slices, store, trimmed, utf8
 
 BLOCK = 1024
 END_ID = 0
@@ -30,8 +32,6 @@ ESCAPE = 15
 RAW = np.uint64(1) << np.uint64(59)
 LARGEST = (1 << 59) - 1
 MAGIC = b"S8B1"
-#: The pre-tokens of byte-level vocabularies. Fixed value.
-PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 _WIDTHS = np.array([x.bit_length() for x in range(1 << 16)], dtype=np.uint8)
@@ -143,92 +143,168 @@ def unpack(data: bytes) -> np.ndarray:
     return ids
 
 
+class IdCache:
+    """Ids of short pieces, found by 128 bits of hash: the first MOST pieces that come, which are the frequent ones.
+
+    Pieces up to SHORT bytes are hashed by tables of random words, one for each place and byte (two such hashes, both of
+    which must be equal). Arrays of some 50 MB hold them; looking up a slice's pieces makes no Python objects.
+    """
+
+    MOST, SHORT = 1 << 20, 32
+
+    def __init__(self):
+        self.tables = np.random.default_rng(1).integers(0, 1 << 64, (2, 256 * self.SHORT), dtype=np.uint64)
+        self.keys, self.checks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        self.first, self.size, self.flat = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+
+    def hashed(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key, check, whether it is short enough) of each piece; none is empty."""
+        offsets = np.frombuffer(pieces.buffers()[1], dtype=np.int64)[pieces.offset : pieces.offset + len(pieces) + 1]
+        data = np.frombuffer(pieces.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].astype(np.int32)
+        sizes, starts = np.diff(offsets), offsets[:-1] - offsets[0]
+        place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
+        data += np.minimum(place, self.SHORT - 1) * 256
+        return *(np.bitwise_xor.reduceat(t[data], starts) for t in self.tables), sizes <= self.SHORT
+
+    def get(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Where each piece is kept, -1 for those that aren't."""
+        if not len(self.keys):
+            return np.full(len(key), -1, dtype=np.int64)
+        order = np.argsort(key)
+        at = np.empty(len(key), dtype=np.int64)
+        at[order] = np.searchsorted(self.keys, key[order])
+        at = np.minimum(at, len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (self.checks[at] == check), at, -1)
+
+    def put(self, key: np.ndarray, check: np.ndarray, flat: np.ndarray, size: np.ndarray) -> None:
+        room = max(0, self.MOST - len(self.keys))
+        key, check, size = key[:room], check[:room], size[:room]
+        if not len(key):
+            return
+        keys = np.concatenate([self.keys, key])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.checks = keys[order], np.concatenate([self.checks, check])[order]
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])[order]
+        self.size, self.flat = np.concatenate([self.size, size])[order], np.concatenate([self.flat, flat[: int(size.sum())]])
+
+
 class ByteEncoder:
-    """Encodes whole texts with the tokenizers library, each distinct piece of text once.
+    """Encodes whole texts as the tokenizers library does by default, each distinct piece of a slice once.
 
     Byte-level pre-tokens never run across a blank that a visible character follows, so a text may be cut before
     such blanks without any change of its ids. Python's white space holds all that the library counts as white
-    space; a text with a blank before one of these is given to the library whole.
+    space; a text with a blank before one of these is given to the library whole, and so is one that holds the name
+    of an added token, which the library finds before it cuts anything.
     """
 
-    MOST = 1_000_000
+    #: Pieces that the library is given in one text.
+    TOGETHER = 2000
 
     def __init__(self, path: str):
+        # A task has one core; the library's own threads would be too many, with memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tool = Tokenizer.from_file(path)
-        self.tool.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
-        self.pattern = regex.compile(PRE_TOKEN)
-        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        moved = [x for x in range(256) if x not in kept]
-        self.alphabet = {x: chr(x) for x in kept} | {x: chr(256 + k) for k, x in enumerate(moved)}
-        simple = '"ByteLevel"' in (spec := self.tool.to_str()) and '"normalizer":null' in spec.replace(" ", "") and '"add_prefix_space":false' in spec.replace(" ", "")
-        if not simple or '"use_regex":false' in spec.replace(" ", ""):
+        spec = json.loads(self.tool.to_str())
+        cut, model = spec["pre_tokenizer"] or {}, spec["model"]
+        if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex") or spec["normalizer"] or model["type"] != "BPE" or model["ignore_merges"]:
             raise ValueError(f"{path} isn't a plain byte-level tokenizer")
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece with a blank before it: the pattern of byte-level pre-tokens cuts it, the library's
-        model encodes each distinct pre-token, spelt in the byte alphabet."""
-        out = []
-        known, model = self.tokens, self.tool.model
-        if len(known) > self.MOST:
-            known.clear()
-        for p in pieces:
-            parts = []
-            for t in self.pattern.findall(" " + p):
-                ids = known.get(t)
-                if ids is None:
-                    ids = known[t] = np.array([x.id for x in model.tokenize(t.encode().decode("latin-1").translate(self.alphabet))], dtype="<u4").tobytes()
-                parts.append(ids)
-            out.append(b"".join(parts))
-        return out
+        self.known = IdCache()
+        self.marks = {c: self.tool.encode(c, add_special_tokens=False).ids for c in ",.;:!?"}
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        # Where byte 32 stands in the alphabet of byte-level pieces; blanks are nowhere but in front of a piece.
+        self.opens = np.zeros(self.tool.get_vocab_size(), dtype=bool)
+        for token, k in self.tool.get_vocab().items():
+            self.opens[k] = token.startswith("\u0120") and token not in self.added
+
+    def plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each), by the library."""
+        found = [x.ids for x in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
+        n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(n.sum())), n
+
+    def fresh(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces with a blank before each, number of ids of each), by the library.
+
+        A piece of ASCII letters is one pre-token, and a punctuation mark after it another: they go to the library's model
+        at once. It is given all others many in one text, which it cuts before each blank; an id that begins with a
+        blank begins a piece.
+        """
+        found: list = [None] * len(pieces)
+        tokenize, rest = self.tool.model.tokenize, []
+        for k, p in enumerate(pieces):
+            if p.isascii() and p.isalpha():
+                found[k] = [t.id for t in tokenize("\u0120" + p)]
+            elif p.isascii() and p[-1] in self.marks and p[:-1].isalpha():
+                found[k] = [t.id for t in tokenize("\u0120" + p[:-1])] + self.marks[p[-1]]
+            else:
+                rest.append(k)
+        flat, _ = self.plain([" " + " ".join([pieces[k] for k in rest[i : i + self.TOGETHER]]) for i in range(0, len(rest), self.TOGETHER)])
+        starts = np.flatnonzero(self.opens[flat]).tolist()
+        if len(starts) != len(rest):
+            raise ValueError("the library doesn't cut before each blank")
+        flat = flat.tolist()
+        for k, a, b in zip(rest, starts, [*starts[1:], len(flat)][: len(rest)], strict=True):
+            found[k] = flat[a:b]
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(size.sum())), size
+
+    def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all distinct pieces with a blank before each, number of ids of each)."""
+        key, check, short = self.known.hashed(pieces)
+        at = np.where(short, self.known.get(key, check), -1)
+        new = np.flatnonzero(at < 0)
+        flat, fresh = self.fresh(pieces.take(pa.array(new)).to_pylist())
+        starts = np.cumsum(fresh) - fresh
+        size, first = np.empty(len(pieces), dtype=np.int64), np.empty(len(pieces), dtype=np.int64)
+        old = np.flatnonzero(at >= 0)
+        size[new], first[new] = fresh, len(self.known.flat) + starts
+        size[old], first[old] = self.known.size[at[old]], self.known.first[at[old]]
+        both = np.concatenate([self.known.flat, flat]) if len(old) else flat
+        if not len(old):
+            first -= len(self.known.flat)
+        keep = short[new]
+        self.known.put(key[new][keep], check[new][keep], flat[np.repeat(keep, fresh)], fresh[keep])
+        return both[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))], size
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
+        if not len(texts):
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         parts = pc.split_pattern(texts, " ")
         bounds = np.asarray(parts.offsets, dtype=np.int64)
         bounds = bounds - bounds[0]
         coded = parts.flatten().dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > self.MOST:
-            self.known.clear()
-        table = list(map(self.known.get, pieces))
-        new = [k for k, x in enumerate(table) if x is None]
-        odd = np.zeros(len(pieces), dtype=bool)
-        for k in new:
-            p = pieces[k]
-            if not p or p[0].isspace() or "\x1c" <= p[0] <= "\x1f":
-                odd[k], table[k] = True, b""
-        fresh = [k for k in new if table[k] is None]
-        for k, ids in zip(fresh, self.pieces([pieces[k] for k in fresh]), strict=True):
-            table[k] = self.known[pieces[k]] = ids
+        pieces = coded.dictionary
+        heads = pc.utf8_slice_codeunits(coded.dictionary, 0, 1).dictionary_encode()
+        odd = np.array([not c or c.isspace() or "\x1c" <= c <= "\x1f" for c in heads.dictionary.to_pylist()], dtype=bool)[heads.indices.to_numpy(zero_copy_only=False)]
         # A text's first piece has no blank before it; a text with an odd later piece goes whole.
-        whole = np.zeros(len(texts), dtype=bool)
-        if odd.any():
-            inner = odd[codes]
-            inner[bounds[:-1]] = False
-            whole = np.add.reduceat(inner.astype(np.int64), bounds[:-1]) > 0
-        plain = texts.to_pylist() if whole.any() else None
-        firsts = [plain[i] if w else pieces[codes[b]] for i, (w, b) in enumerate(zip(whole.tolist(), bounds[:-1].tolist(), strict=True))]
-        codes[bounds[:-1]] = np.arange(len(texts)) + len(table)
-        table += self.plain(firsts)
-        size = np.fromiter(map(len, table), dtype=np.int64, count=len(table)) // 4
+        inner = odd[codes]
+        inner[bounds[:-1]] = False
+        whole = np.add.reduceat(inner.astype(np.int64), bounds[:-1]) > 0
+        for name in self.added:
+            whole |= np.asarray(pc.match_substring(texts, name))
+        firsts = pieces.take(pa.array(codes[bounds[:-1]])).to_pylist()
+        for i in np.flatnonzero(whole).tolist():
+            firsts[i] = texts[i].as_py()
+        used = np.zeros(len(pieces), dtype=bool)
+        later = np.repeat(~whole, np.diff(bounds))
+        later[bounds[:-1]] = False
+        used[codes[later]] = True
+        size = np.zeros(len(pieces) + len(texts), dtype=np.int64)
+        flat, size[: len(pieces)][used] = self.pieces(pieces.filter(pa.array(used))) if used.any() else (np.zeros(0, dtype=np.uint32), 0)
+        own, size[len(pieces) :] = self.plain(firsts)
+        flat = np.concatenate([flat, own])
         start = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(table), dtype="<u4")
+        codes[bounds[:-1]] = np.arange(len(texts)) + len(pieces)
         n = size[codes]
-        if whole.any():
-            drop = np.repeat(whole, np.diff(bounds))
-            drop[bounds[:-1]] = False
-            n[drop] = 0
+        later[bounds[:-1]] = True
+        n[~later] = 0
         at = np.repeat(start[codes] - (np.cumsum(n) - n), n)
         at += np.arange(len(at))
-        return flat[at], np.add.reduceat(n, bounds[:-1]) if len(texts) else n
+        return flat[at], np.add.reduceat(n, bounds[:-1])
 
 
 _encoders: dict[str, ByteEncoder] = {}
@@ -240,6 +316,8 @@ def encoder(path: str) -> ByteEncoder:
     return _encoders[path]
 
 
+#: Bytes of text that make a segment. Of twice as many, each piece comes less often anew.
+SEGMENT_BYTES = 4 << 20
 SEGMENT_SCHEMA = "part int, seq long, doc_id array<long>, n_tokens array<long>, data binary"
 
 
@@ -248,15 +326,17 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
 
     Rows are dealt by range of doc_id and sorted within each range; a task writes its range as segments, numbered by
     ``part`` (the range) and ``seq``. Null text counts as empty, null doc_id comes first; rows of one doc_id follow
-    each other by text. A segment holds whole documents, of a few MB of text or a single longer one.
+    each other by text. A segment holds whole documents, of a few MB of text or a single longer one. An empty table
+    gives no segment; other columns are left out.
     """
     spark = prepare(docs.sparkSession)
 
+    @trimmed
     def encoded(batches):
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts = utf8(batch.column(1))
-            for a, b in slices(texts):
+            for a, b in slices(texts, SEGMENT_BYTES):
                 ids, n = encoder(tokenizer).batch(texts.slice(a, b - a))
                 n = n + 1
                 out = np.full(int(n.sum()), end_id, dtype=np.uint64)
@@ -276,7 +356,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataF
 def read_tokens(segments: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, decoded from the segments of write_tokens().
 
-    Where a range starts follows from the token counts of the ranges before, one number for each range.
+    Where a range starts follows from the token counts of the ranges before, one number for each range. No segments
+    give an empty table.
     """
     spark = segments.sparkSession
     totals = segments.select("part", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda x, y: x + y).alias("n")).groupBy("part").agg(F.sum("n").alias("n")).collect()
@@ -291,9 +372,11 @@ def read_tokens(segments: DataFrame) -> DataFrame:
     offsets = within.withColumn("before", F.sum("n").over(Window.partitionBy("part").orderBy("seq")) - F.col("n")).join(F.broadcast(starts), "part")
     placed = offsets.select("part", "seq", (F.col("base") + F.col("before")).alias("start"))
 
+    @trimmed
     def decoded(batches):
         for batch in batches:
-            for part, seq, docs, sizes, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for k in range(batch.num_rows):
+                part, seq, docs, sizes, data = (c[k].as_py() for c in batch.columns)
                 ids = unpack(data).astype("<u4")
                 n = np.array(sizes, dtype=np.int64)
                 ends = np.cumsum(n)
