@@ -94,7 +94,8 @@ def test_op1(spark, odd, docs):
     from tokenizers import Tokenizer
 
     tool = Tokenizer.from_file(BPE)
-    tool.encode_special_tokens = True
+    marked = ["<|endoftext|> at first", "in <|endoftext|> between", "a<|endoftext|>b  <|endoftext|>", "at last <|endoftext|>", "a <|endoftext|", "Ġ Ġa \x1c b\u3000 c"]
+    odd = odd.unionByName(spark.createDataFrame([(2000 + k, t) for k, t in enumerate(marked)], "doc_id long, text string"), allowMissingColumns=True)
     for source, found in ((docs, queries.op1_simple8b_tokens(spark, SF).collect()), ([(r.doc_id, r.text) for r in odd.collect()], tokens.read_tokens(tokens.write_tokens(odd, BPE)).collect())):
         source = sorted(source, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
         found = sorted(found, key=lambda r: r.start)
@@ -463,36 +464,40 @@ def test_own_agenda_agrees_with_the_library():
     own = pieces.PieceEncoder(PIECES)
     for t in ODD:
         if t:
-            ids = np.array(own.library.encode(t), dtype="<u4").tobytes()
-            assert own.batch(utf8(pa.array([t])))[0][0] == own.begin + ids + own.end
+            ids = own.library.encode(t)
+            found, fine = own.batch(utf8(pa.array([t])))[0]
+            assert fine and found.tolist() == [1, *ids, 2]
             if len(t) < 10_000:
-                assert own.merge(own.library.normalize(t)) == ids
+                symbols = np.array(own.merge(own.library.normalize(t)), dtype=np.int64)
+                assert own.spelt(symbols, np.array([len(symbols)]))[0].tolist() == ids
 
 
-def test_op10_fails_where_whole_texts_differ_from_their_cuts(monkeypatch):
+def test_op10_takes_the_ids_of_the_library_for_every_whole_text():
     class Other:
-        """A library that encodes texts of several words otherwise than word by word, or knows no first blank."""
+        """A library that encodes whole texts otherwise than cut by cut."""
 
-        def __init__(self, tool, blank):
-            self.tool, self.blank = tool, blank
+        def __init__(self, tool):
+            self.tool, self.bos_id, self.eos_id, self.normalize = tool, tool.bos_id, tool.eos_id, tool.normalize
 
         def encode(self, x, **options):
-            ids = self.tool.encode(x, **options)
-            return [*ids, 7] if isinstance(x, str) else ids
-
-        def normalize(self, x):
-            return self.tool.normalize(x)[0 if self.blank else 1 :]
+            return [np.append(ids, 7) for ids in self.tool.encode(x, **options)]
 
     texts = utf8(pa.array([f"some words {k}" for k in range(300)]))
     own = pieces.PieceEncoder(PIECES)
-    assert all(fine for _, fine in own.batch(texts))
-    own.library = Other(own.library, True)
-    with pytest.raises(ValueError):
-        own.batch(texts)
-    own.library.blank = False
-    monkeypatch.setattr(pieces, "WHOLE_SHARE", 1 << 70)  # only for the cut without a blank sign
-    with pytest.raises(ValueError):
-        own.batch(texts)
+    before = own.batch(texts)
+    assert all(fine for _, fine in before)
+    own.library = Other(own.library)
+    for (ids, _), (other, fine) in zip(before, own.batch(texts), strict=True):
+        assert not fine and other.tolist() == [*ids[:-1].tolist(), 7, *ids[-1:].tolist()]
+
+
+def test_op10_merges_whole_texts_where_pieces_run_across_blanks(monkeypatch):
+    own = pieces.PieceEncoder(PIECES)
+    own.safe = False
+    assert all(fine for _, fine in own.batch(utf8(pa.array([t for t in ODD if len(t or "") < 10_000]))))
+    monkeypatch.setattr(pieces, "SHORT", 0)  # all cuts by the heap
+    own.safe = True
+    assert all(fine for _, fine in own.batch(utf8(pa.array([t for t in ODD if len(t or "") < 10_000]))))
 
 
 def test_pipeline(spark, docs):
