@@ -122,6 +122,19 @@ def utf8(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def joined(batches, most: int):
+    """Arrow batches put together until they hold about ``most`` bytes, or are one that does."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES):
     """(from, to) of rows that hold about ``most`` bytes; a longer text stands alone."""
     ends = np.cumsum(np.asarray(pc.binary_length(texts)))

@@ -22,13 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglane.llm.common import fold_of, hashes, mix, partitions, prepare, slices, store, trimmed, utf8, words
+from siglane.llm.common import fold_of, hashes, joined, mix, partitions, prepare, slices, store, trimmed, utf8, words
 
 FOLDS, HELD_OUT = 7, 2
 BASE = 1.5
 PROBES, BITS_EACH = 3, 8
 PREFIX = 10
 HEAD = 1 << 21
+#: Texts of about so many bytes ask together: of more, each n-gram is asked for less often.
+SLICE = 12 << 20
 #: n-grams that a task gathers before it sends them on.
 GATHER = 6_000_000
 #: n-grams that a task holds against a piece at a time.
@@ -245,9 +247,9 @@ def _sliced(batches):
     The indices are packed as first bytes, second bytes and so on, of which the last are nearly all zero.
     """
     number, press = TaskContext.get().partitionId() << 40, zstandard.ZstdCompressor(level=3)
-    for batch in batches:
+    for batch in joined(batches, SLICE):
         texts = utf8(batch.column(1))
-        for a, b in slices(texts):
+        for a, b in slices(texts, SLICE):
             tokens, bounds = tokens_of(texts.slice(a, b - a))
             one, which = np.unique(tokens, return_inverse=True)
             row = (number, batch.column(0).slice(a, b - a).to_pylist(), np.diff(bounds).astype("<i4").tobytes(), one.astype("<u8").tobytes(), press.compress(which.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()))
