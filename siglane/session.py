@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +26,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     if root not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (have, root) if x)
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir; a local one is made only for a local master."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        where = f"file://{tempfile.mkdtemp(prefix='siglane-')}"
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where.rstrip("/")
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system of a path, the path in it)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where

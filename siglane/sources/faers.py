@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siglane.functions.text import joined, therapy_summary
 from siglane.schema import INGEST_COLUMNS, INGEST_SCHEMA, SUSPECT_ROLES
+from siglane.session import file_system
 
 DATA_DIR = "FAERS_DATA_DIR"
 
@@ -19,12 +20,21 @@ def data_dir() -> Path:
 
 
 def read_file(spark: SparkSession, folder: str, kind: str) -> DataFrame | None:
-    """All files of one kind (DEMO, DRUG, ...) of a folder, as strings with lower-case names; None if there is none."""
-    found = sorted(str(p) for p in Path(folder).glob("*") if p.name.upper().startswith(kind) and p.suffix.lower() == ".txt")
-    if not found:
+    """All files of one kind (DEMO, DRUG, ...) of a folder, as strings with lower-case names; None if there is none.
+
+    Each file has its own header: columns meet by name, whatever their order, and are null where a file lacks them. The
+    folder can be in any file system that Spark reads.
+    """
+    files, where = file_system(spark, folder)
+    if not files.exists(where):
         return None
-    rows = spark.read.csv(found, sep="$", header=True, mode="PERMISSIVE", quote="")
-    return rows.toDF(*(c.strip().lower() for c in rows.columns))
+    found = sorted(str(f.getPath()) for f in files.listStatus(where) if f.getPath().getName().upper().startswith(kind) and f.getPath().getName().lower().endswith(".txt"))
+    out = None
+    for path in found:
+        rows = spark.read.csv(path, sep="$", header=True, mode="PERMISSIVE", quote="")
+        rows = rows.toDF(*(c.strip().lower() for c in rows.columns))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 def _column(df: DataFrame, name: str, kind: str = "string"):
