@@ -3,18 +3,35 @@
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from siglane.session import file_system
 
 DEFAULT_TEMPLATE = "output/counts-%Y%m%d.json"
 
 
+def _write(df: DataFrame, path: str, kind: str, **options) -> int:
+    """Writes beside ``path``, counting rows in the same pass, and puts the result in its place if it has any."""
+    spark, seen, new = df.sparkSession, Observation(), f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.options(**options).format(kind).save(new)
+    files, made = file_system(spark, new)
+    _, where = file_system(spark, path)
+    n = seen.get["n"]
+    if not n:
+        files.delete(made, True)
+        return 0
+    files.delete(where, True)
+    if not files.rename(made, where):
+        raise OSError(f"{new} can't be renamed to {path}")
+    return n
+
+
 def write_json(df: DataFrame, path: str) -> int:
     """Rows as JSON lines, in a folder of part files; returns their number."""
-    n = df.count()
-    if n:
-        df.write.mode("overwrite").json(path)
-    return n
+    return _write(df, path, "json")
 
 
 def sink_output(df: DataFrame, template: str = DEFAULT_TEMPLATE) -> int:
@@ -27,7 +44,5 @@ def sink_signals(df: DataFrame, path: str) -> int:
 
 
 def write_parquet(df: DataFrame, path: str) -> int:
-    n = df.count()
-    if n:
-        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return n
+    """Snappy Parquet."""
+    return _write(df, path, "parquet", compression="snappy")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from siglane import sinks
+from siglane.session import file_system
 
 SCHEMAS = {
     "reports": "primary_id string, case_version int, receipt_date string, country string",
@@ -23,18 +23,22 @@ class SignalStore:
         self.spark, self.path = spark, path.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
-        except AnalysisException:
+        files, where = file_system(self.spark, f"{self.path}/{name}")
+        if not files.exists(where):
             return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
 
     def append(self, name: str, rows: DataFrame) -> None:
         names = [f.split()[0] for f in SCHEMAS[name].split(", ")]
         rows.select(*names).write.mode("append").parquet(f"{self.path}/{name}")
 
-    def insert_reports(self, rows: DataFrame) -> None:
-        """Reports with ids not yet there; of several new ones with one id, one."""
-        self.append("reports", rows.dropDuplicates(["primary_id"]).join(self.table("reports").select("primary_id"), "primary_id", "left_anti"))
+    def insert_reports(self, rows: DataFrame, order: str | None = None) -> None:
+        """Reports with ids not yet there; of several new ones with one id, the first by ``order``, a column, or by the
+        place in ``rows``."""
+        place = F.col(order) if order else F.monotonically_increasing_id()
+        names = [f.split()[0] for f in SCHEMAS["reports"].split(", ")]
+        first = rows.select(*names, place.alias("place_")).groupBy("primary_id").agg(F.min_by(F.struct(*names[1:]), "place_").alias("r")).select("primary_id", "r.*")
+        self.append("reports", first.join(self.table("reports").select("primary_id"), "primary_id", "left_anti"))
 
     def insert_drugs(self, rows: DataFrame) -> None:
         self.append("drugs", rows.withColumn("drug", F.upper("drug")))
@@ -67,19 +71,12 @@ class SignalStore:
 
     def export(self, name: str, path: str) -> int:
         """Snappy Parquet of a table; none for an empty one."""
-        rows = self.table(name)
-        n = rows.count()
-        if n:
-            rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
-        return n
+        return sinks.write_parquet(self.table(name), path)
 
     def sql(self, query: str) -> DataFrame:
         """SQL over the tables, by their names in braces."""
         return self.spark.sql(query, **{n: self.table(n) for n in SCHEMAS if f"{{{n}}}" in query})
 
-    def scratch(self) -> str:
-        return f"{self.path}/_tmp-{uuid.uuid4().hex}"
-
 
 def pairs(drugs: DataFrame, reactions: DataFrame, key: str = "primary_id") -> DataFrame:
     """drug, event, n: distinct reports with the drug as primary suspect."""
