@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import math
 import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from email.utils import parsedate_to_datetime
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,13 +83,25 @@ class EventQuery:
         return out + (f"&skip={self.skip}" if self.skip else "") + (f"&api_key={quote(api_key)}" if api_key else "")
 
 
+def _seconds(retry_after: str | None) -> int:
+    """Seconds of a Retry-After header, which may be a date."""
+    try:
+        return int(retry_after)
+    except (TypeError, ValueError):
+        pass
+    try:
+        return max(0, math.ceil(parsedate_to_datetime(retry_after).timestamp() - time.time()))
+    except (TypeError, ValueError):
+        return RETRY_SECONDS
+
+
 def fetch(url: str) -> str:
     try:
         with urllib.request.urlopen(url, timeout=TIMEOUT_SECONDS) as r:
             return r.read().decode()
     except urllib.error.HTTPError as e:
         if e.code == 429:
-            raise RateLimited(int(e.headers.get("Retry-After") or RETRY_SECONDS)) from e
+            raise RateLimited(_seconds(e.headers.get("Retry-After"))) from e
         raise InvalidResponse(f"status {e.code}") from e
     except OSError as e:
         raise HttpError(str(e)) from e
