@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siglane.functions.stats import chi_squared_tail, ratio
@@ -98,7 +98,12 @@ def _drug_pairs(cases: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def polypharmacy(cases: DataFrame, config: PolypharmacyConfig = PolypharmacyConfig()) -> DataFrame:
-    """Interaction of drug pairs; every ratio reduces to cases over the event's cases, so interaction is 0."""
+    """Interaction of drug pairs by the simplified ratios: a pair's or drug's rate over the event's rate, times all cases
+    over its own.
+
+    The count of the pair or drug cancels out of its ratio, so the ratios of one event are equal but for rounding and the
+    interaction is 0; polypharmacy_corrected() has exposure groups.
+    """
     singles, pairs, named = _drug_pairs(cases)
     by_event = named.groupBy("event").agg(F.count("*").alias("event_total"))
     by_drug = singles.groupBy("drug", "event").agg(F.count("*").alias("n"))
@@ -106,8 +111,14 @@ def polypharmacy(cases: DataFrame, config: PolypharmacyConfig = PolypharmacyConf
     out = by_pair.join(by_event, "event").join(by_drug.withColumnsRenamed({"drug": "drug_a", "n": "a_count"}), ["drug_a", "event"]).join(by_drug.withColumnsRenamed({"drug": "drug_b", "n": "b_count"}), ["drug_b", "event"])
     out = out.crossJoin(F.broadcast(named.agg(F.count("*").alias("total"))))
     zero = F.lit(0)
-    prr = F.col("total") / F.col("event_total")
-    out = out.select("drug_a", "drug_b", "event", "pair_count", F.greatest(F.col("a_count") - F.col("pair_count"), zero).alias("a_only"), F.greatest(F.col("b_count") - F.col("pair_count"), zero).alias("b_only"), "event_total", prr.alias("pair_prr"), prr.alias("prr_a"), prr.alias("prr_b"), F.lit(0.0).alias("interaction"))
+
+    def simplified(n: str) -> Column:
+        rate, of_event = F.col(n) / F.col("total"), F.col("event_total") / F.col("total")
+        return F.when(F.col(n) > 0, rate / of_event * F.col("total") / F.col(n)).otherwise(0.0)
+
+    out = out.withColumns({"pair_prr": simplified("pair_count"), "prr_a": simplified("a_count"), "prr_b": simplified("b_count")})
+    out = out.withColumn("interaction", F.round(F.col("pair_prr") - F.greatest("prr_a", "prr_b"), 9) + 0.0)
+    out = out.select("drug_a", "drug_b", "event", "pair_count", F.greatest(F.col("a_count") - F.col("pair_count"), zero).alias("a_only"), F.greatest(F.col("b_count") - F.col("pair_count"), zero).alias("b_only"), "event_total", "pair_prr", "prr_a", "prr_b", "interaction")
     return out.withColumn("is_synergistic", F.col("interaction") > config.interaction).orderBy(F.desc("interaction"), "drug_a", "drug_b", "event")
 
 
@@ -160,7 +171,7 @@ def geographic_divergence(cases: DataFrame, config: GeographicConfig = Geographi
     by_country = cells.groupBy("country").agg(F.sum("n").alias("country_total"))
     totals = cells.groupBy(*PAIR).agg(F.sum("n").alias("total")).filter(F.col("total") >= config.min_cases)
     whole = cells.agg(F.sum("n").alias("whole"))
-    kept = cells.filter(F.col("n") >= config.min_country_cases).join(F.broadcast(by_country), "country").join(totals, list(PAIR)).crossJoin(F.broadcast(whole))
+    kept = cells.filter(F.col("n") >= config.min_country_cases).join(by_country, "country").join(totals, list(PAIR)).crossJoin(F.broadcast(whole))
     rate = F.col("n") / F.greatest("country_total", F.lit(1))
     expected = F.col("country_total") * (F.col("total") / F.col("whole"))
     kept = kept.withColumns({"rate": rate, "term": F.when(expected > 0, (F.col("n") - expected) * (F.col("n") - expected) / expected).otherwise(0.0)})

@@ -21,7 +21,7 @@ def lookup(queries: DataFrame, products: DataFrame, fuzzy: bool = False) -> Data
     """query, product_ndc, match_type, confidence. ``queries`` has query; ``products`` is a directory().
 
     A code that matches stands alone; else brands, generics and ingredients match by name, each code by its first kind
-    of match; only queries without any match are compared by edit distance.
+    of match; only queries without any match are compared by edit distance. A query's matches come by confidence.
     """
     q = queries.select("query").distinct().withColumns({"q_ndc": normalize_ndc(F.col("query")), "q_name": normalize_drug_name(F.col("query"))})
 
@@ -39,7 +39,8 @@ def lookup(queries: DataFrame, products: DataFrame, fuzzy: bool = False) -> Data
         left = left.join(named.select("query").distinct(), "query", "left_anti")
         exact = exact.unionByName(_fuzzy(left, products))
     first = F.row_number().over(Window.partitionBy("query", "product_ndc").orderBy("place"))
-    return exact.withColumn("__n", first).filter("__n = 1").select("query", "product_ndc", "match_type", "confidence")
+    best = exact.withColumn("__n", first).filter("__n = 1")
+    return best.orderBy("query", F.desc("confidence"), "place", "product_ndc").select("query", "product_ndc", "match_type", "confidence")
 
 
 def _fuzzy(q: DataFrame, products: DataFrame) -> DataFrame:
@@ -62,3 +63,12 @@ def _fuzzy(q: DataFrame, products: DataFrame) -> DataFrame:
 
 def directory_size(products: DataFrame) -> DataFrame:
     return products.agg(F.countDistinct("product_ndc").alias("codes"), F.countDistinct("k_brand").alias("brand_names"), F.countDistinct("k_generic").alias("generic_names"))
+
+
+def names(products: DataFrame, kind: str) -> DataFrame:
+    """name: the distinct search names of a directory, ``kind`` being brand or generic, in their order."""
+    return products.select(F.col(f"k_{kind}").alias("name")).filter("name is not null").distinct().orderBy("name")
+
+
+def is_empty(products: DataFrame) -> bool:
+    return products.isEmpty()

@@ -6,17 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siglane.operators import contingency
+from siglane.schema import SUSPECT_ROLES
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def drugs(spark: SparkSession, d: str) -> DataFrame:
-    """case_id, drug, role: a row for each line."""
+#: Role of a line by its return flag.
+ROLES = {"A": "PS", "R": "SS"}
+
+
+def drugs(spark: SparkSession, d: str, roles: tuple[str, ...] | None = None) -> DataFrame:
+    """case_id, drug, role: a row for each line; with ``roles`` only lines of these suspect roles, chosen in the scan."""
+    lines = table(spark, d, "lineitem")
+    if roles:
+        lines = lines.filter(F.col("l_returnflag").isin(*(k for k, r in ROLES.items() if r in roles)))
     part = table(spark, d, "part").select("p_partkey", F.upper(F.concat_ws(" ", "p_brand", "p_type")).alias("drug"))
     role = F.when(F.col("l_returnflag") == "A", "PS").when(F.col("l_returnflag") == "R", "SS").otherwise("C")
-    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("case_id"), "l_partkey", role.alias("role")).join(part, F.col("l_partkey") == F.col("p_partkey")).select("case_id", "drug", "role")
+    return lines.select(F.col("l_orderkey").alias("case_id"), "l_partkey", role.alias("role")).join(part, F.col("l_partkey") == F.col("p_partkey")).select("case_id", "drug", "role")
 
 
 def reactions(spark: SparkSession, d: str) -> DataFrame:
@@ -27,7 +35,7 @@ def reactions(spark: SparkSession, d: str) -> DataFrame:
 
 def rows(spark: SparkSession, d: str, all_roles: bool = False) -> DataFrame:
     """case_id, drug, role, event."""
-    return contingency.cross_events(contingency.select_roles(drugs(spark, d), all_roles), reactions(spark, d))
+    return contingency.cross_events(contingency.select_roles(drugs(spark, d, None if all_roles else SUSPECT_ROLES), all_roles), reactions(spark, d))
 
 
 def cases(spark: SparkSession, d: str) -> DataFrame:
