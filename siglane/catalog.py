@@ -11,7 +11,7 @@ from siglane import views
 from siglane.functions.stats import chi_squared_tail, normal_cdf
 from siglane.functions.text import coded, joined, month_of, normalize_drug_name, normalize_ndc, therapy_summary
 from siglane.operators import analytics, contingency, dedup, ndc, signals
-from siglane.schema import OUTCOME_LABELS, OUTCOME_WEIGHTS, REPORTER_LABELS, REPORTER_WEIGHTS, SERIOUSNESS_WEIGHTS
+from siglane.schema import OUTCOME_LABELS, OUTCOME_WEIGHTS, REPORTER_LABELS, REPORTER_WEIGHTS, SERIOUSNESS_WEIGHTS, SignalConfig
 from siglane.sources import openfda, store
 
 QUERIES: dict = {}
@@ -24,7 +24,7 @@ def query(sql: str | None = None, with_views: bool = True):
     def put(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = f"WITH {views.SQL}\n{sql}" if with_views else sql
+            ORACLES[f.__name__] = f"WITH RECURSIVE {views.SQL}\n{sql}" if with_views else sql
         return f
 
     return put
@@ -116,14 +116,48 @@ def ic(spark, d):
     return rounded(_frequentist(spark, d).select("drug", "event", "n", "ic", "ic025", "ic_signal"))
 
 
-@query()
+def _digamma_sql(x: str) -> str:
+    y = f"({x} + 8)"
+    return f"(ln({y}) - 0.5 / {y} - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6) + 1 / (240 * {y} ** 8) - 1 / (132 * {y} ** 10) - " + " - ".join(f"1 / ({x} + {k})" for k in range(8)) + ")"
+
+
+def _weight_sql(a: str, b: str) -> str:
+    return f"(lgamma({a} + n) - lgamma({a}) - lgamma(n + 1) + {a} * ln({b} / ({b} + e)) + n * ln(e / ({b} + e)))"
+
+
+def _below_sql(a: str, b: str, logs: str) -> str:
+    """The gamma distribution function at x by its series, whose gamma functions are in the list ``logs``."""
+    z = f"(x * ({b} + e))"
+    return f"list_sum(list_transform({logs}, lambda g, k: exp(({a} + n + k - 1) * ln({z}) - {z} - g)))"
+
+
+_A1, _B1, _A2, _B2, _SHARE = (f"{v!r}::DOUBLE" for v in SignalConfig().prior)
+#: Terms of the series that count: beyond the mean of the posterior by many of its deviations.
+_TERMS = "CAST(60 + 1.5 * n + 12 * sqrt(n) AS BIGINT)"
+#: The empirical-Bayes columns in SQL: EB05 by halving the interval that holds it, 48 times.
+_EB = f""", base AS (SELECT drug, event, CAST(a AS DOUBLE) AS n, greatest((fa + fb) * (fa + fc) / t, 1e-12) AS e FROM fixed),
+shares AS (SELECT *, 1 / (1 + exp(least(greatest(ln(1 - {_SHARE}) + {_weight_sql(_A2, _B2)} - ln({_SHARE}) - {_weight_sql(_A1, _B1)}, -700), 700))) AS q FROM base),
+means AS (SELECT *, exp(q * ({_digamma_sql(f"({_A1} + n)")} - ln({_B1} + e)) + (1 - q) * ({_digamma_sql(f"({_A2} + n)")} - ln({_B2} + e))) AS ebgm,
+  list_transform(range(0, {_TERMS}), lambda k: lgamma({_A1} + n + k + 1)) AS g1, list_transform(range(0, {_TERMS}), lambda k: lgamma({_A2} + n + k + 1)) AS g2 FROM shares),
+halved AS (SELECT 0 AS step, drug, event, n, e, q, ebgm, g1, g2, 0.0::DOUBLE AS low, ebgm * 1.01 AS high FROM means UNION ALL
+  SELECT step + 1, drug, event, n, e, q, ebgm, g1, g2, CASE WHEN f < 0.05 THEN x ELSE low END, CASE WHEN f < 0.05 THEN high ELSE x END
+  FROM (SELECT *, q * {_below_sql(_A1, _B1, "g1")} + (1 - q) * {_below_sql(_A2, _B2, "g2")} AS f FROM (SELECT *, (low + high) / 2 AS x FROM halved WHERE step < 48))),
+bayes AS (SELECT drug, event, ebgm, (low + high) / 2 AS eb05 FROM halved WHERE step = 48),
+found AS (SELECT f.*, b.ebgm, b.eb05, b.eb05 >= 2 AS ebgm_signal FROM freq f JOIN bayes b ON f.drug = b.drug AND f.event = b.event)"""
+
+
+def _signals(spark, d):
+    return signals.from_counts(_kept(spark, d))
+
+
+@query(f"{_EB} SELECT drug, event, n, {_r('ebgm', 'eb05')}, ebgm_signal FROM found")
 def ebgm(spark, d):
-    return signals.from_counts(_kept(spark, d)).select("drug", "event", "n", "ebgm", "eb05", "ebgm_signal")
+    return rounded(_signals(spark, d).select("drug", "event", "n", "ebgm", "eb05", "ebgm_signal"))
 
 
-@query()
+@query(f"{_EB} SELECT drug, event, n, {_r('prr', 'prr_lower_ci', 'prr_upper_ci', 'ror', 'ror_lower_ci', 'ic', 'ic025', 'ebgm', 'eb05')}, prr_signal, ror_signal, ic_signal, ebgm_signal FROM found")
 def full_signals(spark, d):
-    return signals.from_counts(_kept(spark, d))
+    return rounded(_signals(spark, d))
 
 
 @query("SELECT drug, event, n FROM freq WHERE prr_signal OR ror_signal OR ic_signal")
@@ -131,14 +165,14 @@ def any_frequentist_signal(spark, d):
     return _frequentist(spark, d).filter("prr_signal or ror_signal or ic_signal").select("drug", "event", "n")
 
 
-@query()
+@query(f"{_EB} SELECT drug, event, n FROM found WHERE prr_signal OR ror_signal OR ic_signal OR ebgm_signal")
 def any_signal(spark, d):
-    return signals.any_signal(signals.from_counts(_kept(spark, d)))
+    return signals.any_signal(_signals(spark, d)).select("drug", "event", "n")
 
 
-@query()
+@query(f"{_EB} SELECT count(*) AS pairs, count(*) FILTER (prr_signal) AS prr_signals, count(*) FILTER (ror_signal) AS ror_signals, count(*) FILTER (ic_signal) AS ic_signals, count(*) FILTER (ebgm_signal) AS ebgm_signals, count(*) FILTER (prr_signal OR ror_signal OR ic_signal OR ebgm_signal) AS any_signals FROM found")
 def signal_summary(spark, d):
-    return signals.signal_summary(signals.from_counts(_kept(spark, d)))
+    return signals.signal_summary(_signals(spark, d))
 
 
 @query("SELECT count(*) AS pairs, count(DISTINCT drug) AS drugs, count(DISTINCT event) AS events, min(n) AS n_min, max(n) AS n_max, round(avg(n), 6) + 0.0 AS n_mean, round(quantile_cont(n, 0.5), 6) + 0.0 AS n_p50, round(quantile_cont(n, 0.9), 6) + 0.0 AS n_p90, round(quantile_cont(n, 0.99), 6) + 0.0 AS n_p99 FROM counts")
@@ -177,8 +211,7 @@ def store_contingency_unknown_event(spark, d):
 @query("SELECT drug, event, n FROM counts WHERE drug = (SELECT min(drug) FROM counts) ORDER BY n DESC, event LIMIT 10")
 def drug_events_topk(spark, d):
     counts = _counts(spark, d)
-    first = counts.agg(F.min("drug").alias("drug"))
-    return counts.join(F.broadcast(first), "drug").orderBy(F.desc("n"), "event").limit(10).select("drug", "event", "n")
+    return store.top_events(counts, counts.agg(F.min("drug")).first()[0] or "", 10)
 
 
 _W = "CASE code " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in OUTCOME_WEIGHTS.items()) + " END"
@@ -221,8 +254,13 @@ dp AS (SELECT x.drug AS drug_a, y.drug AS drug_b, x.event, count(*) AS pair_coun
 et AS (SELECT event, count(*) AS event_total FROM combos GROUP BY event), tt AS (SELECT count(*) AS total FROM combos)"""
 
 
-@query(f""", {_PAIRS} SELECT drug_a, drug_b, p.event, pair_count, greatest(a.n - pair_count, 0) AS a_only, greatest(b.n - pair_count, 0) AS b_only, event_total, round(total / event_total, 6) + 0.0 AS pair_prr, round(total / event_total, 6) + 0.0 AS prr_a, round(total / event_total, 6) + 0.0 AS prr_b, 0.0::DOUBLE AS interaction, false AS is_synergistic
-FROM dp p JOIN et ON p.event = et.event JOIN singles a ON a.drug = drug_a AND a.event = p.event JOIN singles b ON b.drug = drug_b AND b.event = p.event, tt WHERE pair_count >= 3""")
+def _simplified(n: str) -> str:
+    return f"CASE WHEN {n} > 0 THEN ({n} / total::DOUBLE) / (event_total / total::DOUBLE) * total / {n} ELSE 0 END"
+
+
+@query(f""", {_PAIRS}, ratios AS (SELECT drug_a, drug_b, p.event, pair_count, greatest(a.n - pair_count, 0) AS a_only, greatest(b.n - pair_count, 0) AS b_only, event_total, {_simplified('pair_count')} AS pair_prr, {_simplified('a.n')} AS prr_a, {_simplified('b.n')} AS prr_b
+FROM dp p JOIN et ON p.event = et.event JOIN singles a ON a.drug = drug_a AND a.event = p.event JOIN singles b ON b.drug = drug_b AND b.event = p.event, tt WHERE pair_count >= 3)
+SELECT drug_a, drug_b, event, pair_count, a_only, b_only, event_total, {_r('pair_prr', 'prr_a', 'prr_b')}, round(pair_prr - greatest(prr_a, prr_b), 6) + 0.0 AS interaction, pair_prr - greatest(prr_a, prr_b) > 1 AS is_synergistic FROM ratios""")
 def a78_polypharmacy(spark, d):
     return rounded(analytics.polypharmacy(views.combinations(spark, d)))
 
@@ -281,37 +319,24 @@ def fingerprints(spark, d):
     return dedup.fingerprint(views.reports(spark, d)).select(F.col("safety_report_id").alias("id"), "age_bucket", "sex", "country", "event_month", "fp_drug", "fp_reaction", "fp_mfr", dedup.completeness().alias("completeness"))
 
 
-@query("""SELECT a, b, round(dist, 6) + 0.0 AS distance FROM (SELECT x.ord AS a, y.ord AS b, CASE WHEN x.mfr = y.mfr THEN 0.0 ELSE 1.0 - ((x.age = y.age)::INT + (x.sex = y.sex)::INT + (x.country = y.country)::INT + 2 + 3 * (x.drug = y.drug)::INT + 2) / 10.0 END::DOUBLE AS dist
-FROM reports x JOIN reports y ON x.month = y.month AND x.ord < y.ord) WHERE dist <= 0.15""")
-def similarity_pairs(spark, d):
-    return rounded(dedup.neighbours(views.reports(spark, d), "ord", block="event_month"))
-
-
 @query("""SELECT a, b, round(dist, 6) + 0.0 AS distance FROM (SELECT x.ord AS a, y.ord AS b, CASE WHEN x.mfr = y.mfr THEN 0.0 ELSE 1.0 - ((x.age = y.age)::INT + (x.sex = y.sex)::INT + (x.country = y.country)::INT + 2 * (x.month = y.month)::INT + 3 * (x.drug = y.drug)::INT + 2) / 10.0 END::DOUBLE AS dist
 FROM reports x JOIN reports y ON x.ord < y.ord) WHERE dist <= 0.15""")
-def similarity_pairs_all(spark, d):
+def similarity_pairs(spark, d):
     return rounded(dedup.neighbours(views.reports(spark, d), "ord"))
 
 
 _NDC = """SELECT printf('%06d-%03d', p_partkey, p_size) AS ndc, lower(p_name) AS brand, lower(p_type) AS generic, lower(p_brand) AS ingredient FROM part"""
 
 
-def _ndc_queries(spark, d, some: str = "true"):
-    p = views.table(spark, d, "part").filter(some)
+def _ndc_queries(spark, d):
+    p = views.table(spark, d, "part")
     return p.select(F.explode(F.array(F.upper("p_name"), F.col("p_type"), F.col("p_brand"))).alias("query")).distinct()
 
 
-@query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT unnest([upper(p_name), p_type, p_brand]) AS query FROM part WHERE p_partkey <= 20), k AS (SELECT query, lower(regexp_replace(query, '[^A-Za-z0-9 ]', '', 'g')) AS name FROM q),
-hits AS (SELECT query, ndc, 1 AS place FROM k JOIN p ON name = brand UNION ALL SELECT query, ndc, 2 FROM k JOIN p ON name = generic UNION ALL SELECT query, ndc, 3 FROM k JOIN p ON name = ingredient)
-SELECT query, ndc AS product_ndc, ['ExactBrand', 'ExactGeneric', 'ExactIngredient'][place] AS match_type, CASE place WHEN 3 THEN 0.95 ELSE 1.0 END::DOUBLE AS confidence FROM (SELECT query, ndc, min(place) AS place FROM hits GROUP BY query, ndc)""", with_views=False)
-def ndc_exact(spark, d):
-    return ndc.lookup(_ndc_queries(spark, d, "p_partkey <= 20"), ndc.directory(views.products(spark, d), "ord"))
-
-
 @query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT unnest([upper(p_name), p_type, p_brand]) AS query FROM part), k AS (SELECT query, lower(regexp_replace(query, '[^A-Za-z0-9 ]', '', 'g')) AS name FROM q),
 hits AS (SELECT query, ndc, 1 AS place FROM k JOIN p ON name = brand UNION ALL SELECT query, ndc, 2 FROM k JOIN p ON name = generic UNION ALL SELECT query, ndc, 3 FROM k JOIN p ON name = ingredient)
 SELECT query, ndc AS product_ndc, ['ExactBrand', 'ExactGeneric', 'ExactIngredient'][place] AS match_type, CASE place WHEN 3 THEN 0.95 ELSE 1.0 END::DOUBLE AS confidence FROM (SELECT query, ndc, min(place) AS place FROM hits GROUP BY query, ndc)""", with_views=False)
-def ndc_exact_all(spark, d):
+def ndc_exact(spark, d):
     return ndc.lookup(_ndc_queries(spark, d), ndc.directory(views.products(spark, d), "ord"))
 
 
@@ -321,22 +346,15 @@ def ndc_by_code(spark, d):
     return ndc.lookup(products.select(F.col("product_ndc").alias("query")), products)
 
 
-def _fuzzy(spark, d, some: str = "true"):
-    p = views.table(spark, d, "part").filter(some).select(F.expr("substring(p_name, 2)").alias("query"))
+def _fuzzy(spark, d):
+    p = views.table(spark, d, "part").select(F.expr("substring(p_name, 2)").alias("query"))
     return rounded(ndc.lookup(p, ndc.directory(views.products(spark, d), "ord"), fuzzy=True).filter("match_type = 'Fuzzy'"))
 
 
-@query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT substr(p_name, 2) AS query FROM part WHERE p_partkey <= 20), k AS (SELECT query, lower(query) AS name FROM q WHERE lower(query) NOT IN (SELECT brand FROM p) AND lower(query) NOT IN (SELECT generic FROM p)),
-hits AS (SELECT query, ndc, levenshtein(name, brand) AS d, greatest(length(name), length(brand)) AS m, 4 AS place FROM k, p UNION ALL SELECT query, ndc, levenshtein(name, generic), greatest(length(name), length(generic)), 5 FROM k, p)
-SELECT query, ndc AS product_ndc, 'Fuzzy' AS match_type, round(1.0 - d / m, 6) + 0.0 AS confidence FROM hits WHERE d <= 3 QUALIFY row_number() OVER (PARTITION BY query, ndc ORDER BY place) = 1""", with_views=False)
-def ndc_fuzzy(spark, d):
-    return _fuzzy(spark, d, "p_partkey <= 20")
-
-
 @query(f"""WITH p AS ({_NDC}), q AS (SELECT DISTINCT substr(p_name, 2) AS query FROM part), k AS (SELECT query, lower(query) AS name FROM q WHERE lower(query) NOT IN (SELECT brand FROM p) AND lower(query) NOT IN (SELECT generic FROM p)),
 hits AS (SELECT query, ndc, levenshtein(name, brand) AS d, greatest(length(name), length(brand)) AS m, 4 AS place FROM k, p UNION ALL SELECT query, ndc, levenshtein(name, generic), greatest(length(name), length(generic)), 5 FROM k, p)
 SELECT query, ndc AS product_ndc, 'Fuzzy' AS match_type, round(1.0 - d / m, 6) + 0.0 AS confidence FROM hits WHERE d <= 3 QUALIFY row_number() OVER (PARTITION BY query, ndc ORDER BY place) = 1""", with_views=False)
-def ndc_fuzzy_all(spark, d):
+def ndc_fuzzy(spark, d):
     return _fuzzy(spark, d)
 
 
@@ -383,3 +401,6 @@ def normal_distribution(spark, d):
 @query(f"SELECT p_partkey, round(greatest(least(1 - ({_cdf('zz')}), 1), 0), 6) + 0.0 AS p FROM (SELECT p_partkey, ((p_size / 3.0) ** (1.0 / 3) - (1 - 2.0 / 27)) / sqrt(2.0 / 27) AS zz FROM part)", with_views=False)
 def chi_squared_p(spark, d):
     return rounded(views.table(spark, d, "part").select("p_partkey", chi_squared_tail(F.col("p_size").cast("double"), F.lit(3)).alias("p")))
+
+
+from siglane import roundtrips  # noqa: E402, F401  (registers the queries that write files and read them back)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from siglane import sinks
 from siglane.operators import contingency, signals
 from siglane.schema import SignalConfig
+from siglane.session import file_system
 from siglane.sources import faers
 
 
@@ -39,18 +39,26 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--counts-only", action="store_true")
     p.add_argument("--dry-run", action="store_true", help="only check that the folder is there")
     p.add_argument("--no-summary", action="store_true")
+    p.add_argument("--once", action="store_true", help="counts only, no signals and no summary: the plain ETL run")
+    p.add_argument("--output", dest="counts_out", help="the same as --counts-out")
+    p.add_argument("-v", "--verbose", action="store_true", help="say what is read and written")
     a = p.parse_args(args)
-    if not os.path.isdir(a.faers_dir):
+    spark = SparkSession.builder.appName("siglane").getOrCreate()
+    files, where = file_system(spark, a.faers_dir)
+    if not files.exists(where) or not files.getFileStatus(where).isDirectory():
         print(f"no such folder: {a.faers_dir}", file=sys.stderr)
         return 1
     if a.dry_run:
         return 0
-    spark = SparkSession.builder.appName("siglane").getOrCreate()
+    if a.verbose:
+        print(f"reading {a.faers_dir}", file=sys.stderr)
     rows = faers.ingest(spark, a.faers_dir, a.include_all_roles)
     counts = contingency.filter_minimum(contingency.count_pairs(rows), a.min_cases).cache()
-    sinks.sink_output(counts, a.counts_out)
-    if not a.counts_only:
-        found = signals.from_counts(counts)
+    n = sinks.sink_output(counts, a.counts_out)
+    if a.verbose:
+        print(f"{n} pairs", file=sys.stderr)
+    if not a.counts_only and not a.once:
+        found = signals.from_counts(counts).cache()
         sinks.sink_signals(found, a.signals_out)
         if not a.no_summary:
             print_summary(counts, found)
