@@ -5,8 +5,9 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
-import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglane.session import prepare
+from siglane.session import file_system, prepare, shared_dir
 
 #: White space of every contract here: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -26,16 +27,7 @@ HOT_SHARE = 1024
 SLICE_BYTES = 2 << 20
 
 _FOLD = bytes(32 if chr(i) in SPACES else i + 32 if 65 <= i <= 90 else i for i in range(256))
-_scratch: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is made only where none is set, as in tests."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = f"file://{tempfile.mkdtemp(prefix='siglane-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+_scratch: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("scratch", default=None)
 
 
 def store(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
@@ -43,17 +35,28 @@ def store(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     spark = prepare(df.sparkSession)
     path = f"{shared_dir(spark)}/siglane/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    _scratch.append((spark, path))
+    if (made := _scratch.get()) is not None:
+        made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release() -> None:
-    """Deletes the folders that store() has made; for callers who have written their results elsewhere."""
-    while _scratch:
-        spark, path = _scratch.pop()
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+@contextmanager
+def scratch():
+    """A list of the folders that store() makes within; release() deletes them once the results are written elsewhere."""
+    made: list[tuple[SparkSession, str]] = []
+    token = _scratch.set(made)
+    try:
+        yield made
+    finally:
+        _scratch.reset(token)
+
+
+def release(made: list[tuple[SparkSession, str]]) -> None:
+    """Deletes these folders, and no others."""
+    while made:
+        spark, path = made.pop()
+        files, where = file_system(spark, path)
+        files.delete(where, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -70,4 +70,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS m FROM documents),
 k AS (SELECT doc_id, m, first_value(doc_id) OVER (PARTITION BY m ORDER BY length(t) DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY m) AS group_size FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(m) AS text_sha256 FROM k""",
+    "op8_lsh_forest": r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')] ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingles FROM w),
+one AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+shared AS (SELECT shingle FROM one GROUP BY shingle HAVING count(*) > 1),
+often AS (SELECT doc_id, n, one.shingle FROM one JOIN shared ON one.shingle = shared.shingle),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM often x JOIN often y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_ AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(b, s.doc_id)) AS component_id, s.doc_id = least(s.doc_id, coalesce(b, s.doc_id)) AS kept FROM s LEFT JOIN least_ ON s.doc_id = a""",
 }

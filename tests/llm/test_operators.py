@@ -542,3 +542,137 @@ def test_stages_take_odd_tables_whole(spark, odd):
         stage(spark, docs, SF).write.parquet(path)
         docs, before = spark.read.parquet(path), docs
         assert docs.columns == before.columns or "ids_sha256" in docs.columns
+
+
+CLASHES = "__n,row,row_,times,rows,hashed,first,copy,sha,keep,points,best,class,kept,rep,copies,of_source,words,interval,digest,item,place".split(",")
+
+
+def test_stages_keep_rows_of_any_column_names(spark):
+    texts = [(None, "a text without an id that has words"), (None, "a text without an id that has words"), (None, "another one without an id"), (1, "copy of a text"), (2, "copy  of a\ntext "), (3, None), (4, ""), (5, "one id two texts"), (5, "two texts one id"), (6, "twice the same row"), (6, "twice the same row")]
+    docs = spark.createDataFrame([(d, t, "s", *[str(k) for k in range(len(CLASHES))]) for d, t in texts], "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in CLASHES))
+    rows = lambda df: Counter((r.doc_id, r.text, *r[3:]) for r in df.collect())
+    own = lambda *pairs: Counter((d, t, *[str(k) for k in range(len(CLASHES))]) for d, t in pairs)
+    # Of copies the longest stays; null and empty texts are one text, whose smallest id stays.
+    want = [(None, texts[0][1]), texts[2], texts[4], texts[5], texts[7], texts[8], texts[9]]
+    assert rows(exact.drop_exact_duplicates(docs)) == own(*want)
+    # Near copies stay by the smallest id; texts without words are alone.
+    want = [(None, texts[0][1]), texts[2], texts[3], texts[5], texts[6], texts[7], texts[8], texts[9]]
+    assert rows(neardup.drop_near_duplicates(docs)) == own(*want)
+    taken = Counter()
+    for r in mixing.mix(docs).collect():
+        if r.size:
+            taken[r.doc_id, r.size] += r.taken // r.size
+    got = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        assert tuple(r[3:]) == tuple(str(k) for k in range(len(CLASHES)))
+        got[r.doc_id, len(split(r.text))] += 1
+    assert got == +taken
+    assert rows(toxicity.drop_toxic(docs, spark.createDataFrame([], "doc_id long, toxic int"))) == own(*texts)
+
+
+def test_very_long_texts(spark):
+    from tokenizers import Tokenizer
+
+    gen = random.Random(8)
+    long = " ".join(f"w{gen.randrange(5000)}{'.,' [gen.randrange(2)]}" for _ in range(2_800_000))
+    assert len(long) > 17_000_000
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "short")], "doc_id long, text string")
+    tool = Tokenizer.from_file(BPE)
+    want = {d: len(tool.encode(t, add_special_tokens=False).ids) + 1 for d, t in ((1, long), (3, "short"))}
+    found = rows_of(tokens.read_tokens(tokens.write_tokens(docs, BPE)))
+    assert len(found) == 3 and all(found[d].n_tokens == n for d, n in want.items())
+    found = rows_of(media.read_media(*media.write_media(docs)))
+    assert all((found[d].n_bytes, found[d].payload_sha256) == (_media(t)[0], _media(t)[2]) for d, t in ((1, long), (3, "short")))
+    assert {r.doc_id for r in exact.drop_exact_duplicates(docs).collect()} == {1, 2, 3}
+    assert rows_of(neardup.near_duplicates(docs))[2].component_id == 1
+    assert rows_of(lm.score_documents(docs))[1].n_tokens == 2_800_001
+    assert all(r.agreed for r in pieces.encode_documents(docs, PIECES).collect())
+    assert sharding.shard_by_bytes(docs).count() == 3 and mixing.mix(docs.selectExpr("*", "'s' as source")).count() == 3
+
+
+def test_scratch_folders_go_with_their_stage(spark, odd):
+    other = exact.exact_duplicates(odd)
+    stage = corpus_pipeline.STAGES[1][1]
+    first = stage(spark, odd, SF)
+    n = first.count()
+    stage(spark, odd, SF)
+    assert other.count() == odd.count() and n > 0  # what another caller has made is there
+    with pytest.raises(Exception):
+        first.count()
+
+
+def test_op4_deals_as_differencing_does(spark):
+    gen = random.Random(2)
+    texts = [(k, "x" * gen.randrange(1, 400) + str(k)) for k in range(300)]
+    rows = sharding.shard_by_bytes(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    # Items: groups of a fair part of a shard, all others by their bin.
+    total, by = sum(r.size for r in rows), {}
+    df = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("doc_id", f"pmod(xxhash64(unhex(md5(cast(text as binary)))), {sharding.BINS}) as bin")
+    bins = {r.doc_id: r.bin for r in df.collect()}
+    for r in rows:
+        by.setdefault(("text", r.doc_id) if r.size >= total // (16 * sharding.HEAVY) else ("bin", bins[r.doc_id]), []).append(r)
+    parts = [sorted([0] * 15 + [sum(r.size for r in own)]) for own in by.values()]
+    while len(parts) > 1:  # the two of largest spread, put together in opposite order
+        parts.sort(key=lambda p: p[0] - p[-1])
+        a, b, *rest = parts
+        parts = [*rest, sorted(x + y for x, y in zip(a, reversed(b), strict=True))]
+    sums = Counter()
+    for r in rows:
+        sums[r.shard] += r.size
+    spread = max(sums.values()) - min(sums.values())
+    # Ties between spreads may be broken otherwise; the result is as even.
+    assert len(sums) == 16 and abs(spread - (parts[0][-1] - parts[0][0])) <= 400 and spread <= max(r.size for r in rows)
+    assert all(len({r.shard for r in own}) == 1 for own in by.values())
+
+
+def test_op6_draws_as_pareto_sampling_does(spark):
+    gen = random.Random(6)
+    docs = [(k, " ".join(["w"] * gen.randrange(0, 60)), gen.choice(["a", "a", "a", "b", "c", None])) for k in range(400)]
+    rows = rows_of(mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string")))
+    sizes = Counter()
+    for _, t, s in docs:
+        sizes[s] += len(t.split())
+    want = mixing.targets(list(sizes.items()))
+    for source, target in want.items():
+        own = [(d, len(t.split())) for d, t, s in docs if s == source]
+        whole = min(int(target // sizes[source]), 3)
+        gap = target - whole * sizes[source]
+        fits = [n for _, n in own if 0 < n <= gap]
+        level = gap / max(sum(fits) - sum(n * n for n in fits) / max(gap, 1.0), 1.0)
+
+        def rank(d, n, gap=gap, level=level):
+            u = (int(hashlib.md5(f"mix:{d}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+            p = min(max(level * (1 - n / max(gap, 1.0)), 1e-12), 1 - 1e-12)
+            return (u / (1 - u)) / (p / (1 - p)), d
+
+        copies, done = {d: whole * (n > 0) for d, n in own}, 0
+        first, order = dict(copies), sorted(own, key=lambda x: rank(*x))
+        while True:
+            left, taken = gap, 0
+            for d, n in order:
+                if 0 < n <= gap and copies[d] < 3 and (done > 1 or copies[d] == first[d]):
+                    taken += n
+                    if taken > gap:
+                        break
+                    copies[d] += 1
+                    left -= n
+            gap, done = left, done + 1
+            if done > 2 and not (gap > mixing.NEAR * target and any(0 < n <= gap and copies[d] < 3 for d, n in own)):
+                break
+        # Another source may call for more passes, which fill this one further.
+        differ = [d for d, n in own if rows[d].taken != copies[d] * n]
+        assert all(rows[d].taken > copies[d] * n for d, n in own if d in differ) and len(differ) <= 3
+        assert sum(rows[d].taken for d, _ in own) <= target + 1e-6
+
+
+def test_op7_query_on_held_out_rows(spark):
+    big = SF.replace("sf0.001", "sf0.1")
+    y = dict(duckdb.sql(f"select doc_id, max(toxic) from '{big}/labels.parquet' where toxic is not null group by 1").fetchall())
+    rows = queries.QUERIES["op7_toxicity"](spark, big).collect()
+    assert len(rows) == duckdb.sql(f"select count(*) from '{big}/documents.parquet'").fetchall()[0][0]
+    held = [r for r in rows if r.held_out and r.doc_id in y]
+    toxic, clean = [r.score for r in held if y[r.doc_id]], [r.score for r in held if not y[r.doc_id]]
+    area = sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) / (len(toxic) * len(clean))
+    caught = [y[r.doc_id] for r in held if r.predicted]
+    print("AUC", round(area, 3), "recall", round(sum(caught) / len(toxic), 3), "precision", round(sum(caught) / len(caught), 3), len(held), len(toxic))
+    assert area > 0.9 and sum(caught) / len(toxic) > 0.7 and sum(caught) / len(caught) > 0.75
