@@ -27,8 +27,8 @@ from siglane.llm.components import components
 TREES, DEPTH, LEAST_DEPTH, NEAR = 16, 8, 3, 4
 #: Pairs confirmed first: so many of each class, those with the longest prefixes over all trees.
 FIRST = 2
-#: Shingle sets that a task remembers between pairs, in bytes.
-KEPT_BYTES = 16 << 20
+#: Shingle sets that a task remembers between pairs, in bytes, and what each takes besides its hashes.
+KEPT_BYTES, SET_BYTES = 8 << 20, 300
 _A = mix(np.arange(TREES * DEPTH, dtype=np.uint64), 11) | np.uint64(1)
 _B = mix(np.arange(TREES * DEPTH, dtype=np.uint64), 12)
 
@@ -228,7 +228,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
                     part = list(new)[start:stop]
                     for n, (_, s) in zip(part, _classes(plain.slice(start, stop - start), k), strict=True):
                         kept[n] = s
-                        held += s.nbytes
+                        held += s.nbytes + SET_BYTES
             return [kept[n] for n in names]
 
         for batch in batches:
