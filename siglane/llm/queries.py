@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglane.llm import chat, exact, lm, media, mixing, neardup, pieces, sharding, tokens, toxicity
+from siglane.llm import chat, enrichment, exact, lm, media, mixing, neardup, pieces, sharding, tokens, toxicity
 from siglane.llm.common import table
 
 
@@ -54,10 +54,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simple8b_tokens, op2_media_chunks, op3_prefix_targets, op4_byte_shards, op5_exact_dedup, op6_pareto_mix, op7_toxicity, op8_lsh_forest, op9_lm_bloom, op10_sentencepiece)}
+def op12_valid_time_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrichment.enrich(table(spark, sf_dir, "sales"), table(spark, sf_dir, "client_changes"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simple8b_tokens, op2_media_chunks, op3_prefix_targets, op4_byte_shards, op5_exact_dedup, op6_pareto_mix, op7_toxicity, op8_lsh_forest, op9_lm_bloom, op10_sentencepiece, op12_valid_time_sales)}
 
 _ESCAPED = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
 
+#: crc32 of a text column: the table of 256 steps, then one step a byte.
+_CRC_TABLE = "(SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) FROM range(256) t(n))"
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda x: ord(x)::BIGINT)), lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1])), 4294967295)"
+
 ORACLES: dict[str, str] = {
     "op3_prefix_targets": rf"""
 WITH rows_ AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -70,6 +78,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS m FROM documents),
 k AS (SELECT doc_id, m, first_value(doc_id) OVER (PARTITION BY m ORDER BY length(t) DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY m) AS group_size FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(m) AS text_sha256 FROM k""",
+    "op12_valid_time_sales": rf"""
+WITH crc AS (SELECT {_CRC_TABLE} AS steps),
+s AS (SELECT sale_id, client_id, sold_at, least(9, CAST(floor((date_diff('day', DATE '1970-01-01', CAST(arrived_at AS DATE)) - 19723) * 10 / 152) AS BIGINT)) AS a FROM sales),
+v AS (SELECT change_id, client_id, op, valid_at, CAST(floor(100 * balance + 0.5) AS BIGINT) AS cents, least(9, CAST(floor((date_diff('day', DATE '1970-01-01', CAST(valid_at AS DATE)) + {_CRC.format("change_id::VARCHAR")} % 4 - 19723) * 10 / 152) AS BIGINT)) AS a
+ FROM (SELECT DISTINCT * FROM client_changes WHERE valid_at IS NOT NULL), crc),
+marks AS (SELECT b, (SELECT max(sold_at) FROM s WHERE a < b) - INTERVAL 24 HOUR AS ws, (SELECT max(valid_at) FROM v WHERE a < b) - INTERVAL 24 HOUR AS wc FROM range(10) t(b)),
+h AS (SELECT b, wc, CASE WHEN ws IS NULL OR wc IS NULL THEN TIMESTAMP '-infinity' ELSE least(ws, wc) END AS h FROM marks),
+late AS (SELECT v.* FROM v JOIN h ON h.b = v.a WHERE v.valid_at < h.wc),
+ok AS (SELECT v.* FROM v JOIN h ON h.b = v.a WHERE h.wc IS NULL OR v.valid_at >= h.wc),
+out_ AS (SELECT s.*, coalesce((SELECT min(h.b) FROM h WHERE h.b >= s.a AND (s.sold_at IS NULL OR s.sold_at < h.h)), 10) AS e FROM s),
+prev AS (SELECT b, (SELECT max(h.h) FROM h WHERE h.b = t.b - 1) AS h FROM range(11) t(b)),
+last_ AS (SELECT b, client_id, max({{'at': valid_at, 'id': change_id}}) AS p FROM ok JOIN prev ON ok.a < prev.b AND ok.valid_at <= prev.h GROUP BY ALL),
+held AS (SELECT prev.b, ok.client_id, ok.change_id, ok.valid_at, ok.cents, ok.op FROM ok JOIN prev ON ok.a <= prev.b LEFT JOIN last_ ON last_.b = prev.b AND last_.client_id = ok.client_id
+ WHERE ok.a = prev.b OR prev.h IS NULL OR ok.valid_at > prev.h OR (ok.valid_at = p['at'] AND ok.change_id = p['id'])),
+n AS (SELECT b, client_id, count(*) AS n FROM held GROUP BY ALL),
+took AS (SELECT o.sale_id, o.e, max({{'at': valid_at, 'id': change_id, 'cents': cents, 'op': op}}) AS x FROM out_ o JOIN held ON held.b = o.e AND held.client_id = o.client_id AND held.valid_at <= o.sold_at GROUP BY ALL)
+SELECT 'sale' AS rec, o.sale_id AS id, o.e AS batch, coalesce(n.n, 0) AS n_held, x['id'] AS change_id, x['cents'] AS balance_cents, x['op'] AS op FROM out_ o LEFT JOIN n ON n.b = o.e AND n.client_id = o.client_id LEFT JOIN took ON took.sale_id = o.sale_id
+UNION ALL SELECT 'late', change_id, a, NULL, NULL, NULL, NULL FROM late""",
     "op8_lsh_forest": r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')] ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingles FROM w),
