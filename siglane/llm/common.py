@@ -149,14 +149,15 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES):
         start = stop
 
 
-def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def words(texts: pa.Array, fold: bytes = _FOLD) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct lower-cased (A-Z) words as binary, the words as indices into them, and each text's first index.
 
-    The last has one entry more than there are texts. Works on whole texts, in C++ and numpy only.
+    The last has one entry more than there are texts. ``fold`` says what each byte counts as; blanks part words. Works
+    on whole texts, in C++ and numpy only.
     """
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     whole = texts.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if len(texts) and texts.buffers()[2] is not None else b""
-    folded = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(offsets - (offsets[0] if len(offsets) else 0))), pa.py_buffer(whole.translate(_FOLD))])
+    folded = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(offsets - (offsets[0] if len(offsets) else 0))), pa.py_buffer(whole.translate(fold))])
     parts = pc.split_pattern(folded, b" ")
     coded = parts.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)

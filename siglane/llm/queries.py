@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglane.llm import chat, enrichment, exact, lm, media, mixing, neardup, pieces, sharding, tokens, toxicity
+from siglane.llm import centroids, chat, decontamination, enrichment, exact, lm, media, mixing, neardup, pieces, sharding, tokens, toxicity
 from siglane.llm.common import table
 
 
@@ -54,11 +54,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_valid_time_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.enrich(table(spark, sf_dir, "sales"), table(spark, sf_dir, "client_changes"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simple8b_tokens, op2_media_chunks, op3_prefix_targets, op4_byte_shards, op5_exact_dedup, op6_pareto_mix, op7_toxicity, op8_lsh_forest, op9_lm_bloom, op10_sentencepiece, op12_valid_time_sales)}
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simple8b_tokens, op2_media_chunks, op3_prefix_targets, op4_byte_shards, op5_exact_dedup, op6_pareto_mix, op7_toxicity, op8_lsh_forest, op9_lm_bloom, op10_sentencepiece, op11_aho_corasick, op12_valid_time_sales, op13_centroids)}
 
 _ESCAPED = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
 
@@ -66,6 +74,24 @@ _ESCAPED = r"replace(replace({0}, '\', '\\'), '<|', '<\|')"
 _CRC_TABLE = "(SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) FROM range(256) t(n))"
 _CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda x: ord(x)::BIGINT)), lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1])), 4294967295)"
 
+
+
+def _centroids_sql(clusters: int, rounds: int) -> str:
+    """A pair of steps a round: every vector's nearest centroid, then every cluster's means, rounded down."""
+    square = "list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS (SELECT r, best.k AS k, best.d AS d FROM (SELECT r, min({{'d': CAST({square} AS BIGINT), 'k': c.k}}) AS best FROM x, c{i} c GROUP BY r))")
+        if i < rounds:
+            steps.append(f"m{i} AS (SELECT k, list((s - ((s % n + n) % n)) // n ORDER BY p) AS v FROM (SELECT k, p, CAST(sum(v[p]) AS BIGINT) AS s, count(*) AS n FROM a{i} JOIN x ON a{i}.r = x.r, range(1, 65) t(p) GROUP BY k, p) GROUP BY k)")
+            steps.append(f"c{i + 1} AS (SELECT c.k, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m ON c.k = m.k)")
+    return f"""WITH x AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, list_transform(embedding, lambda y: CAST(floor(256 * y::DOUBLE) AS BIGINT)) AS v FROM embeddings
+ WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NOT NULL AND isfinite(y))) = 64),
+c0 AS (SELECT k, v FROM (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, v FROM x) WHERE k < {clusters}),
+{", ".join(steps)}
+SELECT x.vec_id, CAST(a.k AS INTEGER) AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM a{rounds} a JOIN x ON a.r = x.r JOIN c{rounds} c ON a.k = c.k"""
+
+
 ORACLES: dict[str, str] = {
     "op3_prefix_targets": rf"""
 WITH rows_ AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -78,6 +104,16 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS m FROM documents),
 k AS (SELECT doc_id, m, first_value(doc_id) OVER (PARTITION BY m ORDER BY length(t) DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY m) AS group_size FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(m) AS text_sha256 FROM k""",
+    "op11_aho_corasick": r"""
+WITH d AS MATERIALIZED (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+windows AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS win FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+pos AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
+found AS MATERIALIZED (SELECT doc_id, pos.n, k, item_id FROM pos JOIN windows ON pos.win = windows.win AND pos.n = windows.n),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id),
+met AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(met.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, hits.n IS NOT NULL AS contaminated FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN met ON d.doc_id = met.doc_id""",
     "op12_valid_time_sales": rf"""
 WITH crc AS (SELECT {_CRC_TABLE} AS steps),
 s AS (SELECT sale_id, client_id, sold_at, least(9, CAST(floor((date_diff('day', DATE '1970-01-01', CAST(arrived_at AS DATE)) - 19723) * 10 / 152) AS BIGINT)) AS a FROM sales),
@@ -96,6 +132,7 @@ n AS (SELECT b, client_id, count(*) AS n FROM held GROUP BY ALL),
 took AS (SELECT o.sale_id, o.e, max({{'at': valid_at, 'id': change_id, 'cents': cents, 'op': op}}) AS x FROM out_ o JOIN held ON held.b = o.e AND held.client_id = o.client_id AND held.valid_at <= o.sold_at GROUP BY ALL)
 SELECT 'sale' AS rec, o.sale_id AS id, o.e AS batch, coalesce(n.n, 0) AS n_held, x['id'] AS change_id, x['cents'] AS balance_cents, x['op'] AS op FROM out_ o LEFT JOIN n ON n.b = o.e AND n.client_id = o.client_id LEFT JOIN took ON took.sale_id = o.sale_id
 UNION ALL SELECT 'late', change_id, a, NULL, NULL, NULL, NULL FROM late""",
+    "op13_centroids": _centroids_sql(40, 5),
     "op8_lsh_forest": r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')] ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingles FROM w),
