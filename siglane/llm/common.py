@@ -74,6 +74,29 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def by_place(work):
+    """``work(docs, ...)``, whose result has the columns of ``docs``, on columns renamed by their place, so that no name
+    does harm: one with a dot or a backquote, one that is there twice. doc_id, text and source keep theirs."""
+
+    @functools.wraps(work)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        names, kept = docs.columns, {"doc_id", "text", "source"}
+        plain = [n if n in kept and n not in names[:k] else f"column_{k}" for k, n in enumerate(names)]
+        return work(docs.toDF(*plain), *args, **options).toDF(*names)
+
+    return run
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of a row, to choose among rows in the same way in every run; it is nobody's key.
+
+    Spark's hash leaves out nulls and takes no maps, so where nulls stand is hashed too, and nested columns as JSON.
+    """
+    own = [(F.col(f"`{c}`"), t.startswith(("array", "map", "struct"))) for c, t in docs.dtypes]
+    exact = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    return F.xxhash64(*(F.to_json(F.struct(c), exact) if nested else c for c, nested in own), *(c.isNull() for c, _ in own))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglane.llm.common import SPACES, fresh, lookup, partitions, prepare, store, trimmed
+from siglane.llm.common import SPACES, by_place, fresh, lookup, partitions, prepare, row_hash, store, trimmed
 
 #: Bits of the digest that one round settles: a task merges the runs of 2 ** ROUND_BITS others.
 ROUND_BITS = 3
@@ -149,6 +149,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@by_place
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, in their own columns: one for each text, whatever its white space.
 
@@ -165,6 +166,6 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     kept = own.join(found.withColumnRenamed(sha, best), (F.col(sha) == F.col(best)) & F.col("doc_id").cast("long").eqNullSafe(F.col(keep))).drop(best)
     # A text that occurs once needs no choice.
     alone = kept.filter(F.col(points) == 1).select(*docs.columns)
-    order = F.struct(F.length(F.coalesce("text", F.lit(""))), F.xxhash64(*(c for c, t in docs.dtypes if "map<" not in t)))
+    order = F.struct(F.length(F.coalesce("text", F.lit(""))), row_hash(docs))
     chosen = kept.filter(F.col(points) > 1).groupBy(sha).agg(F.max_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), order).alias(best))
     return alone.unionByName(chosen.select(f"{best}.*"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siglane.llm.common import WORD_PATTERN, fresh, prepare, store
+from siglane.llm.common import WORD_PATTERN, by_place, fresh, prepare, row_hash, store
 
 #: Weights of the sources in their order, repeating; a source's words may be taken so many times at most.
 WEIGHTS = (5, 2, 1)
@@ -40,10 +40,14 @@ def uniform(doc_id: Column, seed: str) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
-def _mixed(docs: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> DataFrame:
-    """mix() with two columns more: copies taken, and a hash of all columns of the row."""
+def _mixed(docs: DataFrame, weights: tuple[int, ...], most: int, seed: str, number: str | None = None) -> DataFrame:
+    """mix() with two columns more: copies taken, and ``row``, the row's value of the column ``number``.
+
+    Rows that tie in everything else come by a hash of their columns.
+    """
     spark = prepare(docs.sparkSession)
-    rows = store(docs.select("doc_id", "source", words("text").alias("size"), row_hash(docs).alias("row")), "words")
+    own = docs.drop(number) if number else docs
+    rows = store(docs.select("doc_id", "source", words("text").alias("size"), row_hash(own).alias("hash"), (F.col(number) if number else F.lit(0).cast("long")).alias("row")), "words")
     by_source = store(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     # One row for each source, as many as the mix has weights for: a list of names, not data.
     named = [(r["source"], r["source_size"]) for r in by_source.collect()]
@@ -88,12 +92,6 @@ def words(text: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def row_hash(docs: DataFrame) -> Column:
-    """A hash of all columns of a row, but maps. Spark's leaves nulls out, so where they stand is hashed too."""
-    own = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]
-    return F.xxhash64(*own, *(c.isNull() for c in own))
-
-
 def _with_source(left: DataFrame, right: DataFrame, few: bool, how: str = "inner") -> DataFrame:
     """left joined with one row for each source, which is broadcast where sources are few."""
     (name,) = fresh(left, "of_source")
@@ -115,7 +113,7 @@ def _fill(rows: DataFrame, sums: DataFrame, open_: Column, few: bool, name: str)
     joined = _with_source(rows, limits, few, "left")
     below = open_ & (F.col("limit").isNull() | (F.col("interval") < F.col("limit")))
     at = open_ & (F.col("interval") == F.col("limit"))
-    sorted_ = Window.partitionBy("source", "interval").orderBy("rank", "doc_id", "size", "row")
+    sorted_ = Window.partitionBy("source", "interval").orderBy("rank", "doc_id", "size", "hash", "row")
     inside = joined.filter(at).withColumn("sum", F.sum("size").over(sorted_.rowsBetween(Window.unboundedPreceding, 0)))
     inside = inside.withColumn("extra", F.when(F.col("before") + F.col("sum") <= F.col("gap"), F.col("extra") + 1).otherwise(F.col("extra"))).drop("sum")
     outside = joined.filter(~F.coalesce(at, F.lit(False))).withColumn("extra", F.when(below, F.col("extra") + 1).otherwise(F.col("extra")))
@@ -144,18 +142,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TI
     return _mixed(docs, weights, most, seed).drop("times", "row")
 
 
+@by_place
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_TIMES, seed: str = "mix:") -> DataFrame:
     """The rows of ``docs`` as often as mix() takes them, in their own columns; rows that it leaves out are gone.
 
-    Rows with the same columns throughout are interchangeable: they are taken together, as often as mix() takes all of
-    them. Null ids, sources and texts are values like others (a null text is never taken). An empty table gives an
-    empty one; columns of any name pass through.
+    Every row is taken for itself: rows are numbered once, in a stored table, so none is replaced by another, however
+    alike they are. Null ids, sources and texts are values like others (a null text is never taken). An empty table
+    gives an empty one; columns of any name and type pass through.
     """
-    row, times, rows, hashed, first, copy = fresh(docs, "row", "times", "rows", "hashed", "first", "copy")
-    chosen = _mixed(docs, weights, most, seed).groupBy(F.col("row").alias(row)).agg(F.sum("times").alias(times), F.count("*").alias(rows))
-    own = docs.withColumn(hashed, row_hash(docs)).join(chosen.filter(F.col(times) > 0), F.col(hashed) == F.col(row))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    one = own.filter(F.col(rows) == 1).select(*columns, times)
-    # Equal rows are one row with all their copies, summed up before they are dealt.
-    same = own.filter(F.col(rows) > 1).groupBy(row).agg(F.first(F.struct(*columns)).alias(first), F.first(times).alias(times)).select(f"{first}.*", times)
-    return one.unionByName(same).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*columns)
+    number, row, times, copy = fresh(docs, "number", "row", "times", "copy")
+    numbered = store(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    chosen = _mixed(numbered, weights, most, seed, number).select(F.col("row").alias(row), F.col("times").alias(times)).filter(F.col(times) > 0)
+    own = numbered.join(chosen, F.col(number) == F.col(row))
+    return own.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)

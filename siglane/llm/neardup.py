@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from siglane.llm import bloom
-from siglane.llm.common import fresh, hashes, lookup, mix, partitions, prepare, slices, store, trimmed, utf8, words
+from siglane.llm.common import by_place, fresh, hashes, lookup, mix, partitions, prepare, row_hash, slices, store, trimmed, utf8, words
 from siglane.llm.components import components
 
 TREES, DEPTH, LEAST_DEPTH, NEAR = 16, 8, 3, 4
@@ -160,7 +160,7 @@ def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     trees = trees.select("tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("key"), "class")
     trees = trees.repartitionByRange(partitions(spark), "tree", "key", "class").sortWithinPartitions("tree", "key", "class")
     walked = store(trees.mapInArrow(_walk(True), _PAIRS), "neighbours")
-    ends = walked.filter("tree is not null").select("tree", "key", "class").coalesce(1).sortWithinPartitions("tree", "key", "class").mapInArrow(_walk(False), _PAIRS)
+    ends = walked.filter("tree is not null").select("tree", "key", "class").repartition(1).sortWithinPartitions("tree", "key", "class").mapInArrow(_walk(False), _PAIRS)
     pairs = walked.filter("a is not null").select("a", "b", "shared").unionByName(ends.select("a", "b", "shared"))
     pairs = store(pairs, "walked")
     votes = pairs.filter("b is not null").groupBy("a", "b").agg(F.sum("shared").alias("votes"))
@@ -334,6 +334,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+@by_place
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component of ``docs``, in its own columns: the smallest doc_id's, null after all others.
 
@@ -360,7 +361,7 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     own = docs.mapInArrow(named, StructType([*docs.schema.fields, StructField(name, BinaryType())]))
     full = own.join(kept, (F.col(name) == F.col(kept_name)) & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_rep)))
     # Repeated rows of one text and id: one stays, summed up before they are dealt.
-    order = F.xxhash64(*(F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t))
+    order = row_hash(docs)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     one = full.filter(F.col(copies) > 1).groupBy(name).agg(F.max_by(F.struct(*columns), order).alias(best)).select(f"{best}.*")
     return full.filter(F.col(copies) == 1).select(*columns).unionByName(one).unionByName(own.filter(F.col(name).isNull()).select(*columns))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siglane.llm.common import fold_of, mix, prepare, slices, trimmed, utf8, words
+from siglane.llm.common import by_place, fold_of, mix, prepare, slices, trimmed, utf8, words
 
 BUCKETS, WIDTH = 1 << 17, 8
 GRAMS = (3, 4, 5)
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Model of the labelled rows of ``docs`` whose fold isn't 0, of MOST_LABELLED rows of each class at most.
 
     Labels of unknown documents, null labels and labels other than 0 and 1 are left out; of several labels of one
-    document the larger counts.
+    document the larger counts, of several rows of one id the least text.
     """
     known = labels.filter(F.col("toxic").isin(0, 1)).filter(fold_of(F.col("doc_id"), FOLDS) != 0).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -187,7 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         own = known.filter(F.col("toxic") == c).orderBy(place, "doc_id").limit(MOST_LABELLED)
         chosen = own if chosen is None else chosen.unionByName(own)
     # MOST_LABELLED ids of each class: a proven bound for the broadcast.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").toArrow()
+    # Of several rows of one id the least text: so many ids, so many rows at most.
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id").toArrow()
     toxic = sample.column("toxic").to_pylist()
     shares = tuple(counts.get(c, 0) / max(1, toxic.count(c)) for c in (0, 1))
     return train(utf8(sample.column("text")), toxic, shares)
@@ -231,6 +232,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("doc_id", (fold_of(F.col("doc_id"), FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@by_place
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score below 0.5, in their own columns, whatever their names.
 

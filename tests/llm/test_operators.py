@@ -56,7 +56,7 @@ def rows_of(df, key="doc_id"):
 
 def oracle(name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels"):
+    for t in ("documents", "conversations", "labels", "benchmark", "embeddings", "sales", "client_changes"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     return con.sql(queries.ORACLES[name]).df()
 
