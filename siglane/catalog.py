@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from siglane.functions.stats import chi_squared_tail, normal_cdf
 from siglane.functions.text import coded, joined, month_of, normalize_drug_name, normalize_ndc, therapy_summary
 from siglane.operators import analytics, contingency, dedup, ndc, signals
 from siglane.schema import OUTCOME_LABELS, OUTCOME_WEIGHTS, REPORTER_LABELS, REPORTER_WEIGHTS, SERIOUSNESS_WEIGHTS, SignalConfig
+from siglane.session import prepare, shared_dir
 from siglane.sources import openfda, store
 
 QUERIES: dict = {}
@@ -51,6 +54,20 @@ def _frequentist(spark, d):
     return signals.frequentist(contingency.contingency(_kept(spark, d)))
 
 
+#: Where a session has written the frequentist table of a folder of tables.
+_written: dict[tuple[str, str], str] = {}
+
+
+def _signal_table(spark, d):
+    """The frequentist table, written once a session for each folder and read by all that need a pair's PRR."""
+    key = (prepare(spark).sparkContext.applicationId, d)
+    if key not in _written:
+        path = f"{shared_dir(spark)}/siglane/frequentist-{uuid.uuid4().hex}"
+        _frequentist(spark, d).select("drug", "event", "prr").write.parquet(path)
+        _written[key] = path
+    return spark.read.parquet(_written[key])
+
+
 @query("SELECT * FROM sus")
 def ingest_rows(spark, d):
     return views.rows(spark, d).select("case_id", "drug", "role", "event")
@@ -155,6 +172,21 @@ def ebgm(spark, d):
     return rounded(_signals(spark, d).select("drug", "event", "n", "ebgm", "eb05", "ebgm_signal"))
 
 
+@query("SELECT round(avg(n), 6) + 0.0 AS n, round(avg(greatest(x, 1e-12)), 6) + 0.0 AS e, count(*) AS pairs FROM (SELECT n, CASE WHEN n <= 64 THEN n ELSE 64 + floor(ln(n) * 16) END AS bin, (fa + fb) * (fa + fc) / t AS x FROM (SELECT *, a AS n FROM fixed)) GROUP BY bin, floor(ln(greatest(x, 1e-12)) * 16)")
+def squashed_cells(spark, d):
+    return rounded(signals.squashed(contingency.contingency(_kept(spark, d))).select("n", "e", "pairs"))
+
+
+@query()
+def ebgm_fitted(spark, d):
+    """EBGM and EB05 under the prior that fits the pairs best, of which those of fewer than three cases are left out."""
+    counts = _kept(spark, d)
+    config = SignalConfig()
+    prior = signals.fitted_prior(contingency.contingency(counts), config, least=3)
+    out = signals.from_counts(counts, replace(config, prior=prior)).select("drug", "event", "n", "ebgm", "eb05", "ebgm_signal")
+    return rounded(out.withColumns({k: F.lit(v) for k, v in zip(("alpha1", "beta1", "alpha2", "beta2", "share"), prior, strict=True)}))
+
+
 @query(f"{_EB} SELECT drug, event, n, {_r('prr', 'prr_lower_ci', 'prr_upper_ci', 'ror', 'ror_lower_ci', 'ic', 'ic025', 'ebgm', 'eb05')}, prr_signal, ror_signal, ic_signal, ebgm_signal FROM found")
 def full_signals(spark, d):
     return rounded(_signals(spark, d))
@@ -220,7 +252,7 @@ _W = "CASE code " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in OUTCOME_
 @query(f"""SELECT drug, event, total, known, n_1, n_2, n_3, n_4, n_5, n_6, round(osi, 6) + 0.0 AS osi, round(n_5 / known, 6) + 0.0 AS fatality_rate, round(p, 6) + 0.0 AS standard_prr, round(1 + osi / 5, 6) + 0.0 AS severity_factor, round(p * (1 + osi / 5), 6) + 0.0 AS adjusted_prr, p * (1 + osi / 5) >= 2 AS is_signal
 FROM (SELECT g.*, w / known AS osi, coalesce(f.prr, 1.0) AS p FROM (SELECT drug, event, count(*) AS total, count({_W}) AS known, sum({_W}) AS w, {", ".join(f"count(*) FILTER (code = '{k}') AS n_{k}" for k in OUTCOME_WEIGHTS)} FROM cases GROUP BY drug, event) g LEFT JOIN freq f ON g.drug = f.drug AND g.event = f.event WHERE total >= 3 AND known > 0)""")
 def a82_outcome(spark, d):
-    return rounded(analytics.outcome_conditioned(views.cases(spark, d), _frequentist(spark, d)))
+    return rounded(analytics.outcome_conditioned(views.cases(spark, d), _signal_table(spark, d)))
 
 
 @query("SELECT drug, event, month, count(*) AS n FROM cases GROUP BY drug, event, month")
@@ -233,7 +265,7 @@ FROM (SELECT drug, event, CAST(sum(n) AS BIGINT) AS total, count(*) AS active_mo
  FROM (SELECT *, v - lag(v) OVER (PARTITION BY drug, event ORDER BY month) AS a FROM (SELECT *, n - lag(n) OVER (PARTITION BY drug, event ORDER BY month) AS v FROM (SELECT drug, event, month, count(*) AS n FROM cases GROUP BY drug, event, month))) GROUP BY drug, event) g
 LEFT JOIN freq f ON g.drug = f.drug AND g.event = f.event WHERE active_months >= 3 AND total >= 3""")
 def a77_velocity(spark, d):
-    return rounded(analytics.signal_velocity(views.cases(spark, d), _frequentist(spark, d)))
+    return rounded(analytics.signal_velocity(views.cases(spark, d), _signal_table(spark, d)))
 
 
 _BITS = {"other": 1, "hospitalization": 2, "disabling": 4, "life_threatening": 8, "congenital": 16, "death": 32}
@@ -325,6 +357,17 @@ def similarity_pairs(spark, d):
     return rounded(dedup.neighbours(views.reports(spark, d), "ord"))
 
 
+@query("""SELECT 'report' AS kind, r.ord AS a, c.rep AS b, coalesce(n.rep, -1) AS number, 0.0::DOUBLE AS distance FROM reports r JOIN reps c ON r.age = c.age AND r.sex = c.sex AND r.country = c.country AND r.month = c.month AND r.drug = c.drug LEFT JOIN numbers n ON r.mfr = n.mfr
+UNION ALL SELECT 'link', rep, rep, -1, 0 FROM reps
+UNION ALL SELECT 'link', x.rep, y.rep, -1, 0.1 FROM reps x JOIN reps y ON x.rep < y.rep AND x.month = y.month AND x.drug = y.drug AND (x.age = y.age)::INT + (x.sex = y.sex)::INT + (x.country = y.country)::INT = 2""".replace("SELECT 'report'", ", reps AS (SELECT age, sex, country, month, drug, min(ord) AS rep FROM reports GROUP BY ALL), numbers AS (SELECT mfr, min(ord) AS rep FROM reports WHERE mfr IS NOT NULL GROUP BY mfr) SELECT 'report'", 1))
+def similarity_classes(spark, d):
+    """The neighbours in rows that grow with the reports: each report's class and number (none: -1), and the links of classes."""
+    links, members = dedup.neighbour_classes(views.reports(spark, d), "ord")
+    none = F.lit(-1).cast("long")
+    rows = members.select(F.lit("report").alias("kind"), F.col("report").alias("a"), F.col("class").alias("b"), F.coalesce("number", none).alias("number"), F.lit(0.0).alias("distance"))
+    return rounded(rows.unionByName(links.select(F.lit("link").alias("kind"), "a", "b", none.alias("number"), "distance")))
+
+
 _NDC = """SELECT printf('%06d-%03d', p_partkey, p_size) AS ndc, lower(p_name) AS brand, lower(p_type) AS generic, lower(p_brand) AS ingredient FROM part"""
 
 

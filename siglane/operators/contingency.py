@@ -36,17 +36,31 @@ def filter_minimum(counts: DataFrame, least: int = 3) -> DataFrame:
     return counts.filter(F.col("n") >= max(least, 0))
 
 
+def totals(counts: DataFrame) -> DataFrame:
+    """kind, name, total: sums of n by drug (kind 1), by event (2) and of all (3, of name ''), from one shuffle.
+
+    These are the grouping sets (drug), (event) and (), said so that the shuffle is made once however often a kind is
+    read: Spark renames the columns of GROUPING SETS for each reader, and then doesn't know its shuffle again. Each
+    task sums up before it sends, so a name with a large share of all pairs comes as one row of each task.
+    """
+    name = lambda kind, column: F.struct(F.lit(kind).alias("kind"), column.alias("name"))
+    sets = counts.select("n", F.explode(F.array(name(1, F.col("drug")), name(2, F.col("event")), name(3, F.lit("")))).alias("of"))
+    # The kind as a sum: a filter by it stays behind the shuffle.
+    return sets.groupBy("of").agg(F.max("of.kind").alias("kind"), F.sum("n").alias("total")).select("kind", F.coalesce("of.name", F.lit("")).alias("name"), "total")
+
+
 def marginals(counts: DataFrame) -> DataFrame:
     """counts with drug_total, event_total and total.
 
-    Drug and event totals come from grouped sums joined back, so that a drug or event with a large share of all pairs
-    is summed before it is dealt, and AQE can split it when it is joined. The grand total is one row.
+    Totals are joined to the pairs, so that AQE can broadcast few of them, and split a name with a large share.
     """
     n = F.coalesce(F.col("n"), F.lit(0)).cast("long")
     counts = counts.withColumns({"n": n, "drug": F.coalesce("drug", F.lit("")), "event": F.coalesce("event", F.lit(""))})
-    by_drug = counts.groupBy("drug").agg(F.sum("n").alias("drug_total"))
-    by_event = counts.groupBy("event").agg(F.sum("n").alias("event_total"))
-    whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    sums = totals(counts)
+    by_drug = sums.filter("kind = 1").select(F.col("name").alias("drug"), F.col("total").alias("drug_total"))
+    by_event = sums.filter("kind = 2").select(F.col("name").alias("event"), F.col("total").alias("event_total"))
+    # One row.
+    whole = sums.filter("kind = 3").select("total")
     return counts.join(by_drug, "drug").join(by_event, "event").crossJoin(F.broadcast(whole))
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siglane.functions.text import month_of
 from siglane.schema import DedupConfig
+from siglane.session import fresh
 
 #: Fields of a fingerprint and what each weighs in a similarity.
 WEIGHTS = {"age_bucket": 1, "sex": 1, "country": 1, "event_month": 2, "fp_drug": 3, "fp_reaction": 2}
@@ -48,10 +49,12 @@ def completeness() -> Column:
 
 
 def deduplicate(reports: DataFrame, order: str, config: DedupConfig = DedupConfig()) -> DataFrame:
-    """reports with cluster, cluster_size, is_primary. ``order`` is a column with the rows' order.
+    """reports with cluster, cluster_size, is_primary. ``order`` is a column with the rows' order, which tells them apart.
 
     Reports with a manufacturer number cluster by it, all others by their whole fingerprint; a report whose fields are
-    all null is alone. The latest version, then the most complete report, then the first in order is primary.
+    all null is alone. The latest version, then the most complete report, then the first in order is primary; of rows
+    that have one place in the order, all are. A cluster's primary and size are summed up by each task before they meet
+    and joined back to its reports, so that one number on half of all reports makes no long task.
     """
     rows = fingerprint(reports, config)
     by_number = F.coalesce(F.col("fp_mfr") != "", F.lit(False))
@@ -59,11 +62,13 @@ def deduplicate(reports: DataFrame, order: str, config: DedupConfig = DedupConfi
     blank = F.coalesce(*(F.col(c).cast("string") for c in WEIGHTS)).isNull()
     parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in names]
     key = F.when(by_number, F.concat(F.lit("m|"), F.col("fp_mfr"))).when(blank, F.concat(F.lit("o|"), F.col(order).cast("string"))).otherwise(F.concat(F.lit("f|"), F.concat_ws("|", *parts)))
-    best = [F.desc("case_version")] * config.prefer_latest + [F.desc(completeness())] * config.prefer_complete
-    rows = rows.withColumn("cluster", key)
-    first = F.row_number().over(Window.partitionBy("cluster").orderBy(*best, order))
-    sizes = rows.groupBy("cluster").agg(F.count("*").alias("cluster_size"))
-    return rows.withColumn("is_primary", first == 1).join(sizes, "cluster").drop(*names)
+    version = [F.col("case_version").isNull(), -F.col("case_version")] * config.prefer_latest
+    best = F.struct(*version, *[-completeness()] * config.prefer_complete, F.col(order).isNull(), F.col(order))
+    best_name, first, of = fresh(rows, "best", "first", "of")
+    rows = rows.withColumn("cluster", key).withColumn(best_name, best)
+    found = rows.groupBy(F.col("cluster").alias(of)).agg(F.count("*").alias("cluster_size"), F.min(best_name).alias(first))
+    out = rows.join(found, F.col("cluster") == F.col(of))
+    return out.withColumn("is_primary", F.col(best_name) == F.col(first)).drop(*names, best_name, first, of)
 
 
 def dedup_summary(clustered: DataFrame) -> DataFrame:
@@ -78,26 +83,55 @@ def _may_differ(radius: float) -> list[set[str]]:
     return [c for c in fits if not any(c < other for other in fits)]
 
 
-def neighbours(reports: DataFrame, key: str, radius: float = RADIUS, block: str | None = None, config: DedupConfig = DedupConfig()) -> DataFrame:
-    """a, b, distance: all pairs of reports whose distance, 1 - similarity, is ``radius`` at most; with ``block``, a
-    fingerprint column, only those that are equal in it.
+def neighbour_classes(reports: DataFrame, key: str, radius: float = RADIUS, config: DedupConfig = DedupConfig()) -> tuple[DataFrame, DataFrame]:
+    """(a, b, distance: pairs of classes within ``radius``; report, class, number of each report).
 
-    Pairs meet by equal manufacturer numbers, and by all fields but those that may differ within the radius, null
-    equal to null. A pair counts where it meets first.
+    A class is all reports that agree in every field of the fingerprint but the manufacturer number, named by its
+    smallest key; number is the smallest key of those with the report's manufacturer number, or null. Reports with one
+    number are at distance 0; all others are as far apart as their classes, of which each is paired with itself too. So
+    neither many reports of one number nor many equal ones make many rows; expand() gives the pairs of reports.
+
+    Classes meet by all fields but those that may differ within the radius, null equal to null, and count where they
+    meet first; a class has no more partners than those fields have values.
     """
-    fp = fingerprint(reports, config).select(key, *WEIGHTS, "fp_mfr")
-    x = fp.select([F.col(c).alias("x_" + c) for c in fp.columns])
-    y = fp.select([F.col(c).alias("y_" + c) for c in fp.columns])
-    equal = lambda names: reduce(lambda p, c: p & F.col("x_" + c).eqNullSafe(F.col("y_" + c)), names, F.lit(True))
-    wanted = equal([block] if block else []) & (F.col("x_" + key) < F.col("y_" + key))
-    ways = [(F.col("x_fp_mfr") == F.col("y_fp_mfr")) & (F.col("x_fp_mfr") != "")]
-    ways += [equal([c for c in WEIGHTS if c not in differ]) for differ in _may_differ(radius)] if radius >= 0 else []
-    pairs, met = [], F.lit(False)
-    for k, way in enumerate(ways):
-        left = x
-        if k and radius < 1:  # two reports without any field have similarity 0
-            left = x.filter(F.coalesce(*(F.col("x_" + c).cast("string") for c in WEIGHTS)).isNotNull())
-        pairs.append(left.join(y, way & wanted).filter(~met))
-        met = met | F.coalesce(way, F.lit(False))
-    pairs = reduce(DataFrame.unionByName, pairs)
-    return pairs.withColumn("distance", 1.0 - similarity("x_", "y_")).filter(F.col("distance") <= radius).select(F.col("x_" + key).alias("a"), F.col("y_" + key).alias("b"), "distance")
+    fp = fingerprint(reports, config).select(F.col(key).alias("report"), F.struct(*WEIGHTS).alias("fields"), F.when(F.col("fp_mfr") != "", F.col("fp_mfr")).alias("number"))
+    classes = fp.groupBy("fields").agg(F.min("report").alias("class"))
+    numbers = fp.filter("number is not null").groupBy("number").agg(F.min("report").alias("of_number"))
+    members = fp.join(classes, "fields").join(numbers, "number", "left").select("report", "class", F.col("of_number").alias("number"), "fields")
+
+    one = classes.select("class", "fields.*")
+    x = one.select([F.col(c).alias("x_" + c) for c in one.columns] + [F.lit("").alias("x_fp_mfr")])
+    y = one.select([F.col(c).alias("y_" + c) for c in one.columns] + [F.lit("").alias("y_fp_mfr")])
+    there = F.coalesce(*(F.col("x_" + c).cast("string") for c in WEIGHTS)).isNotNull()
+    links, met = [], F.lit(False)
+    for differ in _may_differ(radius) if radius >= 0 else []:
+        way = reduce(lambda p, c: p & F.col("x_" + c).eqNullSafe(F.col("y_" + c)), [c for c in WEIGHTS if c not in differ], F.lit(True))
+        # Two reports without any field have similarity 0.
+        left = x if radius >= 1 else x.filter(there)
+        links.append(left.join(y, way & (F.col("x_class") < F.col("y_class"))).filter(~met))
+        met = met | way
+    own = x.select("x_class", F.col("x_class").alias("y_class"), F.when(there, 0.0).otherwise(1.0).alias("distance")).filter(F.col("distance") <= radius)
+    links = [own, *(p.withColumn("distance", 1.0 - similarity("x_", "y_")).filter(F.col("distance") <= radius).select("x_class", "y_class", "distance") for p in links)]
+    links = reduce(DataFrame.unionByName, links)
+    return links.select(F.col("x_class").alias("a"), F.col("y_class").alias("b"), "distance"), members
+
+
+def expand(links: DataFrame, members: DataFrame, block: str | None = None) -> DataFrame:
+    """a, b, distance: the pairs of reports that neighbour_classes() stands for; with ``block``, a field of the
+    fingerprint, only those that are equal in it."""
+    x = members.select(F.col("report").alias("x"), F.col("class").alias("x_class"), F.col("number").alias("x_number"), F.col("fields").alias("x_fields"))
+    y = members.select(F.col("report").alias("y"), F.col("class").alias("y_class"), F.col("number").alias("y_number"), F.col("fields").alias("y_fields"))
+    same = x.join(y, (F.col("x_number") == F.col("y_number")) & (F.col("x") < F.col("y"))).withColumn("distance", F.lit(0.0))
+    apart = ~F.coalesce(F.col("x_number") == F.col("y_number"), F.lit(False))
+    met = links.join(x, F.col("a") == F.col("x_class")).join(y, F.col("b") == F.col("y_class")).filter(apart & ((F.col("a") != F.col("b")) | (F.col("x") < F.col("y"))))
+    pairs = same.select("x", "y", "x_fields", "y_fields", "distance").unionByName(met.select("x", "y", "x_fields", "y_fields", "distance"))
+    if block:
+        pairs = pairs.filter(F.col(f"x_fields.{block}").eqNullSafe(F.col(f"y_fields.{block}")))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance")
+
+
+def neighbours(reports: DataFrame, key: str, radius: float = RADIUS, block: str | None = None, config: DedupConfig = DedupConfig()) -> DataFrame:
+    """a, b, distance: all pairs of reports whose distance, 1 - similarity, is ``radius`` at most; with ``block``, a
+    field of the fingerprint other than the number, only those that are equal in it. Of n reports of one number that is n (n - 1) / 2 rows:
+    neighbour_classes() says the same in n."""
+    return expand(*neighbour_classes(reports, key, radius, config), block)

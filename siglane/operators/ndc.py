@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siglane.functions.text import normalize_drug_name, normalize_ndc
+from siglane.functions.text import coded, normalize_drug_name, normalize_ndc
+from siglane.session import fresh
 
 MOST_EDITS = 3
 
 
 def directory(products: DataFrame, order: str) -> DataFrame:
     """One row for each code, the last in ``order``, with its search keys. Keys are only lower-cased."""
-    last = F.row_number().over(Window.partitionBy("product_ndc").orderBy(F.desc(order)))
-    rows = products.withColumn("__n", last).filter("__n = 1").drop("__n")
-    return rows.withColumns({"k_ndc": normalize_ndc(F.col("product_ndc")), "k_brand": F.lower("brand_name"), "k_generic": F.lower("generic_name")})
+    code, row = fresh(products, "code", "row")
+    last = products.groupBy(F.col("product_ndc").alias(code)).agg(F.max_by(F.struct(*(F.col(f"`{c}`") for c in products.columns)), F.struct(order)).alias(row))
+    return last.select(f"{row}.*").withColumns({"k_ndc": normalize_ndc(F.col("product_ndc")), "k_brand": F.lower("brand_name"), "k_generic": F.lower("generic_name")})
+
+
+#: Kinds of match by their place, and what each says.
+KINDS = {0: ("ExactNdc", 1.0), 1: ("ExactBrand", 1.0), 2: ("ExactGeneric", 1.0), 3: ("ExactIngredient", 0.95)}
+
+
+def inverted(products: DataFrame) -> DataFrame:
+    """by_code, key, product_ndc, place: a row for every key that a product is found by."""
+    of = lambda place, key: F.struct(F.lit(place).alias("place"), key.alias("key"))
+    listed = F.transform(F.coalesce("active_ingredients", F.array().cast("array<string>")), lambda i: of(3, F.lower(i)))
+    keys = F.concat(F.array(of(0, F.col("k_ndc")), of(1, F.col("k_brand")), of(2, F.col("k_generic"))), listed)
+    rows = products.select("product_ndc", F.explode(keys).alias("k")).filter("k.key is not null")
+    return rows.select((F.col("k.place") == 0).alias("by_code"), "k.key", "product_ndc", "k.place")
 
 
 def lookup(queries: DataFrame, products: DataFrame, fuzzy: bool = False) -> DataFrame:
@@ -22,25 +36,21 @@ def lookup(queries: DataFrame, products: DataFrame, fuzzy: bool = False) -> Data
 
     A code that matches stands alone; else brands, generics and ingredients match by name, each code by its first kind
     of match; only queries without any match are compared by edit distance. A query's matches come by confidence.
+    All keys of a query meet all keys of the directory in one join.
     """
     q = queries.select("query").distinct().withColumns({"q_ndc": normalize_ndc(F.col("query")), "q_name": normalize_drug_name(F.col("query"))})
-
-    def stage(on: str, right: DataFrame, key: str, kind: str, confidence: float, place: int) -> DataFrame:
-        out = q.join(right.select("product_ndc", key), F.col(on) == F.col(key)).select("query", "product_ndc")
-        return out.withColumns({"match_type": F.lit(kind), "confidence": F.lit(confidence), "place": F.lit(place)})
-
-    by_code = stage("q_ndc", products, "k_ndc", "ExactNdc", 1.0, 0)
-    ingredients = products.select("product_ndc", F.explode("active_ingredients").alias("i")).select("product_ndc", F.lower("i").alias("k_ingredient")).distinct()
-    left = q.join(by_code.select("query").distinct(), "query", "left_anti")
-    named = stage("q_name", products, "k_brand", "ExactBrand", 1.0, 1).unionByName(stage("q_name", products, "k_generic", "ExactGeneric", 1.0, 2)).unionByName(stage("q_name", ingredients, "k_ingredient", "ExactIngredient", 0.95, 3))
-    named = named.join(left.select("query"), "query")
-    exact = by_code.unionByName(named)
+    asked = q.select("query", F.explode(F.array(F.struct(F.lit(True).alias("by_code"), F.col("q_ndc").alias("key")), F.struct(F.lit(False).alias("by_code"), F.col("q_name").alias("key")))).alias("k"))
+    hits = asked.select("query", "k.by_code", "k.key").join(inverted(products), ["by_code", "key"]).select("query", "product_ndc", "place")
+    # Dealt by query, which is enough for a code's first place and for the query's least.
+    best = hits.repartition("query").groupBy("query", "product_ndc").agg(F.min("place").alias("place"))
+    best = best.withColumn("least", F.min("place").over(Window.partitionBy("query"))).filter("least > 0 or place = 0").drop("least")
+    kind, sure = (coded(F.col("place"), {k: v[i] for k, v in KINDS.items()}) for i in (0, 1))
+    found = best.select("query", "product_ndc", kind.alias("match_type"), sure.alias("confidence"), "place")
     if fuzzy:
-        left = left.join(named.select("query").distinct(), "query", "left_anti")
-        exact = exact.unionByName(_fuzzy(left, products))
-    first = F.row_number().over(Window.partitionBy("query", "product_ndc").orderBy("place"))
-    best = exact.withColumn("__n", first).filter("__n = 1")
-    return best.orderBy("query", F.desc("confidence"), "place", "product_ndc").select("query", "product_ndc", "match_type", "confidence")
+        near = _fuzzy(q.join(found.select("query").distinct(), "query", "left_anti"), products)
+        first = F.min(F.struct("place", "match_type", "confidence")).alias("x")
+        found = found.unionByName(near.groupBy("query", "product_ndc").agg(first).select("query", "product_ndc", "x.match_type", "x.confidence", "x.place"))
+    return found.orderBy("query", F.desc("confidence"), "place", "product_ndc").select("query", "product_ndc", "match_type", "confidence")
 
 
 def _fuzzy(q: DataFrame, products: DataFrame) -> DataFrame:

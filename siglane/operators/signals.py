@@ -5,9 +5,11 @@ Where a cell is 0, half a case is added to all four, so no ratio is infinite or
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siglane.functions.prior import fit
 from siglane.functions.stats import empirical_bayes
 from siglane.operators import contingency as tables
 from siglane.schema import SIGNAL_COLUMNS, SignalConfig
@@ -53,6 +55,31 @@ def detect(cells: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame
     return out.select(*SIGNAL_COLUMNS)
 
 
+#: Counts up to this are squashed as they are, those above and expected counts by so many steps of their logarithm.
+EXACT, STEPS = 64, 16
+
+
+def squashed(cells: DataFrame) -> DataFrame:
+    """n, e, pairs of each bin of pairs with like n and expected count: their means, and their number.
+
+    There are some EXACT bins of n and STEPS for each e-fold above, and STEPS for each e-fold of the expected counts,
+    which lie within that of their product: thousands of bins, however many pairs.
+    """
+    rows = frequentist(cells).select("n", F.greatest("expected", F.lit(1e-12)).alias("e"))
+    by_n = F.when(F.col("n") <= EXACT, F.col("n")).otherwise(EXACT + F.floor(F.log("n") * STEPS))
+    return rows.groupBy(by_n.alias("n_bin"), F.floor(F.log("e") * STEPS).alias("e_bin")).agg(F.avg("n").alias("n"), F.avg("e").alias("e"), F.count("*").alias("pairs"))
+
+
+def fitted_prior(cells: DataFrame, config: SignalConfig = SignalConfig(), least: int = 0) -> tuple[float, float, float, float, float]:
+    """The two-gamma prior that makes the pairs of ``cells`` likeliest, fitted to their bins from the configured one.
+
+    ``least`` is the count from which pairs are in the table at all. Without pairs the configured prior stays.
+    """
+    table = squashed(cells).orderBy("n_bin", "e_bin").toPandas()
+    n, e, pairs = (table[k].to_numpy(dtype=float) for k in ("n", "e", "pairs"))
+    return fit(n, np.maximum(e, 1e-12), pairs, config.prior, least)
+
+
 def from_counts(counts: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
     return detect(tables.contingency(counts), config)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: Bytes of a batch that Spark hands to a Python worker; by default 64 MB, of which a worker and Spark hold several.
@@ -28,6 +28,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, spark.checkpoint.dir; a local one is made only for a local master."""
     where = spark.conf.get("spark.checkpoint.dir", None)
