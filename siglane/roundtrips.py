@@ -68,6 +68,37 @@ def ingest_quarters_all_roles(spark, d):
     return faers.ingest(spark, write_quarters(spark, d), all_roles=True)
 
 
+def write_broken_quarter(spark, d) -> str:
+    """A folder of a quarter with faulty lines: ids with a letter, lines that lack a field or have one more, no names."""
+    folder = _place(spark, "broken")
+    text = lambda *columns: F.concat_ws("$", *(F.coalesce(c.cast("string"), F.lit("")) for c in columns))
+    key, line = F.col("o_orderkey"), F.col("l_linenumber")
+    demo = views.table(spark, d, "orders").select(text(F.when(key % 7 == 0, F.concat(F.lit("x"), key.cast("string"))).otherwise(key.cast("string")), F.col("o_custkey") % 90).alias("line"))
+    lines = views.table(spark, d, "lineitem").join(views.table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    case = F.col("l_orderkey")
+    drug = F.when(line == 7, text(case, line, F.lit("PS"))).when(line == 6, text(case, line, F.lit("PS"), F.col("p_brand"), F.lit("more"))).otherwise(text(case, line, F.lit("PS"), F.when(line != 5, F.col("p_brand"))))
+    reac = text(case, F.when(line != 4, F.col("p_name")))
+    for kind, header, rows in (("DEMO", "primaryid$age", demo), ("DRUG", "primaryid$drug_seq$role_cod$drugname", lines.select(drug.alias("line"))), ("REAC", "primaryid$pt", lines.select(reac.alias("line")))):
+        rows.select(F.col("line").alias(header)).write.csv(f"{folder}/{kind}25Q4.txt", sep="\x01", header=True, quote="", escape="")
+    return folder
+
+
+@query("""SELECT kind || '25Q4.txt' AS file, kind, reason, count(*) AS lines, count(line) AS texts FROM (
+SELECT 'DEMO' AS kind, 'id' AS reason, NULL AS line FROM orders WHERE o_orderkey % 7 = 0 UNION ALL SELECT 'DRUG', 'fields', 'x' FROM lineitem WHERE l_linenumber IN (6, 7)
+UNION ALL SELECT 'DRUG', 'name', CASE WHEN l_linenumber = 7 THEN 'x' END FROM lineitem WHERE l_linenumber IN (5, 7) UNION ALL SELECT 'REAC', 'name', NULL FROM lineitem WHERE l_linenumber = 4) GROUP BY ALL""", with_views=False)
+def ingest_errors(spark, d):
+    """Faults by file and reason, with how many have their line's text."""
+    _, found = faers.ingest_with_errors(spark, write_broken_quarter(spark, d))
+    return found.groupBy("file", "kind", "reason").agg(F.count("*").alias("lines"), F.count("line").alias("texts"))
+
+
+@query("""WITH d AS (SELECT l_orderkey AS k, upper(p_brand) AS drug FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber NOT IN (5, 7)), e AS (SELECT l_orderkey AS k, upper(p_name) AS event FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <> 4)
+SELECT drug, event, count(*) AS n FROM d JOIN e ON d.k = e.k WHERE d.k % 7 <> 0 GROUP BY ALL""", with_views=False)
+def ingest_despite_errors(spark, d):
+    """The pairs of the same folder: faulty lines are left out, or taken for what they have."""
+    return contingency.count_pairs(faers.ingest(spark, write_broken_quarter(spark, d)))
+
+
 @query("SELECT * FROM kept")
 def command_line_counts(spark, d):
     out = _place(spark, "counts")
@@ -165,18 +196,40 @@ def store_export(spark, d):
     return spark.read.parquet(out).withColumn("exported", F.lit(n).cast("long"))
 
 
-@query(f", {_DISTINCT} SELECT drug, event, n FROM pairs ORDER BY n DESC, drug, event LIMIT 5")
+@query(f", {_DISTINCT} SELECT drug, event, n FROM pairs UNION ALL SELECT drug, 'NONE', 0 FROM (SELECT DISTINCT drug FROM pairs)")
 def store_point_lookups(spark, d):
+    """Every pair, and every drug with an unknown event, looked up at once."""
     s = _filled(spark, d)
-    wanted = s.frequent(1).limit(5).collect()
-    return spark.createDataFrame([(r["drug"], r["event"], s.count(r["drug"].lower(), r["event"].lower())) for r in wanted], "drug string, event string, n long")
+    known = s.table("drug_event_pairs")
+    return s.counts(known.select(F.lower("drug").alias("drug"), F.lower("event").alias("event")).unionByName(known.select("drug", F.lit("none").alias("event")).distinct()))
 
 
-@query(f", {_DISTINCT}, first AS (SELECT * FROM pairs ORDER BY n DESC, drug, event LIMIT 1), s AS (SELECT (SELECT n FROM first) AS a, (SELECT sum(n) FROM pairs WHERE drug = (SELECT drug FROM first)) AS dt, (SELECT sum(n) FROM pairs WHERE event = (SELECT event FROM first)) AS et, (SELECT sum(n) FROM pairs) AS total) SELECT CAST(a AS BIGINT) AS a, CAST(dt - a AS BIGINT) AS b, CAST(et - a AS BIGINT) AS c, CAST(total - dt - et + a AS BIGINT) AS d FROM s")
+@query(f", {_DISTINCT} SELECT drug, event, n AS a, CAST(sum(n) OVER (PARTITION BY drug) - n AS BIGINT) AS b, CAST(sum(n) OVER (PARTITION BY event) - n AS BIGINT) AS c, CAST(sum(n) OVER () - sum(n) OVER (PARTITION BY drug) - sum(n) OVER (PARTITION BY event) + n AS BIGINT) AS d FROM pairs")
 def store_contingency(spark, d):
+    """The 2x2 tables of every pair of a store."""
+    s = _filled(spark, d)
+    return s.contingencies(s.table("drug_event_pairs"))
+
+
+@query(f", {_DISTINCT} SELECT drug, event, n FROM pairs WHERE n >= 2")
+def store_transactions(spark, d):
+    """A commit of pairs and signals at once; what failed or was rolled back after it leaves no trace."""
     s = _filled(spark, d)
-    first = s.frequent(1).first()
-    return spark.createDataFrame([s.contingency(first["drug"], first["event"])], "a long, b long, c long, d long")
+    with s.transaction():
+        s.insert_signals(_as_signals(s.table("drug_event_pairs").filter("n >= 2")))
+        s.append("metadata", spark.createDataFrame([("run", "1")], store.SCHEMAS["metadata"]))
+    s.begin()
+    s.insert_signals(_as_signals(s.table("drug_event_pairs")))
+    s.rollback()
+    other = store.SignalStore(spark, s.path)
+    if other.table("metadata").count() != 1:
+        raise RuntimeError("a commit is missing")
+    return other.table("signals").select("drug", "event", "n")
+
+
+def _as_signals(pairs: DataFrame) -> DataFrame:
+    kinds = dict(f.split() for f in store.SCHEMAS["signals"].split(", "))
+    return pairs.select("drug", "event", "n", *(F.lit(None).cast(t).alias(c) for c, t in kinds.items() if c not in ("drug", "event", "n")))
 
 
 @query(f", {_DISTINCT} SELECT (SELECT count(*) FROM reports) AS reports, (SELECT count(*) FROM drugs) AS drugs, (SELECT count(DISTINCT drug) FROM drugs) AS unique_drugs, (SELECT count(*) FROM reactions) AS reactions, (SELECT count(DISTINCT event) FROM reactions) AS unique_events, (SELECT count(*) FROM pairs) AS pairs, 0::BIGINT AS signals")

@@ -19,20 +19,39 @@ def data_dir() -> Path:
     return Path(os.environ.get(DATA_DIR, "./data/faers"))
 
 
-def read_file(spark: SparkSession, folder: str, kind: str) -> DataFrame | None:
+KINDS = ("DEMO", "DRUG", "REAC", "OUTC", "RPSR", "THER")
+#: What can be wrong with a line: its number of fields, a report's id that is no whole number, a drug or reaction
+#: without a name. The last two leave the line out; a line of too few fields lacks the last ones, one of too many ends
+#: with the header's last.
+FIELDS, ID, NAME = "fields", "id", "name"
+ERRORS = "kind string, file string, path string, reason string, primaryid string, line string"
+#: Extra columns of read_file(): the file as it is listed, the part of it that Spark has read, and the line if it has
+#: another number of fields than the header.
+FILE, PATH, BROKEN = "file of the line", "path of the line", "line with other fields"
+
+
+def _files(spark: SparkSession, folder: str, kind: str) -> list[tuple[str, str]]:
+    files, where = file_system(spark, folder)
+    if not files.exists(where):
+        return []
+    found = ((f.getPath().getName(), str(f.getPath())) for f in files.listStatus(where))
+    return sorted((name, path) for name, path in found if name.upper().startswith(kind) and name.lower().endswith(".txt"))
+
+
+def read_file(spark: SparkSession, folder: str, kind: str, checked: bool = False) -> DataFrame | None:
     """All files of one kind (DEMO, DRUG, ...) of a folder, as strings with lower-case names; None if there is none.
 
     Each file has its own header: columns meet by name, whatever their order, and are null where a file lacks them. The
-    folder can be in any file system that Spark reads.
+    folder can be in any file system that Spark reads. Columns FILE, PATH and BROKEN say where a line is from and, if
+    ``checked``, what it was if its fields don't fit the header: for that all of a line is parsed, whatever is read of it.
     """
-    files, where = file_system(spark, folder)
-    if not files.exists(where):
-        return None
-    found = sorted(str(f.getPath()) for f in files.listStatus(where) if f.getPath().getName().upper().startswith(kind) and f.getPath().getName().lower().endswith(".txt"))
     out = None
-    for path in found:
-        rows = spark.read.csv(path, sep="$", header=True, mode="PERMISSIVE", quote="")
-        rows = rows.toDF(*(c.strip().lower() for c in rows.columns))
+    for name, path in _files(spark, folder, kind):
+        options = {"sep": "$", "header": True, "mode": "PERMISSIVE", "quote": ""}
+        header = spark.read.csv(path, **options).columns
+        schema = ", ".join(f"`c{k}` string" for k in range(len(header)))
+        rows = spark.read.option("columnPruning", str(not checked).lower()).csv(path, schema=f"{schema}, `broken` string", columnNameOfCorruptRecord="broken", **options)
+        rows = rows.select(*(F.col(f"c{k}").alias(c.strip().lower()) for k, c in enumerate(header)), F.lit(name).alias(FILE), F.col("_metadata.file_path").alias(PATH), F.col("broken").alias(BROKEN))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 
@@ -41,19 +60,55 @@ def _column(df: DataFrame, name: str, kind: str = "string"):
     return F.expr(f"try_cast(trim(`{name}`) as {kind})" if kind != "string" else f"nullif(`{name}`, '')") if name in df.columns else F.lit(None).cast(kind)
 
 
+#: A report's id: a whole number.
+_IS_ID = r"^\+?[0-9]+$"
+
+
+def errors(spark: SparkSession, folder: str | None = None) -> DataFrame:
+    """kind, file, path, reason, primaryid, line: the lines that ingest() leaves out or takes with other fields.
+
+    A line with more than one fault has a row for each. ``line`` is the text of a line with other fields, else null.
+    """
+    folder, out = str(folder or data_dir()), None
+    for kind in KINDS:
+        rows = read_file(spark, folder, kind, checked=True)
+        if rows is None:
+            continue
+        faults = [F.when(F.col(BROKEN).isNotNull(), FIELDS)]
+        if kind == "DEMO":
+            faults.append(F.when(~F.coalesce(F.col("primaryid").rlike(_IS_ID), F.lit(False)), ID))
+        named = {"DRUG": "drugname", "REAC": "pt"}.get(kind)
+        if named:
+            faults.append(F.when(_column(rows, named).isNull(), NAME))
+        rows = rows.select(F.lit(kind).alias("kind"), F.col(FILE).alias("file"), F.col(PATH).alias("path"), F.explode(F.array_compact(F.array(*faults))).alias("reason"), "primaryid", F.col(BROKEN).alias("line"))
+        out = rows if out is None else out.unionByName(rows)
+    return spark.createDataFrame([], ERRORS) if out is None else out
+
+
+def ingest_with_errors(spark: SparkSession, folder: str | None = None, all_roles: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(ingest(), errors()): what could be read of a folder and what couldn't."""
+    return ingest(spark, folder, all_roles), errors(spark, folder)
+
+
 def ingest(spark: SparkSession, folder: str | None = None, all_roles: bool = False) -> DataFrame:
     """Drug-event rows of a quarter's folder in the 18 ingest columns; none of them if there are no files.
 
-    Reports whose id isn't a whole number are skipped. Drugs are filtered by role before they meet the reactions.
+    Reports whose id isn't a whole number are skipped; errors() lists them. Drugs are filtered by role before they meet
+    the reactions.
     """
     folder = str(folder or data_dir())
-    files = {k: read_file(spark, folder, k) for k in ("DEMO", "DRUG", "REAC", "OUTC", "RPSR", "THER")}
+    files = {k: read_file(spark, folder, k) for k in KINDS}
     if any(files[k] is None for k in ("DEMO", "DRUG", "REAC")):
         return spark.createDataFrame([], INGEST_SCHEMA)
+    return linked(files, all_roles)
+
+
+def linked(files: dict[str, DataFrame | None], all_roles: bool = False) -> DataFrame:
+    """Ingest rows of the files by kind, as read_file() gives them."""
     demo, drug, reac = files["DEMO"], files["DRUG"], files["REAC"]
     fields = {"age_years": ("age", "double"), "age_group": ("age_grp", "string"), "sex": ("sex", "string"), "weight_kg": ("wt", "double"), "reporter_country": ("reporter_country", "string"), "occr_country": ("occr_country", "string"), "mfr_sndr": ("mfr_sndr", "string"), "occp_cod": ("occp_cod", "string"), "mfr_num": ("mfr_num", "string"), "fda_dt": ("fda_dt", "string"), "event_dt": ("event_dt", "string")}
     case = F.expr("try_cast(primaryid as bigint)")
-    demo = demo.filter(F.col("primaryid").rlike(r"^\+?[0-9]+$")).select("primaryid", case.alias("case_id"), *(_column(demo, c, t).alias(k) for k, (c, t) in fields.items()))
+    demo = demo.filter(F.col("primaryid").rlike(_IS_ID)).select("primaryid", case.alias("case_id"), *(_column(demo, c, t).alias(k) for k, (c, t) in fields.items()))
     drugs = drug if all_roles else drug.filter(F.col("role_cod").isin(*SUSPECT_ROLES))
     drugs = drugs.filter("drugname is not null").select("primaryid", F.upper("drugname").alias("drug"), F.col("role_cod").alias("role_code"))
     events = reac.filter("pt is not null").select("primaryid", F.upper("pt").alias("event"))
