@@ -43,9 +43,12 @@ SALE, CHANGE, CONTROL, TICK = range(4)
 CLIENT, ID, CENTS, CARRY, CLEAR = 1, 2, 4, 8, 16
 EVENT = "kind byte, bucket int, page int, client long, slice int, id long, at long, cents long, op string, flags int, held long"
 RESULT = "rec string, id long, batch long, n_held long, change_id long, balance_cents long, op string"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+#: Settings of the stream while it runs: each start opens stores of its own, which else keep their disk for a while.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 @dataclass(frozen=True)
@@ -93,12 +96,12 @@ def _changes(changes: DataFrame, plan: Plan) -> DataFrame:
     return c.select(F.lit(CHANGE).cast("byte").alias("kind"), "client", "id", "at", "cents", "op", "batch")
 
 
-def _hot(rows: DataFrame, total: int) -> DataFrame:
-    """client, bounds of each client with more than total / HOT_SHARE rows: fewer than HOT_SHARE rows."""
-    counts = rows.filter("client is not null").groupBy("client").agg(F.count("*").alias("n")).filter(F.col("n") * HOT_SHARE > total)
-    own = rows.join(F.broadcast(counts.select("client")), "client", "left_semi")
+def _hot(rows: DataFrame, total: int) -> tuple[list[int], DataFrame]:
+    """(clients with more than total / HOT_SHARE rows, fewer than HOT_SHARE; client, bounds of each)."""
+    counts = rows.filter("client is not null").groupBy("client").agg(F.count("*").alias("n"))
+    own = [r["client"] for r in counts.filter(F.col("n") * HOT_SHARE > total).select("client").collect()]
     shares = F.array(*(F.lit(k / SLICES) for k in range(1, SLICES)))
-    return own.groupBy("client").agg(F.coalesce(F.percentile_approx("at", shares, 2000), F.array().cast("array<long>")).alias("bounds"))
+    return own, rows.filter(F.col("client").isin(own)).groupBy("client").agg(F.coalesce(F.percentile_approx("at", shares, 2000), F.array().cast("array<long>")).alias("bounds"))
 
 
 def _dealt(rows: DataFrame, hot: DataFrame, buckets: int) -> DataFrame:
@@ -120,9 +123,9 @@ def _placed(rows: DataFrame, buckets: int) -> DataFrame:
     return rows.withColumns({"bucket": bucket, "page": page}).select(*(x.split()[0] for x in EVENT.split(", ")), "batch")
 
 
-def _controls(changes: DataFrame, hot: DataFrame, late: list[int | None], horizon: list[int | None], plan: Plan) -> DataFrame:
+def _controls(changes: DataFrame, clients: list[int], hot: DataFrame, late: list[int | None], horizon: list[int | None], plan: Plan) -> DataFrame:
     """A control row for each hot client, slice and batch; changes: dealt events of the changes."""
-    own = changes.join(F.broadcast(hot.select("client")), "client", "left_semi").filter((F.col("flags").bitwiseAND(CLIENT) > 0))
+    own = changes.filter(F.col("client").isin(clients) & (F.col("flags").bitwiseAND(CLIENT) > 0))
     for b, before in enumerate(late[: plan.batches]):
         if before is not None:
             own = own.filter((F.col("batch") != b) | (F.col("at") >= before))
@@ -312,7 +315,8 @@ def enrich(sales: DataFrame, changes: DataFrame, plan: Plan = Plan()) -> DataFra
     total = sales.count() + changes.count()
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_ROWS))
     hot_path = f"{root}/hot"
-    _hot(light, total).write.parquet(hot_path)
+    clients, bounds = _hot(light, total)
+    bounds.write.parquet(hot_path)
     hot = spark.read.parquet(hot_path)
     staged = f"{root}/staged"
     _dealt(s, hot, buckets).write.mode("append").partitionBy("batch").parquet(staged)
@@ -320,7 +324,7 @@ def enrich(sales: DataFrame, changes: DataFrame, plan: Plan = Plan()) -> DataFra
     events = spark.read.schema(f"{EVENT}, batch int").parquet(staged)
     late, horizon = _watermarks(events, plan)
     ticks = spark.range(buckets).select(F.lit(TICK).cast("byte").alias("kind"), F.col("id").cast("int").alias("bucket"), F.lit(0).alias("page"), F.lit(0).cast("long").alias("client"), F.lit(0).alias("slice"), F.lit(0).cast("long").alias("id"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("cents"), F.lit(None).cast("string").alias("op"), F.lit(0).alias("flags"), F.lit(0).cast("long").alias("held"), F.explode(F.sequence(F.lit(0), F.lit(plan.batches))).alias("batch"))
-    controls = _placed(_controls(events.filter(F.col("kind") == CHANGE), hot, late, horizon, plan), buckets)
+    controls = _placed(_controls(events.filter(F.col("kind") == CHANGE), clients, hot, late, horizon, plan), buckets)
     extra = f"{root}/extra"
     controls.unionByName(ticks.select(*controls.columns)).coalesce(8).write.partitionBy("batch").parquet(extra)
     _run(spark, root, (staged, extra), late, horizon, plan)
@@ -353,9 +357,9 @@ def _run(spark: SparkSession, root: str, folders: tuple[str, ...], late: list, h
     files, _ = file_system(spark, root)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files.mkdirs(path(f"{root}/arrived"))
-    before = {k: spark.conf.get(k, None) for k in (PROVIDER, CHANGELOG)}
-    spark.conf.set(PROVIDER, ROCKS)
-    spark.conf.set(CHANGELOG, "true")
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         for b in range(plan.batches + 1):
             for k, folder in enumerate(folders):

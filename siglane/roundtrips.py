@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, Window
@@ -15,7 +14,7 @@ from siglane.operators import contingency, dedup, ndc
 from siglane.plans import pipeline
 from siglane.schema import CHARACTERIZATIONS, DRUG_ROLES, INGEST_COLUMNS, SIGNAL_COLUMNS, DedupConfig
 from siglane.session import prepare, shared_dir
-from siglane.sources import faers, openfda, store
+from siglane.sources import faers, openfda, pages, store
 from siglane.sources.ndc import read_directory
 from siglane.streaming import quarters
 
@@ -242,10 +241,12 @@ def store_sql(spark, d):
     return _filled(spark, d).sql("select event, cast(sum(n) as bigint) n from {drug_event_pairs} group by event")
 
 
-@query("SELECT count(*) AS n FROM reports WHERE false")
+@query("SELECT count(*) AS n FROM reports")
 def store_tables_of_a_new_folder(spark, d):
+    """Reports that a new store doesn't have yet: all."""
     s = store.SignalStore(spark, _place(spark, "none"))
-    return s.table("reports").agg(F.count("*").alias("n"))
+    rows = views.reports(spark, d).select(F.col("safety_report_id").alias("primary_id"))
+    return rows.join(s.table("reports"), "primary_id", "left_anti").agg(F.count("*").alias("n"))
 
 
 def _reports(spark, d) -> DataFrame:
@@ -269,31 +270,31 @@ def rest_event_filter(spark, d):
     return openfda.filter_reports(_reports(spark, d), openfda.EventQuery(event=first.lower())).select(F.col("safetyreportid").alias("id"))
 
 
-@query("SELECT upper(n_name) AS drug, upper(r_name) AS event, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY ALL", with_views=False)
+PAGE = 200
+
+
+def write_pages(spark, d) -> str:
+    """A folder of page files of some PAGE reports, as the service would send them."""
+    out = _place(spark, "pages")
+    rows = _reports(spark, d)
+    pages = max(1, -(-rows.count() // PAGE))
+    page = F.pmod(F.xxhash64("safetyreportid"), F.lit(pages))
+    # A page is a bounded number of reports, whatever the number of pages.
+    rows.groupBy(page.alias("page")).agg(F.to_json(F.struct(F.collect_list(F.struct(*rows.columns)).alias("results"))).alias("value")).repartition("page").write.partitionBy("page").text(out)
+    return out
+
+
+@query("SELECT upper(p_name) AS drug, upper(p_name) AS event, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL", with_views=False)
 def rest_pages(spark, d):
-    """Pages of five reports from a service that answers each page once and then fails; the second round is cached."""
-    rows = views.table(spark, d, "nation").join(views.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).orderBy("n_nationkey").select("n_name", "r_name").collect()
-    reports = [{"safetyreportid": str(k), "patient": {"drug": [{"drugcharacterization": "1", "medicinalproduct": r["n_name"].lower()}], "reaction": [{"reactionmeddrapt": r["r_name"].lower()}]}} for k, r in enumerate(rows)]
-    asked: set[str] = set()
-
-    def fetch(url: str) -> str:
-        if url in asked:
-            raise openfda.HttpError("the service is down")
-        asked.add(url)
-        skip = int(url.partition("&skip=")[2] or 0)
-        return json.dumps({"results": reports[skip : skip + 5]})
-
-    now = [0.0]
-    client = openfda.OpenFdaClient(spark, fetcher=fetch, clock=lambda: now[0])
-    pages = [openfda.EventQuery(limit=5, skip=k) for k in range(0, len(rows), 5)]
-    for q in pages:
-        client.results(q)
-    now[0] = 10.0 * openfda.TTL_SECONDS
-    found = None
-    for q in pages:
-        page = client.drug_events(q)
-        found = page if found is None else found.unionByName(page)
-    return openfda.pair_counts(found)
+    """The pairs of all pages, each page a partition of the source."""
+    return openfda.pair_counts(pages.reports(pages.read_pages(spark, write_pages(spark, d))))
+
+
+@query("SELECT l_orderkey || '-' || l_linenumber AS id FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'A' AND l_shipdate BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'", with_views=False)
+def rest_pages_filtered(spark, d):
+    """Serious reports of three years: the source is told, and hands out no others."""
+    rows = pages.read_pages(spark, write_pages(spark, d)).filter("serious = '1' and receiptdate >= '19940101' and receiptdate <= '19961231'")
+    return rows.select(F.col("safetyreportid").alias("id"))
 
 
 @query("SELECT drug, event, n FROM counts")
@@ -309,10 +310,12 @@ def stream_counts(spark, d):
 
 @query("SELECT printf('%06d-%03d', p_partkey, p_size) AS product_ndc, p_name AS brand_name, p_type AS generic_name, p_brand AS labeler_name, p_brand AS ingredient FROM part", with_views=False)
 def ndc_directory_file(spark, d):
-    """The directory as one JSON array in a file."""
+    """The directory as JSON arrays in files."""
     out = _place(spark, "directory")
-    p = views.products(spark, d).drop("ord")
-    p.agg(F.to_json(F.collect_list(F.struct(*p.columns))).alias("value")).coalesce(1).write.text(out)
+    p = views.products(spark, d)
+    # Files of a thousand products, each one array.
+    part = F.floor(F.col("ord") / 1000).cast("int")
+    p.groupBy(part.alias("part")).agg(F.to_json(F.collect_list(F.struct(*(c for c in p.columns if c != "ord")))).alias("value")).repartition("part").write.partitionBy("part").text(out)
     return read_directory(spark, out).select("product_ndc", "brand_name", "generic_name", "labeler_name", F.col("active_ingredients")[0].alias("ingredient"))
 
 
