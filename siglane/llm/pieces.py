@@ -268,7 +268,8 @@ def encoder(path: str) -> PieceEncoder:
 def encode_documents(docs: DataFrame, model: str, keep_text: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, agreed, one row for each row of ``docs`` (doc_id, text).
 
-    Null text counts as empty, which gives the begin and end ids alone. Rows are independent of each other: repeated
+    Every whole text is held against the library; where its ids were others, the job would fail, not return them, so
+    ``agreed`` is true. Null text counts as empty, which gives the begin and end ids alone. Rows are independent of each other: repeated
     rows give repeated results, an empty table an empty one, null doc_id stays null, other columns are left out.
     With ``keep_text`` the ids and decoded text themselves are returned too.
     """
@@ -282,6 +283,8 @@ def encode_documents(docs: DataFrame, model: str, keep_text: bool = False) -> Da
             texts = utf8(batch.column(1))
             for a, b in slices(texts):
                 rows = own.batch(texts.slice(a, b - a))
+                if not all(fine for _, fine in rows):
+                    raise ValueError("the agenda's ids are not the library's")
                 ids = [x.tolist() for x, _ in rows]
                 decoded = own.library.decode(ids, num_threads=1)
                 columns = [

@@ -1,6 +1,6 @@
 """Toxicity by subword-bag embeddings: vectors of n-grams averaged into a linear softmax, trained jointly in numpy.
 
-A word's vector is the mean of the vectors of its byte n-grams (with word ends) and of itself, all hashed into BUCKETS
+A word's vector is the mean of the vectors of its character n-grams (with word ends) and of itself, all hashed into BUCKETS
 rows, so a misspelt word shares most of its vectors with the word. A passage's vector is the mean of its words'; a
 softmax of two classes over it gives the passage's probability. A text is as toxic as its most toxic passage, so a few
 words show in a long text as well as in a short one. Vectors and softmax are trained together by gradient descent: first on whole texts
@@ -29,20 +29,32 @@ WARM_STEPS, STEPS, RATE = 20, 100, 1.0
 BLOCK = 1 << 13
 
 
+def _characters(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(a number for each character of binary UTF-8 words: its bytes put together; the characters of each word)."""
+    n = len(distinct)
+    offsets = np.frombuffer(distinct.buffers()[1], dtype=np.int64)[distinct.offset : distinct.offset + n + 1]
+    data = np.frombuffer(distinct.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, dtype=np.uint8)
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    size = np.diff(np.append(first, len(data)))
+    out = data[first].astype(np.uint64)
+    for j in range(1, 4):
+        more = size > j
+        out[more] = out[more] * np.uint64(256) + data[first[more] + j]
+    return out, np.diff(np.searchsorted(first, offsets - offsets[0]))
+
+
 def grams(distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, word of each) of all n-grams of binary words and of the words themselves."""
     n = len(distinct)
     if not n:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    offsets = np.frombuffer(distinct.buffers()[1], dtype=np.int64)[distinct.offset : distinct.offset + n + 1]
-    lengths = np.diff(offsets)
-    source = np.frombuffer(distinct.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, dtype=np.uint8)
+    source, lengths = _characters(distinct)
     ends = np.cumsum(lengths + 2)
     starts = ends - lengths - 2
     data = np.empty(int(ends[-1]), dtype=np.uint64)
     inner = np.ones(len(data), dtype=bool)
     inner[starts] = inner[ends - 1] = False
-    data[starts], data[ends - 1], data[inner] = 256, 257, source
+    data[starts], data[ends - 1], data[inner] = 256, 257, source  # 256 and 257 are no character's
     word = np.repeat(np.arange(n), lengths + 2)
     room = np.repeat(ends, lengths + 2) - np.arange(len(data))
     buckets, owners = [], []
