@@ -13,10 +13,10 @@ from siglane.functions.text import coded
 from siglane.operators import contingency, dedup, ndc
 from siglane.plans import pipeline
 from siglane.schema import CHARACTERIZATIONS, DRUG_ROLES, INGEST_COLUMNS, SIGNAL_COLUMNS, DedupConfig
-from siglane.session import prepare, shared_dir
+from siglane.session import file_system, prepare, shared_dir
 from siglane.sources import faers, openfda, pages, store
 from siglane.sources.ndc import read_directory
-from siglane.streaming import quarters
+from siglane.streaming import linking, quarters
 
 
 def _place(spark, name: str) -> str:
@@ -270,6 +270,22 @@ def rest_event_filter(spark, d):
     return openfda.filter_reports(_reports(spark, d), openfda.EventQuery(event=first.lower())).select(F.col("safetyreportid").alias("id"))
 
 
+@query(_INGEST.format(rows="sus"))
+def stream_linked_quarters(spark, d):
+    """The files of two quarters, which arrive kind by kind, reports last, and are linked as they come."""
+    folder = write_quarters(spark, d)
+    arrived, out, mark = (_place(spark, x) for x in ("arrived", "linked", "mark"))
+    files, where = file_system(spark, arrived)
+    files.mkdirs(where)
+    for run, kinds in enumerate((("THER", "REAC"), ("OUTC", "RPSR", "DRUG"), ("DEMO",))):
+        for status in files.listStatus(file_system(spark, folder)[1]):
+            name = status.getPath().getName()
+            if name.startswith(kinds) and not files.rename(status.getPath(), file_system(spark, f"{arrived}/{name}")[1]):
+                raise OSError(f"{name} can't be moved")
+        linking.link_arrived(spark, arrived, out, mark, run).awaitTermination()
+    return linking.current(spark, out)
+
+
 PAGE = 200
 
 
