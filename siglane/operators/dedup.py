@@ -14,7 +14,9 @@ from siglane.session import fresh
 
 #: Fields of a fingerprint and what each weighs in a similarity.
 WEIGHTS = {"age_bucket": 1, "sex": 1, "country": 1, "event_month": 2, "fp_drug": 3, "fp_reaction": 2}
+#: Fields of a report, of its fingerprint, and those that are lost between them.
 REPORT_DIMENSION, FINGERPRINT_DIMENSION = 13, 7
+CODIMENSION = REPORT_DIMENSION - FINGERPRINT_DIMENSION
 RADIUS, STRICT_RADIUS, LENIENT_RADIUS = 0.15, 0.05, 0.30
 
 
@@ -31,6 +33,15 @@ def fingerprint(reports: DataFrame, config: DedupConfig = DedupConfig()) -> Data
     })
 
 
+#: The fingerprint as an embedding of reports into fewer dimensions.
+embed = fingerprint
+
+
+def in_image() -> Column:
+    """Whether a fingerprint is some report's: each is, as its fields are those of a report that has no others."""
+    return F.lit(True)
+
+
 def similarity(x: str, y: str) -> Column:
     """Similarity of the fingerprints in columns with prefixes x and y."""
     matches, total = F.lit(0), F.lit(0)
@@ -43,6 +54,11 @@ def similarity(x: str, y: str) -> Column:
     return F.when(F.coalesce(same, F.lit(False)), 1.0).otherwise(F.coalesce(F.try_divide(matches, total), F.lit(0.0)))
 
 
+def is_potential_duplicate(x: str, y: str, radius: float = RADIUS) -> Column:
+    """Whether the fingerprints in columns with prefixes x and y lie within ``radius``, which belongs to it."""
+    return 1.0 - similarity(x, y) <= radius
+
+
 def completeness() -> Column:
     fields = ("patient_age", "patient_sex", "patient_weight", "occur_country", "primary_drug", "primary_reaction", "event_date", "report_type")
     return sum((F.col(c).isNotNull().cast("int") for c in fields), F.lit(0)) + F.col("mfr_num").isNotNull().cast("int") * 2

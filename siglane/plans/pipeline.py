@@ -53,15 +53,20 @@ def main(args: list[str] | None = None) -> int:
     if a.verbose:
         print(f"reading {a.faers_dir}", file=sys.stderr)
     rows = faers.ingest(spark, a.faers_dir, a.include_all_roles)
-    counts = contingency.filter_minimum(contingency.count_pairs(rows), a.min_cases).cache()
-    n = sinks.sink_output(counts, a.counts_out)
-    if a.verbose:
-        print(f"{n} pairs", file=sys.stderr)
-    if not a.counts_only and not a.once:
-        found = signals.from_counts(counts).cache()
-        sinks.sink_signals(found, a.signals_out)
-        if not a.no_summary:
-            print_summary(counts, found)
+    counts, found = contingency.filter_minimum(contingency.count_pairs(rows), a.min_cases).cache(), None
+    try:
+        n = sinks.sink_output(counts, a.counts_out)
+        if a.verbose:
+            print(f"{n} pairs", file=sys.stderr)
+        if not a.counts_only and not a.once:
+            found = signals.from_counts(counts).cache()
+            sinks.sink_signals(found, a.signals_out)
+            if not a.no_summary:
+                print_summary(counts, found)
+    finally:
+        for df in (found, counts):
+            if df is not None:
+                df.unpersist()
     return 0
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siglane import sinks, views
-from siglane.catalog import _counts, _frequentist, _kept, _r, query, rounded
+from siglane.catalog import _EB, _counts, _frequentist, _kept, _r, query, rounded
 from siglane.functions.text import coded
 from siglane.operators import contingency, dedup, ndc
 from siglane.plans import pipeline
@@ -19,8 +19,22 @@ from siglane.sources.ndc import read_directory
 from siglane.streaming import linking, quarters
 
 
+#: Folders that queries have made, for release().
+_made: list[str] = []
+
+
 def _place(spark, name: str) -> str:
-    return f"{shared_dir(prepare(spark))}/siglane/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(prepare(spark))}/siglane/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark) -> None:
+    """Deletes what the queries of this process have written; their results can't be read afterwards."""
+    while _made:
+        files, where = file_system(spark, _made.pop())
+        # A template's fields are filled in its path.
+        for status in files.globStatus(file_system(spark, str(where).replace("%Y", "*"))[1]) or []:
+            files.delete(status.getPath(), True)
 
 
 def write_quarters(spark, d) -> str:
@@ -106,7 +120,7 @@ def command_line_counts(spark, d):
     return spark.read.schema("drug string, event string, n long").json(out)
 
 
-@query("SELECT drug, event, n, prr_signal, ror_signal, ic_signal FROM freq")
+@query(f"{_EB} SELECT drug, event, n, prr_signal, ror_signal, ic_signal, {_r('ebgm', 'eb05')}, ebgm_signal FROM found")
 def command_line_signals(spark, d):
     folder, out = write_quarters(spark, d), _place(spark, "signals")
     if pipeline.main(["--faers-dir", folder, "--counts-out", _place(spark, "counts-%Y"), "--signals-out", out, "--no-summary"]):
@@ -114,12 +128,12 @@ def command_line_signals(spark, d):
     found = spark.read.schema(store.SCHEMAS["signals"]).json(out)
     if tuple(found.columns) != SIGNAL_COLUMNS:
         raise RuntimeError("the file lacks columns")
-    return found.select("drug", "event", "n", "prr_signal", "ror_signal", "ic_signal")
+    return rounded(found.select("drug", "event", "n", "prr_signal", "ror_signal", "ic_signal", "ebgm", "eb05", "ebgm_signal"))
 
 
-@query("SELECT drug, event, n FROM kept")
+@query(f"{_EB} SELECT drug, event, n, {_r('prr', 'ic025', 'ebgm', 'eb05')}, ebgm_signal FROM found")
 def run_pipeline_pairs(spark, d):
-    return pipeline.run_pipeline(views.rows(spark, d)).select("drug", "event", "n")
+    return rounded(pipeline.run_pipeline(views.rows(spark, d)).select("drug", "event", "n", "prr", "ic025", "ebgm", "eb05", "ebgm_signal"))
 
 
 @query("SELECT drug, event, n, n AS n_normal FROM counts")

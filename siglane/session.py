@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of a batch that Spark hands to a Python worker; by default 64 MB, of which a worker and Spark hold several.
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES, DEFAULT_BYTES = 4 << 20, 64 << 20
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -18,7 +18,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     A size of batches that the session has been given is left as it is.
     """
-    if spark.conf.get(BATCH).rstrip("b") == str(DEFAULT_BYTES):
+    if BATCH not in spark.conf.getAll:
         spark.conf.set(BATCH, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment

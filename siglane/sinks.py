@@ -23,9 +23,17 @@ def _write(df: DataFrame, path: str, kind: str, **options) -> int:
     if not n:
         files.delete(made, True)
         return 0
-    files.delete(where, True)
+    # The old result stands aside until the new one is in its place: at no time is there neither.
+    _, aside = file_system(spark, f"{new}.old")
+    old = files.exists(where)
+    if old and not files.rename(where, aside):
+        raise OSError(f"{path} can't be moved aside")
     if not files.rename(made, where):
+        if old:
+            files.rename(aside, where)
         raise OSError(f"{new} can't be renamed to {path}")
+    if old:
+        files.delete(aside, True)
     return n
 
 

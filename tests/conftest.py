@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from siglane import catalog, roundtrips  # noqa: E402, F401
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -13,4 +15,5 @@ def spark():
     s = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    roundtrips.release(s)
     s.stop()

@@ -111,3 +111,12 @@ def test_one_number_on_half_of_all_reports(spark):
     assert [(r.cluster_size, r.case_version, r.ord) for r in top] == [(n // 2, 2, 2)]
     links, members = dedup.neighbour_classes(rows, "ord")
     assert members.count() == n and links.count() < 4 * n and members.filter("number = 0").count() == n // 2
+
+
+def test_fingerprints_as_an_embedding(spark):
+    assert (dedup.REPORT_DIMENSION, dedup.FINGERPRINT_DIMENSION, dedup.CODIMENSION) == (13, 7, 6)
+    rows = spark.createDataFrame([(k, 40 + k, "1", "US", "20240105", "asp", "ha", None) for k in (0, 1, 30)], "ord int, patient_age int, patient_sex string, occur_country string, event_date string, primary_drug string, primary_reaction string, mfr_num string")
+    fp = dedup.embed(rows).select("ord", *dedup.WEIGHTS, "fp_mfr")
+    x, y = (fp.select([F.col(c).alias(p + c) for c in fp.columns]) for p in ("x_", "y_"))
+    near = x.join(y, F.col("x_ord") < F.col("y_ord")).select("x_ord", "y_ord", *(dedup.is_potential_duplicate("x_", "y_", r).alias(f"r{k}") for k, r in enumerate((dedup.STRICT_RADIUS, dedup.RADIUS))), dedup.in_image().alias("there"))
+    assert {tuple(r) for r in near.collect()} == {(0, 1, True, True, True), (0, 30, False, True, True), (1, 30, False, True, True)}
