@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglane.session import file_system, prepare, shared_dir
+from siglane.session import file_system, fresh, prepare, shared_dir
 
 #: White space of every contract here: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -63,17 +63,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """Names like these that no column of ``df`` has, in any case."""
-    taken, out = {c.lower() for c in df.columns}, []
-    for name in names:
-        while name.lower() in taken:
-            name = f"{name}_"
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
 def by_place(work):
     """``work(docs, ...)``, whose result has the columns of ``docs``, on columns renamed by their place, so that no name
     does harm: one with a dot or a backquote, one that is there twice. doc_id, text and source keep theirs."""
