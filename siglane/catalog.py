@@ -357,15 +357,20 @@ def similarity_pairs(spark, d):
     return rounded(dedup.neighbours(views.reports(spark, d), "ord"))
 
 
-@query("""SELECT 'report' AS kind, r.ord AS a, c.rep AS b, coalesce(n.rep, -1) AS number, 0.0::DOUBLE AS distance FROM reports r JOIN reps c ON r.age = c.age AND r.sex = c.sex AND r.country = c.country AND r.month = c.month AND r.drug = c.drug LEFT JOIN numbers n ON r.mfr = n.mfr
-UNION ALL SELECT 'link', rep, rep, -1, 0 FROM reps
-UNION ALL SELECT 'link', x.rep, y.rep, -1, 0.1 FROM reps x JOIN reps y ON x.rep < y.rep AND x.month = y.month AND x.drug = y.drug AND (x.age = y.age)::INT + (x.sex = y.sex)::INT + (x.country = y.country)::INT = 2""".replace("SELECT 'report'", ", reps AS (SELECT age, sex, country, month, drug, min(ord) AS rep FROM reports GROUP BY ALL), numbers AS (SELECT mfr, min(ord) AS rep FROM reports WHERE mfr IS NOT NULL GROUP BY mfr) SELECT 'report'", 1))
+_CLASSES = """, reps AS (SELECT age, sex, country, month, drug, min(ord) AS rep FROM reports GROUP BY ALL), numbers AS (SELECT mfr, min(ord) AS rep FROM reports WHERE mfr IS NOT NULL GROUP BY mfr),
+groups AS (SELECT rep, 0 AS way, min(rep) OVER w AS g, count(*) OVER w AS n FROM reps WINDOW w AS (PARTITION BY sex, country, month, drug) UNION ALL SELECT rep, 1, min(rep) OVER w, count(*) OVER w FROM reps WINDOW w AS (PARTITION BY age, country, month, drug)
+ UNION ALL SELECT rep, 2, min(rep) OVER w, count(*) OVER w FROM reps WINDOW w AS (PARTITION BY age, sex, month, drug))"""
+
+
+@query(f"""{_CLASSES} SELECT 'report' AS kind, r.ord AS a, c.rep AS b, coalesce(n.rep, -1) AS number FROM reports r JOIN reps c ON r.age = c.age AND r.sex = c.sex AND r.country = c.country AND r.month = c.month AND r.drug = c.drug LEFT JOIN numbers n ON r.mfr = n.mfr
+UNION ALL SELECT 'group ' || way, rep, g, -1 FROM groups WHERE n > 1""")
 def similarity_classes(spark, d):
-    """The neighbours in rows that grow with the reports: each report's class and number (none: -1), and the links of classes."""
-    links, members = dedup.neighbour_classes(views.reports(spark, d), "ord")
+    """The neighbours in rows that grow with the reports: each report's class and number (none: -1), and the groups in
+    which classes may differ in one field."""
+    groups, members = dedup.neighbour_classes(views.reports(spark, d), "ord")
     none = F.lit(-1).cast("long")
-    rows = members.select(F.lit("report").alias("kind"), F.col("report").alias("a"), F.col("class").alias("b"), F.coalesce("number", none).alias("number"), F.lit(0.0).alias("distance"))
-    return rounded(rows.unionByName(links.select(F.lit("link").alias("kind"), "a", "b", none.alias("number"), "distance")))
+    rows = members.select(F.lit("report").alias("kind"), F.col("report").alias("a"), F.col("class").alias("b"), F.coalesce("number", none).alias("number"))
+    return rows.unionByName(groups.select(F.concat(F.lit("group "), F.col("way")).alias("kind"), F.col("class").alias("a"), F.col("group").alias("b"), none.alias("number")))
 
 
 _NDC = """SELECT printf('%06d-%03d', p_partkey, p_size) AS ndc, lower(p_name) AS brand, lower(p_type) AS generic, lower(p_brand) AS ingredient FROM part"""

@@ -100,54 +100,68 @@ def _may_differ(radius: float) -> list[set[str]]:
 
 
 def neighbour_classes(reports: DataFrame, key: str, radius: float = RADIUS, config: DedupConfig = DedupConfig()) -> tuple[DataFrame, DataFrame]:
-    """(a, b, distance: pairs of classes within ``radius``; report, class, number of each report).
+    """(class, way, group: which classes may be within ``radius``; report, class, number, fields of each report).
 
     A class is all reports that agree in every field of the fingerprint but the manufacturer number, named by its
     smallest key; number is the smallest key of those with the report's manufacturer number, or null. Reports with one
-    number are at distance 0; all others are as far apart as their classes, of which each is paired with itself too. So
-    neither many reports of one number nor many equal ones make many rows; expand() gives the pairs of reports.
+    number are at distance 0; all others are as far apart as their classes.
 
-    Classes meet by all fields but those that may differ within the radius, null equal to null, and count where they
-    meet first; a class has no more partners than those fields have values.
+    A way is a set of fields that may differ within the radius, by its place among _may_differ(). The classes that agree
+    in all other fields, null equal to null, are a group of that way, named by its smallest class; groups of one are
+    left out. So there are a few rows for each report, however many of them are alike; links() gives the pairs of
+    classes and expand() those of reports.
     """
     fp = fingerprint(reports, config).select(F.col(key).alias("report"), F.struct(*WEIGHTS).alias("fields"), F.when(F.col("fp_mfr") != "", F.col("fp_mfr")).alias("number"))
     classes = fp.groupBy("fields").agg(F.min("report").alias("class"))
     numbers = fp.filter("number is not null").groupBy("number").agg(F.min("report").alias("of_number"))
     members = fp.join(classes, "fields").join(numbers, "number", "left").select("report", "class", F.col("of_number").alias("number"), "fields")
-
-    one = classes.select("class", "fields.*")
-    x = one.select([F.col(c).alias("x_" + c) for c in one.columns] + [F.lit("").alias("x_fp_mfr")])
-    y = one.select([F.col(c).alias("y_" + c) for c in one.columns] + [F.lit("").alias("y_fp_mfr")])
+    kinds = dict(classes.select("fields.*").dtypes)
+    ways = [F.struct(F.lit(k).alias("way"), F.struct(*(F.lit(None).cast(kinds[c]).alias(c) if c in differ else F.col(f"fields.{c}").alias(c) for c in WEIGHTS)).alias("rest")) for k, differ in enumerate(_may_differ(radius) if radius >= 0 else [])]
+    if not ways:
+        return classes.select("class", F.lit(0).alias("way"), F.col("class").alias("group")).limit(0), members
+    # Two reports without any field have similarity 0.
+    there = F.coalesce(*(F.col(f"fields.{c}").cast("string") for c in WEIGHTS)).isNotNull()
+    own = (classes if radius >= 1 else classes.filter(there)).select("class", F.explode(F.array(*ways)).alias("k"))
+    groups = own.groupBy("k").agg(F.min("class").alias("group"), F.count("*").alias("n")).filter("n > 1")
+    return own.join(groups, "k").select("class", "k.way", "group"), members
+
+
+def links(groups: DataFrame, members: DataFrame, radius: float = RADIUS) -> DataFrame:
+    """a, b, distance: the pairs of classes within ``radius`` that neighbour_classes() stands for, each with itself too."""
+    classes = members.groupBy("class").agg(F.first("fields").alias("fields")).select("class", "fields.*")
+    x = classes.select([F.col(c).alias("x_" + c) for c in classes.columns] + [F.lit("").alias("x_fp_mfr")])
+    y = classes.select([F.col(c).alias("y_" + c) for c in classes.columns] + [F.lit("").alias("y_fp_mfr")])
     there = F.coalesce(*(F.col("x_" + c).cast("string") for c in WEIGHTS)).isNotNull()
-    links, met = [], F.lit(False)
-    for differ in _may_differ(radius) if radius >= 0 else []:
-        way = reduce(lambda p, c: p & F.col("x_" + c).eqNullSafe(F.col("y_" + c)), [c for c in WEIGHTS if c not in differ], F.lit(True))
-        # Two reports without any field have similarity 0.
-        left = x if radius >= 1 else x.filter(there)
-        links.append(left.join(y, way & (F.col("x_class") < F.col("y_class"))).filter(~met))
-        met = met | way
-    own = x.select("x_class", F.col("x_class").alias("y_class"), F.when(there, 0.0).otherwise(1.0).alias("distance")).filter(F.col("distance") <= radius)
-    links = [own, *(p.withColumn("distance", 1.0 - similarity("x_", "y_")).filter(F.col("distance") <= radius).select("x_class", "y_class", "distance") for p in links)]
-    links = reduce(DataFrame.unionByName, links)
-    return links.select(F.col("x_class").alias("a"), F.col("y_class").alias("b"), "distance"), members
-
-
-def expand(links: DataFrame, members: DataFrame, block: str | None = None) -> DataFrame:
-    """a, b, distance: the pairs of reports that neighbour_classes() stands for; with ``block``, a field of the
-    fingerprint, only those that are equal in it."""
+    own = x.select(F.col("x_class").alias("a"), F.col("x_class").alias("b"), F.when(there, 0.0).otherwise(1.0).alias("distance"))
+    one = groups.join(x, F.col("class") == F.col("x_class")).drop("class")
+    two = groups.select(F.col("class").alias("c"), F.col("way").alias("w"), F.col("group").alias("g")).join(y, F.col("c") == F.col("y_class")).drop("c")
+    # A pair counts in the first way in which it meets.
+    first = F.lit(None).cast("int")
+    for k, differ in reversed(list(enumerate(_may_differ(radius) if radius >= 0 else []))):
+        meets = reduce(lambda p, c: p & F.col("x_" + c).eqNullSafe(F.col("y_" + c)), [c for c in WEIGHTS if c not in differ], F.lit(True))
+        first = F.when(meets, k).otherwise(first)
+    met = one.join(two, (F.col("way") == F.col("w")) & (F.col("group") == F.col("g")) & (F.col("x_class") < F.col("y_class"))).filter(F.col("way") == first)
+    met = met.select(F.col("x_class").alias("a"), F.col("y_class").alias("b"), (1.0 - similarity("x_", "y_")).alias("distance"))
+    return own.unionByName(met).filter(F.col("distance") <= radius)
+
+
+def expand(pairs: DataFrame, members: DataFrame, block: str | None = None) -> DataFrame:
+    """a, b, distance: the pairs of reports of links(); with ``block``, a field of the fingerprint, only those that are
+    equal in it."""
     x = members.select(F.col("report").alias("x"), F.col("class").alias("x_class"), F.col("number").alias("x_number"), F.col("fields").alias("x_fields"))
     y = members.select(F.col("report").alias("y"), F.col("class").alias("y_class"), F.col("number").alias("y_number"), F.col("fields").alias("y_fields"))
     same = x.join(y, (F.col("x_number") == F.col("y_number")) & (F.col("x") < F.col("y"))).withColumn("distance", F.lit(0.0))
     apart = ~F.coalesce(F.col("x_number") == F.col("y_number"), F.lit(False))
-    met = links.join(x, F.col("a") == F.col("x_class")).join(y, F.col("b") == F.col("y_class")).filter(apart & ((F.col("a") != F.col("b")) | (F.col("x") < F.col("y"))))
-    pairs = same.select("x", "y", "x_fields", "y_fields", "distance").unionByName(met.select("x", "y", "x_fields", "y_fields", "distance"))
+    met = pairs.join(x, F.col("a") == F.col("x_class")).join(y, F.col("b") == F.col("y_class")).filter(apart & ((F.col("a") != F.col("b")) | (F.col("x") < F.col("y"))))
+    out = same.select("x", "y", "x_fields", "y_fields", "distance").unionByName(met.select("x", "y", "x_fields", "y_fields", "distance"))
     if block:
-        pairs = pairs.filter(F.col(f"x_fields.{block}").eqNullSafe(F.col(f"y_fields.{block}")))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance")
+        out = out.filter(F.col(f"x_fields.{block}").eqNullSafe(F.col(f"y_fields.{block}")))
+    return out.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "distance")
 
 
 def neighbours(reports: DataFrame, key: str, radius: float = RADIUS, block: str | None = None, config: DedupConfig = DedupConfig()) -> DataFrame:
     """a, b, distance: all pairs of reports whose distance, 1 - similarity, is ``radius`` at most; with ``block``, a
     field of the fingerprint other than the number, only those that are equal in it. Of n reports of one number that is n (n - 1) / 2 rows:
     neighbour_classes() says the same in n."""
-    return expand(*neighbour_classes(reports, key, radius, config), block)
+    groups, members = neighbour_classes(reports, key, radius, config)
+    return expand(links(groups, members, radius), members, block)
