@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from siglane.llm.common import prepare, store
 
 
+#: Edges that a task takes at a time when what is left is put together.
+TOGETHER = 1 << 18
+
+
 def _forest(batches):
     """Edges of a partition, replaced by edges from each of its nodes to the smallest one it is connected with here."""
     parent: dict[bytes, bytes] = {}
@@ -36,10 +40,11 @@ def _forest(batches):
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for each node of ``edges`` (a, b: binary); others are alone.
 
-    Each partition first keeps a spanning star of its own edges. Then large and small stars alternate: a node hands its
+    Each partition first keeps a spanning star of its own edges. Where these are TOGETHER at most, one task, which never
+    holds more, makes the stars of all of them, and that is all. Else large and small stars alternate: a node hands its
     larger neighbours, then its smaller ones, to the smallest it knows. Both only need the minimum of a node's
     neighbours, which is summed up before it is dealt; it ends when a round changes nothing, after about as many
-    rounds as the logarithm of the longest chain.
+    rounds as the logarithm of the longest chain, or when so few edges are left.
     """
     prepare(edges.sparkSession)
     now = store(edges.select("a", "b").mapInArrow(_forest, "u binary, v binary").distinct(), "stars")
@@ -50,9 +55,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     before = mark(now)
     while True:
+        if before[0] <= TOGETHER:
+            now = store(now.repartition(1).mapInArrow(_forest, "u binary, v binary"), "stars")
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from siglane.llm import components as components_of
 from siglane.llm import centroids, decontamination, enrichment, exact, mixing, neardup, toxicity
 
 
@@ -209,3 +210,17 @@ def test_op7_fits_one_row_of_an_id(spark):
     finally:
         toxicity.train = original
     assert seen and seen[0] <= 3
+
+
+@pytest.mark.parametrize("together", [-1, 40, 1 << 18])
+def test_components_by_rounds_and_in_one_task(spark, monkeypatch, together):
+    monkeypatch.setattr(components_of, "TOGETHER", together)
+    gen = random.Random(2)
+    name = lambda k: k.to_bytes(4, "big")
+    edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(gen.randrange(200, 260), gen.randrange(200, 260)) for _ in range(40)] + [(5, 6)] * 9
+    found = {bytes(r.node): bytes(r.component) for r in components_of.components(spark.createDataFrame([(name(a), name(b)) for a, b in edges], "a binary, b binary").repartition(6)).collect()}
+    least = {k: k for e in edges for k in e}
+    for _ in least:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    assert {k: name(v) for k, v in ((name(k), v) for k, v in least.items() if sum(1 for x in least.values() if x == v) > 1)} == {k: v for k, v in found.items()}
