@@ -301,16 +301,21 @@ def stream_linked_quarters(spark, d):
 
 
 PAGE = 200
+#: Pages of a file, a line each: files grow in number with the pages, but not as fast as the pages.
+PAGES_OF_A_FILE = 200
 
 
 def write_pages(spark, d) -> str:
-    """A folder of page files of some PAGE reports, as the service would send them."""
+    """Files of pages of some PAGE reports, as the service would send them."""
     out = _place(spark, "pages")
     rows = _reports(spark, d)
-    pages = max(1, -(-rows.count() // PAGE))
+    # Each line has its part, so that the lines alone say how many reports there are.
+    pages = max(1, -(-views.table(spark, d, "lineitem").count() // PAGE))
     page = F.pmod(F.xxhash64("safetyreportid"), F.lit(pages))
-    # A page is a bounded number of reports, whatever the number of pages.
-    rows.groupBy(page.alias("page")).agg(F.to_json(F.struct(F.collect_list(F.struct(*rows.columns)).alias("results"))).alias("value")).repartition("page").write.partitionBy("page").text(out)
+    # A page is a bounded number of reports, whatever the number of pages. It is dealt as texts, before they are collected.
+    texts = rows.select(page.alias("page"), F.to_json(F.struct(*rows.columns)).alias("report")).repartition("page")
+    bodies = texts.groupBy("page").agg(F.concat_ws(",", F.collect_list("report")).alias("reports"))
+    bodies.select(F.concat(F.lit('{"results":['), "reports", F.lit("]}")).alias("value")).write.option("maxRecordsPerFile", PAGES_OF_A_FILE).text(out)
     return out
 
 

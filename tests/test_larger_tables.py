@@ -1,9 +1,12 @@
 """What larger tables bring: keys of more digits, many pages, groups that grow."""
 
+import json
+
 import duckdb
 import pytest
 
-from siglane import catalog
+from siglane import catalog, roundtrips
+from siglane.sources import pages
 from tests.conftest import SF
 from tests.test_engine import _rows
 
@@ -16,3 +19,18 @@ def test_codes_of_keys_beyond_six_digits(spark, tmp_path, name):
     con.sql(f"create view part as select * from read_parquet('{tmp_path}/part.parquet/*.parquet')")
     theirs = con.sql(catalog.ORACLES[name]).df()
     assert len(theirs) and _rows(catalog.QUERIES[name](spark, str(tmp_path)).toPandas()) == _rows(theirs)
+
+
+def test_files_hold_many_pages(spark, tmp_path):
+    folder = roundtrips.write_pages(spark, SF)
+    files = pages.page_files(spark, folder)
+    lines = [json.loads(line) for f in files for line in open(f.removeprefix("file:"), encoding="utf-8")]
+    reports = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    # The same pages, in files whose number doesn't follow theirs.
+    assert sum(len(x["results"]) for x in lines) == reports and len(lines) > reports / roundtrips.PAGE / 2 and len(files) <= 4 < len(lines)
+    assert pages.read_pages(spark, folder).count() == reports
+    some = lambda *ids: {"results": [{"safetyreportid": i, "serious": "1"} for i in ids]}
+    texts = {"one.json": json.dumps(some("a", "b"), indent=1), "two.json": json.dumps(some("c")) + "\n\n" + json.dumps(some("d", "\u2028")) + "\n", "none.json": "{}"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    assert sorted(r[0] for r in pages.read_pages(spark, str(tmp_path)).select("safetyreportid").collect()) == ["a", "b", "c", "d", "\u2028"]
