@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siglane import sinks
-from siglane.operators.contingency import totals
+from siglane.operators.contingency import count_cases, totals
 from siglane.session import file_system
 
 SCHEMAS = {
@@ -203,7 +203,7 @@ class SignalStore:
 
 def pairs(drugs: DataFrame, reactions: DataFrame, key: str = "primary_id") -> DataFrame:
     """drug, event, n: distinct reports with the drug as primary suspect."""
-    return drugs.filter("role = 'PS'").join(reactions, key).groupBy("drug", "event").agg(F.countDistinct(key).alias("n"))
+    return count_cases(drugs.filter("role = 'PS'"), reactions, key)
 
 
 def top_events(counts: DataFrame, drug: str, k: int) -> DataFrame:

@@ -6,7 +6,8 @@ import duckdb
 import pytest
 
 from siglane import catalog, roundtrips
-from siglane.sources import pages
+from siglane.operators import contingency
+from siglane.sources import pages, store
 from tests.conftest import SF
 from tests.test_engine import _rows
 
@@ -34,3 +35,15 @@ def test_files_hold_many_pages(spark, tmp_path):
     for name, text in texts.items():
         (tmp_path / name).write_text(text)
     assert sorted(r[0] for r in pages.read_pages(spark, str(tmp_path)).select("safetyreportid").collect()) == ["a", "b", "c", "d", "\u2028"]
+
+
+@pytest.mark.parametrize("roles", [("PS",), ("PS", "SS")])
+def test_cases_are_told_apart_before_the_join(spark, roles):
+    drugs = spark.createDataFrame([(1, "A", "PS"), (1, "A", "PS"), (1, "A", "SS"), (2, "A", "PS"), (2, "B", "SS"), (None, "A", "PS"), (3, None, "PS")], "case_id int, drug string, role string")
+    events = spark.createDataFrame([(1, "X"), (1, "X"), (1, "Y"), (2, "X"), (None, "X"), (3, "X"), (2, None)], "case_id int, event string")
+    some = drugs.filter(drugs.role.isin(*roles))
+    got, want = contingency.count_cases(some, events), contingency.count_pairs(some.join(events, "case_id"), distinct_cases=True)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.schema == want.schema
+    # No table that the shuffles make has a drug, an event and a case at once.
+    plan = store.pairs(drugs, events, "case_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "distinct case_id" not in plan.lower() and "count(1)" in plan
