@@ -105,6 +105,11 @@ def ingest(spark: SparkSession, folder: str | None = None, all_roles: bool = Fal
 
 def linked(files: dict[str, DataFrame | None], all_roles: bool = False) -> DataFrame:
     """Ingest rows of the files by kind, as read_file() gives them."""
+    return linked_reports(files, all_roles).select(*INGEST_COLUMNS)
+
+
+def linked_reports(files: dict[str, DataFrame | None], all_roles: bool = False) -> DataFrame:
+    """linked() with the reports' primaryid."""
     demo, drug, reac = files["DEMO"], files["DRUG"], files["REAC"]
     fields = {"age_years": ("age", "double"), "age_group": ("age_grp", "string"), "sex": ("sex", "string"), "weight_kg": ("wt", "double"), "reporter_country": ("reporter_country", "string"), "occr_country": ("occr_country", "string"), "mfr_sndr": ("mfr_sndr", "string"), "occp_cod": ("occp_cod", "string"), "mfr_num": ("mfr_num", "string"), "fda_dt": ("fda_dt", "string"), "event_dt": ("event_dt", "string")}
     case = F.expr("try_cast(primaryid as bigint)")
@@ -126,4 +131,4 @@ def linked(files: dict[str, DataFrame | None], all_roles: bool = False) -> DataF
         entry = F.struct(F.expr("try_cast(dsg_drug_seq as int)").alias("seq"), _column(t, "start_dt").alias("start"), _column(t, "end_dt").alias("end"))
         lists = t.groupBy("primaryid").agg(F.sort_array(F.collect_list(entry)).alias("x")).select("primaryid", therapy_summary(F.col("x")).alias("therapy_summary"))
         out = out.join(lists, "primaryid", "left")
-    return out.select(*INGEST_COLUMNS)
+    return out.select("primaryid", *INGEST_COLUMNS)

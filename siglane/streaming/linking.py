@@ -1,51 +1,31 @@
 """Incremental linking of quarterly files: reports are linked as their lines arrive, in whatever order.
 
-The lines of new files are cut into fragments, each a line's fields under the file's own header, and dealt by report. A
-stateful stream keeps the fragments of every report and, when new ones come, hands out all of the report's drug-event
-rows anew under the number of the run, its generation. The rows of a report's latest generation are what holds:
-they retract all earlier ones. So a DRUG file that comes before or after its DEMO file ends at the same rows.
-
-A state entry packs the fragments of a page of reports; an entry for each report would cost a round trip each.
+The lines of new files are cut into fragments, each a line's fields under the file's own header. A stream keeps them as
+Parquet files by kind, below its checkpoint, and joins the reports of which new ones came with all fragments that are
+there: their drug-event rows come anew under the number of the run, its generation. The rows of a report's latest
+generation are what holds: they retract all earlier ones. So a DRUG file that comes before or after its DEMO file ends
+at the same rows.
+
+A run reads the kept fragments once. What a batch writes has the batch's folder, which a batch that is done again
+replaces.
 """
 
 from __future__ import annotations
 
-import json
-from contextlib import contextmanager
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from siglane.schema import INGEST_COLUMNS, INGEST_SCHEMA, SUSPECT_ROLES
-from siglane.session import prepare
+from siglane.session import file_system, prepare
+from siglane.sources import faers
 
-#: Buckets of reports, the stream's groups, and pages of each: raise them with the reports that there are.
-BUCKETS, PAGES = 32, 16
 #: What each kind of file says, by the names of its columns.
 WANTED = {
     "DEMO": ("age", "age_grp", "sex", "wt", "reporter_country", "occr_country", "mfr_sndr", "occp_cod", "mfr_num", "fda_dt", "event_dt"), "DRUG": ("role_cod", "drugname"), "REAC": ("pt",), "OUTC": ("outc_cod",), "RPSR": ("rpsr_cod",), "THER": ("dsg_drug_seq", "start_dt", "end_dt"),
 }
 LINKED = f"primaryid string, generation long, {INGEST_SCHEMA}"
-SETTINGS = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
-}
-
-
-@contextmanager
-def state_settings(spark: SparkSession):
-    """Settings of the state's store while a query runs."""
-    before = {k: spark.conf.get(k, None) for k in SETTINGS}
-    for k, v in SETTINGS.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+FRAGMENTS = "primaryid string, " + ", ".join(f"{n} string" for names in WANTED.values() for n in names)
 
 
 def _kind(path):
@@ -63,110 +43,54 @@ def _headers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fragments(lines: DataFrame, headers: DataFrame, all_roles: bool = False) -> DataFrame:
-    """primaryid, kind, data of each line (value, path): the fields that count, as JSON. ``headers`` has a row a file."""
+    """primaryid, kind and the fields that count of each line (value, path). ``headers`` has a row a file."""
     rows = lines.join(F.broadcast(headers.withColumnRenamed("path", "of")), F.col("path") == F.col("of"), "left")
     unknown = F.raise_error(F.concat(F.lit("no header is known of "), F.col("path"))).cast("string")
     rows = rows.withColumn("header", F.when(F.col("names").isNull(), unknown).otherwise(F.col("header"))).filter("value <> header and value <> ''")
-    parts = F.split("value", r"\$")
-    at = lambda name: F.nullif(F.try_element_at(parts, F.nullif(F.array_position("names", name).cast("int"), F.lit(0))), F.lit(""))
-    kind = _kind(F.col("path"))
-    data = F.lit(None).cast("string")
-    for k, names in WANTED.items():
-        values = {n: at(n) for n in names}
-        if k in ("DRUG", "REAC"):
-            name = "drugname" if k == "DRUG" else "pt"
-            values[name] = F.upper(values[name])
-        if k == "THER":
-            values["dsg_drug_seq"] = values["dsg_drug_seq"].try_cast("int")
-        if k == "DEMO":
-            values |= {n: F.trim(values[n]).try_cast("double") for n in ("age", "wt")}
-        data = F.when(kind == k, F.to_json(F.struct(*(v.alias(n) for n, v in values.items())))).otherwise(data)
-    rows = rows.select(at("primaryid").alias("primaryid"), kind.alias("kind"), data.alias("data"), at("role_cod").alias("role"))
+    rows = rows.select("names", F.split("value", r"\$").alias("parts"), _kind(F.col("path")).alias("kind"))
+    at = lambda name: F.nullif(F.try_element_at("parts", F.nullif(F.array_position("names", name).cast("int"), F.lit(0))), F.lit(""))
+    fields = [F.when(F.col("kind") == kind, at(n)).alias(n) for kind, names in WANTED.items() for n in names]
+    rows = rows.select(at("primaryid").alias("primaryid"), "kind", *fields)
     if not all_roles:
-        rows = rows.filter((F.col("kind") != "DRUG") | F.col("role").isin(*SUSPECT_ROLES))
-    return rows.filter("primaryid is not null and kind <> ''").select("primaryid", "kind", "data")
-
-
-def _lists(rows: pd.DataFrame, values: pd.Series) -> pd.Series:
-    """The sorted values of each report, put together."""
-    known = pd.DataFrame({"primaryid": rows["primaryid"], "v": values}).dropna().sort_values("v")
-    return known.groupby("primaryid")["v"].agg("|".join)
-
-
-def _therapies(rows: pd.DataFrame) -> pd.Series:
-    if not len(rows):
-        return pd.Series([], dtype=object)
-    # Nulls come first, as in an array that Spark sorts.
-    by = rows.assign(seq=pd.to_numeric(rows["dsg_drug_seq"]).fillna(-(1 << 40)), s=rows["start_dt"].fillna(""), e=rows["end_dt"].fillna("")).sort_values(["primaryid", "seq", "s", "e"])
-    by["v"] = [f"{s}|{e}" + ("" if q == -(1 << 40) else f"|{int(q)}") for q, s, e in zip(by["seq"], by["s"], by["e"], strict=True)]
-    return by.groupby("primaryid")["v"].agg("||".join)
-
-
-def linked(parts: pd.DataFrame) -> pd.DataFrame:
-    """Ingest rows of whole reports; parts: primaryid, kind, data."""
-
-    def of(kind: str) -> pd.DataFrame:
-        own = parts[parts["kind"] == kind]
-        fields = pd.DataFrame([json.loads(x) for x in own["data"]], columns=list(WANTED[kind]), index=own.index)
-        return fields.assign(primaryid=own["primaryid"])
-
-    demo = of("DEMO")
-    demo = demo[demo["primaryid"].str.fullmatch(r"\+?[0-9]+")]
-    rows = of("DRUG").dropna(subset="drugname").merge(of("REAC").dropna(subset="pt"), on="primaryid").merge(demo, on="primaryid")
-    outc, rpsr = of("OUTC"), of("RPSR")
-    more = {"report_sources": _lists(rpsr, rpsr["rpsr_cod"]), "outcomes": _lists(outc, outc["outc_cod"]), "therapy_summary": _therapies(of("THER"))}
-    for name, by in more.items():
-        rows[name] = rows["primaryid"].map(by) if len(by) else None
-    rows = rows.rename(columns={"drugname": "drug", "pt": "event", "role_cod": "role_code", "age": "age_years", "age_grp": "age_group", "wt": "weight_kg"})
-    rows["case_id"] = rows["primaryid"].astype("int64") if len(rows) else pd.Series([], dtype="int64")
-    return rows[["primaryid", *INGEST_COLUMNS]]
-
-
-class Reports(StatefulProcessor):
-    """Keeps the fragments of a bucket's reports, page by page, and hands out the rows of those that changed."""
-
-    def __init__(self, generation: int):
-        self.generation = generation
-
-    def init(self, handle) -> None:
-        self.pages = handle.getMapState("pages", "page int", "fragments string")
-
-    def handleInputRows(self, key, rows, timerValues):
-        came = pd.concat(list(rows), ignore_index=True)
-        for page, new in came.groupby("page"):
-            new = new[["primaryid", "kind", "data"]]
-            if self.pages.containsKey((int(page),)):
-                kept = pd.DataFrame(json.loads(self.pages.getValue((int(page),))[0]), columns=list(new.columns))
-                both = pd.concat([kept, new], ignore_index=True)
-            else:
-                both = new.reset_index(drop=True)
-            self.pages.updateValue((int(page),), (json.dumps(both.values.tolist()),))
-            out = linked(both[both["primaryid"].isin(set(new["primaryid"]))])
-            if len(out):
-                out.insert(1, "generation", self.generation)
-                yield out.astype(object).where(out.notna(), None).astype({"generation": "int64", "case_id": "int64", "age_years": "float64", "weight_kg": "float64"})
-
-    def close(self) -> None:
-        pass
-
-
-def link_arrived(spark: SparkSession, folder: str, out: str, checkpoint: str, generation: int, all_roles: bool = False, buckets: int = BUCKETS) -> StreamingQuery:
+        rows = rows.filter((F.col("kind") != "DRUG") | F.col("role_cod").isin(*SUSPECT_ROLES))
+    return rows.filter("primaryid is not null and kind <> ''")
+
+
+def _link(new: DataFrame, batch: int, out: str, kept: str, generation: int, buckets: int | None) -> None:
+    """Keeps a batch's fragments and writes the rows of the reports that they belong to."""
+    spark = new.sparkSession
+    if buckets:
+        # The session is the stream's own.
+        spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    new.write.mode("overwrite").partitionBy("kind").parquet(f"{kept}/batch={batch}")
+    files, where = file_system(spark, f"{kept}/batch=*/kind=*")
+    if not {"DEMO", "DRUG", "REAC"} <= {f.getPath().getName().removeprefix("kind=") for f in files.globStatus(where)}:
+        return
+    known = spark.read.schema(f"{FRAGMENTS}, batch long, kind string").parquet(kept)
+    kinds = {k: known.filter(F.col("kind") == k).select("primaryid", *names) for k, names in WANTED.items()}
+    changed = known.filter(F.col("batch") == batch).select("primaryid").distinct()
+    kinds["DEMO"] = kinds["DEMO"].join(changed, "primaryid", "left_semi")
+    rows = faers.linked_reports(kinds, all_roles=True)
+    rows.select("primaryid", F.lit(generation).cast("long").alias("generation"), *INGEST_COLUMNS).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+
+def link_arrived(spark: SparkSession, folder: str, out: str, checkpoint: str, generation: int, all_roles: bool = False, buckets: int | None = None) -> StreamingQuery:
     """Starts the stream over what has arrived below ``folder`` since the last run; it ends when all of it is linked.
 
     ``generation`` has to grow from run to run. Lines of files that arrive while it starts may fail the run, which
-    leaves nothing behind and can be started anew.
+    leaves nothing behind and can be started anew. ``buckets``: partitions of its shuffles, else the session's.
     """
     prepare(spark)
+    files, where = file_system(spark, out)
+    files.mkdirs(where)
     lines = spark.readStream.schema("value string").option("recursiveFileLookup", "true").text(folder).select("value", F.col("_metadata.file_path").alias("path"))
     parts = fragments(lines.filter(_kind(F.col("path")) != ""), _headers(spark, folder), all_roles)
-    parts = parts.select("primaryid", "kind", "data", F.pmod(F.xxhash64("primaryid"), F.lit(buckets)).alias("bucket"), F.pmod(F.hash("primaryid"), F.lit(PAGES)).alias("page"))
-    rows = parts.groupBy("bucket").transformWithStateInPandas(statefulProcessor=Reports(generation), outputStructType=LINKED, outputMode="Append", timeMode="None")
-    with state_settings(spark):
-        return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    write = lambda new, batch: _link(new, batch, out, f"{checkpoint}/fragments", generation, buckets)
+    return parts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def current(spark: SparkSession, out: str) -> DataFrame:
-    """The ingest rows that hold: those of each report's latest generation."""
-    rows = spark.read.schema(LINKED).parquet(out)
-    latest = rows.groupBy(F.col("primaryid").alias("of")).agg(F.max("generation").alias("last"))
-    return rows.join(latest, (F.col("primaryid") == F.col("of")) & (F.col("generation") == F.col("last"))).select(*INGEST_COLUMNS)
+    """The ingest rows that hold: those of each report's latest generation, and of its last batch there."""
+    rows = spark.read.schema(f"{LINKED}, batch long").parquet(out).withColumn("run", F.struct("generation", "batch"))
+    latest = rows.groupBy(F.col("primaryid").alias("of")).agg(F.max("run").alias("last"))
+    return rows.join(latest, (F.col("primaryid") == F.col("of")) & (F.col("run") == F.col("last"))).select(*INGEST_COLUMNS)
