@@ -47,3 +47,12 @@ def test_cases_are_told_apart_before_the_join(spark, roles):
     # No table that the shuffles make has a drug, an event and a case at once.
     plan = store.pairs(drugs, events, "case_id")._jdf.queryExecution().optimizedPlan().toString()
     assert "distinct case_id" not in plan.lower() and "count(1)" in plan
+
+
+def test_similar_reports_come_in_rows_that_grow_with_them(spark, tmp_path):
+    spark.range(600).selectExpr("id * 3000 as o_orderkey", "id % 7 as o_custkey", "'F' as o_orderstatus", "timestamp'1994-01-05 00:00:00' as o_orderdate", "'1-URGENT' as o_orderpriority").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(7).selectExpr("id as c_custkey", "concat('S', id % 2) as c_mktsegment").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = catalog.QUERIES["similarity_pairs"](spark, str(tmp_path)).collect()
+    assert len(rows) < 2 * 600 and sum(r.kind == "report" for r in rows) == 600 and {r.number for r in rows if r.kind == "report"} == {0}
+    # Ages 0 to 4 and 5 to 6 of two countries: four classes, of which each is one field apart from two.
+    assert sorted((r.a, r.b, r.distance) for r in rows if r.kind == "classes") == [(0, 3000, 0.1), (0, 18000, 0.1), (3000, 15000, 0.1), (15000, 18000, 0.1)]
