@@ -157,7 +157,10 @@ class SignalStore:
         Pairs are dealt by ranges of (drug, event) and sorted, with Bloom filters of both names in each row group: a
         lookup reads the row groups and pages that can hold its names, and no others.
         """
-        found = pairs(self.table("drugs"), self.table("reactions")).repartitionByRange("drug", "event").sortWithinPartitions("drug", "event")
+        drugs, reactions = self.table("drugs"), self.table("reactions")
+        # From the files' footers.
+        size = max(drugs.count(), reactions.count())
+        found = pairs(drugs, reactions, size=size).repartitionByRange("drug", "event").sortWithinPartitions("drug", "event")
         self._write("drug_event_pairs", found, replace=True, **PAIR_INDEX)
 
     def count(self, drug: str, event: str) -> int:
@@ -201,9 +204,9 @@ class SignalStore:
         return self.spark.sql(query, **{n: self.table(n) for n in SCHEMAS if f"{{{n}}}" in query})
 
 
-def pairs(drugs: DataFrame, reactions: DataFrame, key: str = "primary_id") -> DataFrame:
-    """drug, event, n: distinct reports with the drug as primary suspect."""
-    return count_cases(drugs.filter("role = 'PS'"), reactions, key)
+def pairs(drugs: DataFrame, reactions: DataFrame, key: str = "primary_id", size: int | None = None) -> DataFrame:
+    """drug, event, n: distinct reports with the drug as primary suspect; size: as count_cases() has it."""
+    return count_cases(drugs.filter("role = 'PS'"), reactions, key, size)
 
 
 def top_events(counts: DataFrame, drug: str, k: int) -> DataFrame:

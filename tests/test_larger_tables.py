@@ -1,6 +1,7 @@
 """What larger tables bring: keys of more digits, many pages, groups that grow."""
 
 import json
+import re
 
 import duckdb
 import pytest
@@ -56,3 +57,18 @@ def test_similar_reports_come_in_rows_that_grow_with_them(spark, tmp_path):
     assert len(rows) < 2 * 600 and sum(r.kind == "report" for r in rows) == 600 and {r.number for r in rows if r.kind == "report"} == {0}
     # Ages 0 to 4 and 5 to 6 of two countries: four classes, of which each is one field apart from two.
     assert sorted((r.a, r.b, r.distance) for r in rows if r.kind == "classes") == [(0, 3000, 0.1), (0, 18000, 0.1), (3000, 15000, 0.1), (15000, 18000, 0.1)]
+
+
+@pytest.mark.parametrize("name", ["pair_counts_distinct_ps", "pair_counts_distinct_cases", "pair_counts"])
+def test_tasks_of_cases_follow_the_lines(spark, monkeypatch, name):
+    monkeypatch.setattr(contingency, "TASK_ROWS", 600)
+    got = catalog.QUERIES[name](spark, SF)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    tasks = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 600)
+    # Both sides once by case, before anything is summed up, and what meets then isn't shuffled again.
+    assert tasks > 4 and len(re.findall(rf"Exchange hashpartitioning\(case_id#\d+L, {tasks}\), REPARTITION_BY_NUM", plan)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(case_id", plan)) == 2
+    con = duckdb.connect()
+    for t in ("lineitem", "part", "orders", "customer", "nation"):
+        con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    assert _rows(got.toPandas()) == _rows(con.sql(catalog.ORACLES[name]).df())
