@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siglane import sinks
-from siglane.operators.contingency import count_cases, totals
+from siglane.operators.contingency import count_cases, dealt, totals
 from siglane.session import file_system
 
 SCHEMAS = {
@@ -136,10 +136,12 @@ class SignalStore:
         """Reports with ids not yet there; of several new ones with one id, the first by ``order``, a column.
 
         Without ``order`` the place in ``rows`` counts, which is that of the files only while nothing was shuffled.
+        ``rows`` are counted first: they are dealt by id to tasks whose number follows theirs.
         """
         place = F.col(order) if order else F.monotonically_increasing_id()
         names = [f.split()[0] for f in SCHEMAS["reports"].split(", ")]
-        first = rows.select(*names, place.alias("place_")).groupBy("primary_id").agg(F.min_by(F.struct(*names[1:]), "place_").alias("r")).select("primary_id", "r.*")
+        placed = dealt(rows.select(*names, place.alias("place_")), "primary_id", rows.count())
+        first = placed.groupBy("primary_id").agg(F.min_by(F.struct(*names[1:]), "place_").alias("r")).select("primary_id", "r.*")
         self.append("reports", first.join(self.table("reports").select("primary_id"), "primary_id", "left_anti"))
 
     def insert_drugs(self, rows: DataFrame) -> None:

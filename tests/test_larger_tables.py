@@ -72,3 +72,22 @@ def test_tasks_of_cases_follow_the_lines(spark, monkeypatch, name):
     for t in ("lineitem", "part", "orders", "customer", "nation"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     assert _rows(got.toPandas()) == _rows(con.sql(catalog.ORACLES[name]).df())
+
+
+def test_tasks_of_a_store_follow_its_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(contingency, "TASK_ROWS", 50)
+    s = store.SignalStore(spark, str(tmp_path / "store"))
+    rows = spark.range(900).selectExpr("cast(id % 300 as string) as primary_id", "cast(id as int) as case_version", "'20240101' as receipt_date", "'US' as country", "-id as place")
+    s.insert_reports(rows, "place")
+    # A file of each task, of which there are 18; of three rows of an id the one with the least place stays.
+    assert len(s.table("reports").inputFiles()) == 18
+    assert sorted((int(r.primary_id), r.case_version) for r in s.table("reports").collect()) == [(i, i + 600) for i in range(300)]
+    s.insert_reports(rows)
+    assert s.table("reports").count() == 300
+    one = spark.range(400).selectExpr("cast(id as string) as primary_id", "'a' as drug", "'PS' as role", "1 as seq", "'x' as event")
+    s.insert_drugs(one)
+    s.insert_reactions(one)
+    asked = []
+    monkeypatch.setattr(store, "count_cases", lambda *a: asked.append(a[3]) or contingency.count_cases(*a))
+    s.build_pairs()
+    assert asked == [400] and [tuple(r) for r in s.table("drug_event_pairs").collect()] == [("A", "X", 400)]
