@@ -8,12 +8,15 @@ from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from siglane.llm import components as components_of
-from siglane.llm import centroids, decontamination, enrichment, exact, mixing, neardup, toxicity
+from siglane.llm import centroids, decontamination, enrichment, exact, mixing, neardup, queries, toxicity
+from tests.conftest import SF
 
 
 def said(text):
@@ -146,6 +149,37 @@ def test_op12_of_one_empty_table(spark):
     assert {tuple(r) for r in enrichment.enrich(s, c, plan).collect()} == {("sale", 1, 1, 0, None, None, None), ("sale", 2, 0, 0, None, None, None)}
 
 
+def test_op12_opens_no_native_stores_and_is_its_sql(spark):
+    """Each start opens a store in every partition; a RocksDB store leaves native memory of the executor behind."""
+    started = []
+
+    class Listener(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            started.extend((event.progress.runId, dict(o.customMetrics), o.numRowsUpdated) for o in event.progress.stateOperators)
+
+        def onQueryTerminated(self, event):
+            pass
+
+    listener = Listener()
+    spark.streams.addListener(listener)
+    before = {k: spark.conf.get(k, None) for k in enrichment.SETTINGS}
+    try:
+        rows = Counter(tuple(r) for r in queries.QUERIES["op12_valid_time_sales"](spark, SF).collect())
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(listener)
+    assert {k: spark.conf.get(k, None) for k in enrichment.SETTINGS} == before
+    assert len({x[0] for x in started}) == 11 and any(x[2] for x in started)
+    assert not [k for x in started for k in x[1] if "rocksdb" in k.lower()]
+    con = duckdb.connect()
+    for t in ("sales", "client_changes"):
+        con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    assert rows == Counter(con.sql(queries.ORACLES["op12_valid_time_sales"]).fetchall())
+
+
 def plainly(vectors, clusters, rounds):
     whole = [(i, [int(np.floor(256 * np.float64(x))) for x in v]) for i, v in vectors if v is not None and len(v) == 64 and all(x is not None and np.isfinite(x) for x in v)]
     by = sorted(whole, key=lambda x: (hashlib.sha256(f"2:{'' if x[0] is None else x[0]}".encode()).hexdigest(),))
