@@ -1,9 +1,11 @@
 """What larger tables bring: keys of more digits, many pages, groups that grow."""
 
 import json
+import os
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from siglane import catalog, roundtrips
@@ -38,6 +40,30 @@ def test_files_hold_many_pages(spark, tmp_path):
     assert sorted(r[0] for r in pages.read_pages(spark, str(tmp_path)).select("safetyreportid").collect()) == ["a", "b", "c", "d", "\u2028"]
 
 
+@pytest.mark.parametrize("name", ["rest_pages"])
+def test_pages_are_on_disk_once_and_packed(spark, monkeypatch, name):
+    plain = roundtrips.write_pages(spark, SF)
+    size = sum(os.path.getsize(f.removeprefix("file:")) for f in pages.page_files(spark, plain))
+    written, write = [], roundtrips.write_pages
+    monkeypatch.setattr(roundtrips, "write_pages", lambda *a: written.append(write(*a)) or written[-1])
+    rows = _rows(catalog.QUERIES[name](spark, SF).toPandas())
+    (folder,) = written
+    files = pages.page_files(spark, folder)
+    assert files and all(f.endswith(".gz") for f in files) and sum(os.path.getsize(f.removeprefix("file:")) for f in files) * 8 < size
+    con = duckdb.connect()
+    for t in ("lineitem", "part"):
+        con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    assert rows == _rows(con.sql(catalog.ORACLES[name]).df())
+
+
+def test_reports_go_into_pages_as_they_come():
+    batch = lambda *ids: pa.RecordBatch.from_arrays([pa.array([f'{{"id":{i}}}' for i in ids], pa.string())], names=["report"])
+    found = [x for b in roundtrips.in_pages([batch(*range(150)), batch(), batch(*range(150, 450)), batch(450)]) for x in b.column(0).to_pylist()]
+    ids = [[r["id"] for r in json.loads(x)["results"]] for x in found]
+    assert [len(x) for x in ids] == [roundtrips.PAGE, roundtrips.PAGE, 51] and sum(ids, []) == list(range(451))
+    assert list(roundtrips.in_pages([])) == [] == list(roundtrips.in_pages([batch()]))
+
+
 @pytest.mark.parametrize("roles", [("PS",), ("PS", "SS")])
 def test_cases_are_told_apart_before_the_join(spark, roles):
     drugs = spark.createDataFrame([(1, "A", "PS"), (1, "A", "PS"), (1, "A", "SS"), (2, "A", "PS"), (2, "B", "SS"), (None, "A", "PS"), (3, None, "PS")], "case_id int, drug string, role string")
