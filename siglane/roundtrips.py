@@ -350,7 +350,7 @@ def rest_pages(spark, d):
 @query("SELECT l_orderkey || '-' || l_linenumber AS id FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'A' AND l_shipdate BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'", with_views=False)
 def rest_pages_filtered(spark, d):
     """Serious reports of three years: the source is told, and hands out no others."""
-    rows = pages.read_pages(spark, write_pages(spark, d)).filter("serious = '1' and receiptdate >= '19940101' and receiptdate <= '19961231'")
+    rows = pages.read_pages(spark, write_pages(spark, d, "gzip")).filter("serious = '1' and receiptdate >= '19940101' and receiptdate <= '19961231'")
     return rows.select(F.col("safetyreportid").alias("id"))
 
 

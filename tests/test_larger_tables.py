@@ -40,7 +40,7 @@ def test_files_hold_many_pages(spark, tmp_path):
     assert sorted(r[0] for r in pages.read_pages(spark, str(tmp_path)).select("safetyreportid").collect()) == ["a", "b", "c", "d", "\u2028"]
 
 
-@pytest.mark.parametrize("name", ["rest_pages"])
+@pytest.mark.parametrize("name", ["rest_pages", "rest_pages_filtered"])
 def test_pages_are_on_disk_once_and_packed(spark, monkeypatch, name):
     plain = roundtrips.write_pages(spark, SF)
     size = sum(os.path.getsize(f.removeprefix("file:")) for f in pages.page_files(spark, plain))
