@@ -108,8 +108,30 @@ def linked(files: dict[str, DataFrame | None], all_roles: bool = False) -> DataF
     return linked_reports(files, all_roles).select(*INGEST_COLUMNS)
 
 
+#: The columns of ingest rows that a report has once, and its lists in listed_reports().
+ONCE = tuple(c for c in INGEST_COLUMNS if c not in ("drug", "role_code", "event"))
+LISTS = "drugs array<struct<drug: string, role_code: string>>, events array<string>"
+
+
+def listed_reports(files: dict[str, DataFrame | None]) -> DataFrame:
+    """A row for each report with drugs and reactions: primaryid, drugs, events and the columns that it has once.
+
+    These are the rows of linked_reports() for all roles, before drugs meet reactions: with_pairs() gives them.
+    """
+    return _linked(files, True, lists=True)
+
+
+def with_pairs(reports: DataFrame) -> DataFrame:
+    """The ingest rows of listed_reports()."""
+    return reports.select(*ONCE, "events", F.inline("drugs")).select("*", F.explode("events").alias("event")).select(*INGEST_COLUMNS)
+
+
 def linked_reports(files: dict[str, DataFrame | None], all_roles: bool = False) -> DataFrame:
     """linked() with the reports' primaryid."""
+    return _linked(files, all_roles)
+
+
+def _linked(files: dict[str, DataFrame | None], all_roles: bool, lists: bool = False) -> DataFrame:
     demo, drug, reac = files["DEMO"], files["DRUG"], files["REAC"]
     fields = {"age_years": ("age", "double"), "age_group": ("age_grp", "string"), "sex": ("sex", "string"), "weight_kg": ("wt", "double"), "reporter_country": ("reporter_country", "string"), "occr_country": ("occr_country", "string"), "mfr_sndr": ("mfr_sndr", "string"), "occp_cod": ("occp_cod", "string"), "mfr_num": ("mfr_num", "string"), "fda_dt": ("fda_dt", "string"), "event_dt": ("event_dt", "string")}
     case = F.expr("try_cast(primaryid as bigint)")
@@ -117,18 +139,21 @@ def linked_reports(files: dict[str, DataFrame | None], all_roles: bool = False)
     drugs = drug if all_roles else drug.filter(F.col("role_cod").isin(*SUSPECT_ROLES))
     drugs = drugs.filter("drugname is not null").select("primaryid", F.upper("drugname").alias("drug"), F.col("role_cod").alias("role_code"))
     events = reac.filter("pt is not null").select("primaryid", F.upper("pt").alias("event"))
+    if lists:
+        drugs = drugs.groupBy("primaryid").agg(F.collect_list(F.struct("drug", "role_code")).alias("drugs"))
+        events = events.groupBy("primaryid").agg(F.collect_list("event").alias("events"))
     out = drugs.join(events, "primaryid").join(demo, "primaryid")
     for kind, column, name in (("RPSR", "rpsr_cod", "report_sources"), ("OUTC", "outc_cod", "outcomes")):
         if files[kind] is None:
             out = out.withColumn(name, F.lit(None).cast("string"))
         else:
-            lists = files[kind].groupBy("primaryid").agg(F.sort_array(F.collect_list(column)).alias("x")).select("primaryid", joined(F.col("x")).alias(name))
-            out = out.join(lists, "primaryid", "left")
+            codes = files[kind].groupBy("primaryid").agg(F.sort_array(F.collect_list(column)).alias("x")).select("primaryid", joined(F.col("x")).alias(name))
+            out = out.join(codes, "primaryid", "left")
     if files["THER"] is None:
         out = out.withColumn("therapy_summary", F.lit(None).cast("string"))
     else:
         t = files["THER"]
         entry = F.struct(F.expr("try_cast(dsg_drug_seq as int)").alias("seq"), _column(t, "start_dt").alias("start"), _column(t, "end_dt").alias("end"))
-        lists = t.groupBy("primaryid").agg(F.sort_array(F.collect_list(entry)).alias("x")).select("primaryid", therapy_summary(F.col("x")).alias("therapy_summary"))
-        out = out.join(lists, "primaryid", "left")
-    return out.select("primaryid", *INGEST_COLUMNS)
+        therapies = t.groupBy("primaryid").agg(F.sort_array(F.collect_list(entry)).alias("x")).select("primaryid", therapy_summary(F.col("x")).alias("therapy_summary"))
+        out = out.join(therapies, "primaryid", "left")
+    return out.select("primaryid", *(("drugs", "events", *ONCE) if lists else INGEST_COLUMNS))
