@@ -49,11 +49,25 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+#: Bytes that are hashed at once, after the REACH bytes before them that their hashes still count.
+WINDOW, REACH = 1 << 20, 31
+
+
+def _places(whole: np.ndarray) -> np.ndarray:
+    """Where a chunk may end. Hashes take some twenty times their bytes, so they are made window by window."""
+    found = [np.zeros(0, dtype=np.int64)]
+    for a in range(0, len(whole), WINDOW):
+        start = max(0, a - REACH)
+        at = np.flatnonzero((gear(whole[start : a + WINDOW]) & np.uint32((1 << CUT_BITS) - 1)) == 0) + start
+        found.append(at[at >= a] + 1)
+    return np.concatenate(found)
+
+
 def cuts(payloads: list[bytes]) -> list[list[int]]:
-    """Where the chunks of each payload end. All are hashed at once: a chunk's first LEAST bytes are never an end, so
+    """Where the chunks of each payload end. All are hashed together: a chunk's first LEAST bytes are never an end, so
     no hash counts that reaches back into another payload."""
-    whole = np.frombuffer(b"".join(payloads), dtype=np.uint8)
-    places = np.flatnonzero((gear(whole) & np.uint32((1 << CUT_BITS) - 1)) == 0) + 1
+    whole = np.frombuffer(payloads[0] if len(payloads) == 1 else b"".join(payloads), dtype=np.uint8)
+    places = _places(whole)
     ends = np.cumsum([len(p) for p in payloads])
     starts = ends - [len(p) for p in payloads]
     low, high = np.searchsorted(places, starts, side="right"), np.searchsorted(places, ends, side="left")
@@ -76,7 +90,7 @@ def cuts(payloads: list[bytes]) -> list[list[int]]:
     return out
 
 
-#: Texts of about so many bytes are chunked at a time: hashing them takes some twenty times as much.
+#: Texts of about so many bytes are chunked at a time.
 TOGETHER = 1 << 20
 
 
@@ -108,9 +122,10 @@ def write_media(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for each chunk, 1 where the chunk is in the store, and ``own`` the compressed bytes of all others. A first pass
     counts chunk digests; those that occur more than once go into a Bloom filter of a fixed size, by which a second pass
     tells them. A chunk that passes it by chance is stored like a shared one, so the filter's errors cost room only.
-    The store has digest, data and uses, which is larger than 0 for the few digests with a large share of all uses.
+    The store has digest, data and uses, which is larger than 0 for the digests with a large share of the uses of all
+    shared chunks: HOT_SHARE at most, however long the texts.
     An empty table gives an empty manifest and store; other columns are left out. A text must fit into a row of Arrow
-    data (2 GB), and a worker holds some twenty times the longest.
+    data (2 GB), and a worker holds some copies of the longest.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
@@ -121,7 +136,7 @@ def write_media(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array([_key(d) for own in digests for d in own], pa.int64())], names=["key"])
 
     counts = store(docs.mapInArrow(keys, "key long").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "chunk-counts")
-    total = docs.count()
+    all_uses = counts.agg(F.sum("n")).first()[0] or 0
     known = spark.sparkContext.broadcast(bloom.build(counts, "key").bits)
 
     def is_shared(digests: list[list[bytes]]) -> list[np.ndarray]:
@@ -176,10 +191,10 @@ def write_media(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = store(docs.mapInArrow(written, f"{_MANIFEST}, {_CHUNK}"), "media", compression="none")
     manifest = rows.filter("digest is null").drop("digest", "data")
     dealt = rows.filter("digest is not null").select("digest", "data").repartition(partitions(spark), "digest").sortWithinPartitions("digest")
-    hot = counts.filter(F.col("n") * HOT_SHARE > F.lit(total)).select(F.col("key").alias("hot"))
+    hot = counts.filter(F.col("n") * HOT_SHARE > F.lit(all_uses)).select(F.col("key").alias("hot"), F.col("n").alias("uses"))
     chunks = dealt.mapInArrow(trimmed(once), _CHUNK)
     key = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("long")
-    chunks = chunks.join(F.broadcast(hot), key == F.col("hot"), "left").withColumn("uses", F.when(F.col("hot").isNotNull(), F.lit(total)).otherwise(0)).drop("hot")
+    chunks = chunks.join(F.broadcast(hot), key == F.col("hot"), "left").select("digest", "data", F.coalesce("uses", F.lit(0)).alias("uses"))
     return manifest, store(chunks, "chunks", compression="none")
 
 
@@ -255,7 +270,7 @@ def read_media(manifest: DataFrame, chunks: DataFrame) -> DataFrame:
     media = rest.select("media_sha", "head", "lengths", "digests", "shared", "own").dropDuplicates(["media_sha"])
     wanted = rest.select("media_sha", "digests", "shared").dropDuplicates(["media_sha"]).mapInArrow(trimmed(listed), "media_sha binary, place int, digest binary")
     total = rest.count()
-    fetched = lookup(wanted, chunks, "digest", "uses", total)
+    fetched = lookup(wanted, chunks, "digest", "uses", 0)
     none = [F.lit(None).cast(t).alias(c) for c, t in (("head", "binary"), ("lengths", "array<int>"), ("digests", "binary"), ("shared", "binary"))]
     parts = media.select("media_sha", F.lit(-1).alias("place"), F.col("own").alias("data"), "head", "lengths", "digests", "shared").unionByName(fetched.select("media_sha", "place", "data", *none))
     parts = parts.repartition(partitions(spark), "media_sha").sortWithinPartitions("media_sha", "place")

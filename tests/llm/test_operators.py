@@ -3,6 +3,7 @@ import math
 import pickle
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ import pytest
 
 import corpus_pipeline
 from siglane.llm import chat, exact, lm, media, mixing, neardup, pieces, queries, sharding, tokens, toxicity
-from siglane.llm.common import utf8, words
+from siglane.llm.common import HOT_SHARE, utf8, words
 from siglane.llm.components import components
 from tests.conftest import SF
 
@@ -122,6 +123,28 @@ def test_op2(spark, odd, docs):
     assert media.read_media(*media.write_media(odd.limit(0))).count() == 0
 
 
+def test_op2_long_texts_that_are_shared(spark):
+    text = random.Random(2).randbytes(2 << 20).hex()
+    docs = spark.createDataFrame([(k, text) for k in range(4)], "doc_id long, text string")
+    manifest, chunks = media.write_media(docs)
+    # All of the many chunks occur as often as each other: none has a large share, and none is broadcast.
+    assert chunks.count() > HOT_SHARE > chunks.filter("uses > 0").count()
+    assert {tuple(r)[:6] for r in media.read_media(manifest, chunks).collect()} == {(k, *_media(text)) for k in range(4)}
+    manifest, chunks = media.write_media(spark.createDataFrame([(k, "same") for k in range(8)], "doc_id long, text string"))
+    assert [r.uses for r in chunks.collect()] == [8] and media.read_media(manifest, chunks).count() == 8
+
+
+def test_op2_hashes_long_texts_in_windows():
+    data = random.Random(3).randbytes(media.WINDOW * 4 + 77)
+    whole = media.gear(np.frombuffer(data, dtype=np.uint8)) & np.uint32((1 << media.CUT_BITS) - 1)
+    tracemalloc.start()
+    found = media._places(np.frombuffer(data, dtype=np.uint8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.tolist() == (np.flatnonzero(whole == 0) + 1).tolist() and peak < 4 * len(data)
+
+
+
 def test_chunks_follow_content():
     gen = random.Random(1)
     data = bytes(gen.randrange(256) for _ in range(200_000))
