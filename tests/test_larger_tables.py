@@ -1,5 +1,6 @@
 """What larger tables bring: keys of more digits, many pages, groups that grow."""
 
+import gzip
 import json
 import os
 import re
@@ -56,6 +57,12 @@ def test_pages_are_on_disk_once_and_packed(spark, monkeypatch, name):
     assert rows == _rows(con.sql(catalog.ORACLES[name]).df())
 
 
+def test_files_without_pages(spark, tmp_path):
+    for name, text in {"none.json": b"", "blank.txt": b"\n \n", "none.txt.gz": gzip.compress(b""), "later.json": b'\n{"results":[{"safetyreportid":"a"}]}\n'}.items():
+        (tmp_path / name).write_bytes(text)
+    assert [r.safetyreportid for r in pages.read_pages(spark, str(tmp_path)).collect()] == ["a"]
+
+
 def test_reports_go_into_pages_as_they_come():
     batch = lambda *ids: pa.RecordBatch.from_arrays([pa.array([f'{{"id":{i}}}' for i in ids], pa.string())], names=["report"])
     found = [x for b in roundtrips.in_pages([batch(*range(150)), batch(), batch(*range(150, 450)), batch(450)]) for x in b.column(0).to_pylist()]
